@@ -1,0 +1,70 @@
+"""Materialize-once workspace over one data directory.
+
+The summary is the base of every later stage, so it is built once and written
+as Parquet into the session's shared checkpoint folder (the CTAS of the
+original); the reliable clean frame and the vendor rollup are written the same
+way. Later stages read these tables, which keeps column pruning and filter
+pushdown (a ``checkpoint()`` RDD would lose both) and cuts the lineage, so a
+lost executor only re-runs the current stage.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
+
+from marginflow.operators import clean, rollup, summary
+from marginflow.session import scratch_path
+from marginflow.sources import testdata
+
+_WORKSPACES: dict[tuple, "Workspace"] = {}
+
+
+def workspace(spark: SparkSession, sf_dir: str) -> "Workspace":
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    ws = _WORKSPACES.get(key)
+    if ws is None:
+        ws = _WORKSPACES[key] = Workspace(spark, sf_dir)
+    return ws
+
+
+class Workspace:
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
+        self._tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:10]
+        self._written: dict[str, str] = {}
+
+    # -- raw inputs (lazy views) -------------------------------------------
+    def raw(self) -> dict[str, DataFrame]:
+        return testdata.raw_tables(self.spark, self.sf_dir)
+
+    # -- stages --------------------------------------------------------------
+    def summary_plan(self) -> DataFrame:
+        r = self.raw()
+        return summary.vendor_sales_summary(r["purchases"], r["purchase_prices"],
+                                            r["vendor_invoice"], r["sales"])
+
+    def materialize(self, name: str, build) -> DataFrame:
+        path = self._written.get(name)
+        if path is None:
+            path = scratch_path(self.spark, self._tag, name)
+            build().write.mode("overwrite").parquet(path)
+            self._written[name] = path
+        return self.spark.read.parquet(path)
+
+    def summary(self) -> DataFrame:
+        return self.materialize("vendor_sales_summary", self.summary_plan)
+
+    def clean(self) -> DataFrame:
+        """All cleaned rows with KPIs (narrow over the written summary)."""
+        return clean.clean_summary(self.summary())
+
+    def reliable(self) -> DataFrame:
+        return self.materialize("vendor_sales_summary_clean",
+                                lambda: clean.filter_reliable(self.clean()))
+
+    def vendors(self) -> DataFrame:
+        return self.materialize("vendor_frame",
+                                lambda: rollup.vendor_level_aggregate(self.reliable()))
