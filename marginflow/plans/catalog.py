@@ -1,7 +1,7 @@
 """Registry of named queries: ``name -> fn(spark, sf_dir) -> DataFrame``.
 
 Every query reads the test tables (or stage tables Spark derived from them) in
-full. Doubles are rounded to 6 places so that results compare stably with the
+full. Doubles are rounded to 4 places so that results compare stably with the
 SQL oracle across summation orders.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marginflow.functions.columns import round_doubles
-from marginflow.operators import clean, summary
+from marginflow.operators import clean, reports, stats, summary
 from marginflow.plans.pipeline import workspace
 from marginflow.sources.schemas import KPI_COLUMNS
 
@@ -20,7 +20,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
 
-def query(name: str, digits: int | None = 6):
+def query(name: str, digits: int | None = 4):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(workspace(spark, sf_dir))
@@ -99,3 +99,89 @@ def _reliable(ws):
 @query("clean_metrics")
 def _clean_metrics(ws):
     return clean.clean_metrics(ws.summary())
+
+
+# --- relational reports --------------------------------------------------------------
+
+@query("top10_purchase")
+def _top10_purchase(ws):
+    return reports.top_vendors_by(ws.summary(), "TotalPurchaseDollars")
+
+
+@query("top10_freight")
+def _top10_freight(ws):
+    """Freight summed over brand rows (the vendor's freight repeats per brand)."""
+    return reports.top_vendors_by(ws.summary(), "FreightCost")
+
+
+@query("top_brand_per_vendor")
+def _top_brand(ws):
+    return reports.top_brand_per_vendor(ws.summary())
+
+
+@query("unsold_gap_top10")
+def _unsold(ws):
+    return reports.unsold_gap(ws.summary())
+
+
+@query("vendor_rollup")
+def _vendor_rollup(ws):
+    return ws.vendors()
+
+
+@query("distinct_vendors_brands")
+def _distinct(ws):
+    return reports.distinct_counts(ws.reliable())
+
+
+@query("vendor_row_counts_top5")
+def _value_counts(ws):
+    return reports.value_counts(ws.reliable(), "VendorName", 5)
+
+
+@query("kpi_summary")
+def _kpi_summary(ws):
+    return reports.column_summary(ws.reliable())
+
+
+@query("null_profile")
+def _null_profile(ws):
+    return reports.null_profile(ws.summary())
+
+
+@query("turnover_quantiles")
+def _turnover_q(ws):
+    return reports.quantiles(ws.reliable(), "StockTurnover", [0.95, 0.98])
+
+
+@query("top10_sales")
+def _top10_sales(ws):
+    return reports.top_vendors_by(ws.reliable(), "TotalSalesDollars", 10, digits=None)
+
+
+@query("sample_vendor")
+def _sample_vendor(ws):
+    return reports.first_row(ws.vendors(), ["VendorName"])
+
+
+@query("turnover_margin_crop")
+def _crop(ws):
+    return reports.quantile_crop(ws.reliable(), "StockTurnover", "ProfitMargin", 0.98)
+
+
+# --- statistics ------------------------------------------------------------------------
+
+@query("sales_tier_split")
+def _tier_split(ws):
+    return stats.sales_tier_split(ws.vendors()).select(
+        "VendorName", "TotalSalesDollars", "ProfitMargin", "SalesTier")
+
+
+@query("welch_ttest")
+def _welch(ws):
+    return stats.welch_ttest(ws.vendors())
+
+
+@query("kpi_correlation")
+def _corr(ws):
+    return stats.correlation_matrix(ws.vendors())
