@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marginflow.functions.columns import round_doubles
-from marginflow.operators import clean, reports, stats, summary
+from marginflow.operators import clean, reports, segment, stats, summary
 from marginflow.plans.pipeline import workspace
 from marginflow.sources.schemas import KPI_COLUMNS
 
@@ -185,3 +185,67 @@ def _welch(ws):
 @query("kpi_correlation")
 def _corr(ws):
     return stats.correlation_matrix(ws.vendors())
+
+
+# --- segmentation ----------------------------------------------------------------------
+
+def _seeded(ws):
+    """One nearest-centroid step from quantile-band centroids: deterministic, so
+    its labels, profile and silhouette can be checked against SQL."""
+    vendor = ws.vendors()
+    scaled = ws.scaled()
+    bands = ws.materialize("seed_bands", lambda: segment.seeded_bands(scaled))
+    assigned = ws.materialize("seed_assigned", lambda: segment.assign_nearest(
+        bands.drop("Band"), segment.band_centroids(bands)))
+    labels = segment.rank_labels(assigned, vendor)
+    tiers = segment.attach_tiers(assigned, labels)
+    return vendor, scaled, bands, assigned, labels, tiers
+
+
+@query("cluster_features")
+def _features(ws):
+    return segment.cluster_features(ws.vendors())
+
+
+@query("scaled_features")
+def _scaled(ws):
+    return ws.scaled()
+
+
+@query("assign_centroids")
+def _assign(ws):
+    return _seeded(ws)[3].select("VendorName", "Cluster")
+
+
+@query("tier_labels")
+def _tier_labels(ws):
+    return _seeded(ws)[4]
+
+
+@query("tier_profile")
+def _tier_profile(ws):
+    vendor, *_, tiers = _seeded(ws)
+    return segment.tier_profile(tiers, vendor)
+
+
+@query("silhouette_euclidean")
+def _silhouette(ws):
+    return segment.silhouette(_seeded(ws)[3])
+
+
+@query("tier_agreement")
+def _agreement(ws):
+    _, _, bands, _, _, tiers = _seeded(ws)
+    return segment.tier_agreement(tiers, segment.band_tiers(bands))
+
+
+@query("tier_mismatches")
+def _mismatches(ws):
+    _, _, bands, _, _, tiers = _seeded(ws)
+    return segment.tier_mismatches(tiers, segment.band_tiers(bands))
+
+
+@query("vendor_tiers")
+def _vendor_tiers(ws):
+    """KMeans k=3, best of 10 seeds (randomized: rows-only check)."""
+    return segment.kmeans_tiers(ws.vendors(), features=ws.features(), scaled=ws.scaled())

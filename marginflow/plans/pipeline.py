@@ -14,7 +14,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marginflow.operators import clean, rollup, summary
+from marginflow.operators import clean, rollup, segment, summary
 from marginflow.session import scratch_path
 from marginflow.sources import testdata
 
@@ -68,3 +68,11 @@ class Workspace:
     def vendors(self) -> DataFrame:
         return self.materialize("vendor_frame",
                                 lambda: rollup.vendor_level_aggregate(self.reliable()))
+
+    def features(self) -> DataFrame:
+        return self.materialize("cluster_features",
+                                lambda: segment.cluster_features(self.vendors()))
+
+    def scaled(self) -> DataFrame:
+        return self.materialize("scaled_features",
+                                lambda: segment.standardize(self.features()))
