@@ -12,7 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from marginflow.functions.columns import round_doubles
-from marginflow.operators import clean, reports, segment, stats, summary
+from pyspark.sql import functions as F
+
+from marginflow.functions.columns import clip_upper
+from marginflow.functions.quantiles import exact_percentile_value
+from marginflow.operators import clean, explore, regress, reports, segment, stats, summary
 from marginflow.plans.pipeline import workspace
 from marginflow.sources.schemas import KPI_COLUMNS
 
@@ -249,3 +253,50 @@ def _mismatches(ws):
 def _vendor_tiers(ws):
     """KMeans k=3, best of 10 seeds (randomized: rows-only check)."""
     return segment.kmeans_tiers(ws.vendors(), features=ws.features(), scaled=ws.scaled())
+
+
+# --- regression -------------------------------------------------------------------------
+
+@query("margin_drivers")
+def _drivers(ws):
+    """OLS of ProfitMargin on five operational drivers (model fit: rows-only check)."""
+    return regress.margin_drivers(ws.vendors())
+
+
+@query("margin_predictions")
+def _predictions(ws):
+    return regress.margin_predictions(ws.vendors())
+
+
+@query("driver_simple_regression")
+def _simple(ws):
+    return regress.single_driver_fits(ws.vendors())
+
+
+# --- exploratory summaries -----------------------------------------------------------------
+
+@query("hist_margin")
+def _hist_margin(ws):
+    return explore.histogram(ws.reliable(), "ProfitMargin")
+
+
+@query("hist_log_sales")
+def _hist_log_sales(ws):
+    return explore.histogram(ws.reliable(), F.log1p("TotalSalesDollars"))
+
+
+@query("hist_turnover")
+def _hist_turnover(ws):
+    rel = ws.reliable()
+    cap = exact_percentile_value(rel, "StockTurnover", 0.95)
+    return explore.histogram(rel, clip_upper("StockTurnover", cap))
+
+
+@query("kde_margin")
+def _kde_margin(ws):
+    return explore.kde(ws.reliable(), "ProfitMargin")
+
+
+@query("box_gross_profit")
+def _box(ws):
+    return explore.box_stats(ws.reliable(), "GrossProfit")
