@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from marginflow.functions.columns import clip_upper
 from marginflow.functions.quantiles import exact_percentile_value
-from marginflow.operators import clean, explore, regress, reports, segment, stats, summary
+from marginflow.operators import clean, explore, regress, reports, segment, stats, summary, text
+from marginflow.sources import testdata
 from marginflow.plans.pipeline import workspace
 from marginflow.sources.schemas import KPI_COLUMNS
 
@@ -300,3 +301,60 @@ def _kde_margin(ws):
 @query("box_gross_profit")
 def _box(ws):
     return explore.box_stats(ws.reliable(), "GrossProfit")
+
+
+# --- product text ---------------------------------------------------------------------------
+
+@query("product_rollup")
+def _product_rollup(ws):
+    return ws.products()
+
+
+@query("product_tokens")
+def _product_tokens(ws):
+    t = text.product_tokens(ws.products())
+    return t.select(F.col(f"`{text.NAME}`"), F.array_join("tokens", " ").alias("tokens"),
+                    F.size("tokens").alias("n_tokens"))
+
+
+@query("product_ngrams")
+def _product_ngrams(ws):
+    t = text.product_terms(ws.products())
+    return t.select(F.col(f"`{text.NAME}`"), F.array_join("terms", "|").alias("terms"),
+                    F.size("terms").alias("n_terms"))
+
+
+@query("product_tfidf")
+def _product_tfidf(ws):
+    return ws.tfidf()[0].select(F.col(f"`{text.NAME}`"), "term", "weight")
+
+
+def _seeded_text(ws):
+    weights, _ = ws.tfidf()
+    prod = ws.products()
+    return prod, weights, ws.materialize("seeded_text_clusters",
+                                         lambda: text.seeded_text_clusters(prod, weights))
+
+
+@query("text_cluster_summary")
+def _text_summary(ws):
+    prod, _, clusters = _seeded_text(ws)
+    return text.cluster_summary(prod, clusters)
+
+
+@query("text_cluster_top_terms")
+def _text_terms(ws):
+    _, weights, clusters = _seeded_text(ws)
+    return text.cluster_top_terms(weights, clusters)
+
+
+@query("text_clusters")
+def _text_clusters(ws):
+    """TF-IDF + KMeans k=8, best of 10 seeds (randomized: rows-only check)."""
+    return text.kmeans_text_clusters(ws.products())
+
+
+@query("embedding_clusters")
+def _embedding_clusters(ws):
+    """KMeans k=8 on the stored 64-d embeddings (randomized: rows-only check)."""
+    return text.embedding_clusters(testdata.embeddings(ws.spark, ws.sf_dir))

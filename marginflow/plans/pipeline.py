@@ -14,7 +14,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marginflow.operators import clean, rollup, segment, summary
+from marginflow.operators import clean, rollup, segment, summary, text
 from marginflow.session import scratch_path
 from marginflow.sources import testdata
 
@@ -76,3 +76,13 @@ class Workspace:
     def scaled(self) -> DataFrame:
         return self.materialize("scaled_features",
                                 lambda: segment.standardize(self.features()))
+
+    def products(self) -> DataFrame:
+        """Per-product rollup of the transaction table (the text stage's documents)."""
+        return self.materialize("product_rollup", lambda: text.product_rollup(
+            testdata.products(self.spark, self.sf_dir)))
+
+    def tfidf(self) -> tuple[DataFrame, DataFrame]:
+        weights = self.materialize("product_tfidf", lambda: text.tfidf(self.products())[0])
+        vocab = self.materialize("product_vocab", lambda: text.tfidf(self.products())[1])
+        return weights, vocab
