@@ -207,8 +207,11 @@ def silhouette(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str = "Cl
                       .cast("int").alias("b")).scalar()
     blk = F.pmod(F.xxhash64("pid"), nblocks).cast("int")
     span = F.explode(F.sequence(F.lit(0), nblocks - 1))
-    q = pts.withColumn("qb", blk).withColumn("rb", span)
-    r = pts.withColumn("rb", blk).withColumn("qb", span)
+    # fresh attributes on each side, so the cogroup is not an ambiguous self-join
+    q = pts.select(F.col("pid").alias("pid"), F.col("cl").alias("cl"), F.col("x").alias("x"),
+                   blk.alias("qb")).withColumn("rb", span)
+    r = pts.select(F.col("pid").alias("pid"), F.col("cl").alias("cl"), F.col("x").alias("x"),
+                   blk.alias("rb")).withColumn("qb", span)
 
     def block(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         if qpdf.empty or rpdf.empty:
@@ -231,7 +234,7 @@ def silhouette(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str = "Cl
     partial = (q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb"))
                 .applyInPandas(block, "pid string, ref int, dsum double, cnt long"))
     per = (partial.groupBy("pid", "ref").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
-                  .join(pts.select("pid", "cl"), "pid"))
+                  .join(pts.select(F.col("pid").alias("pid"), F.col("cl").alias("cl")), "pid"))
     own = F.col("ref") == F.col("cl")
     s = per.groupBy("pid").agg(
         F.max(F.when(own, F.col("cnt"))).alias("n_own"),

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from marginflow.functions.columns import clip_upper
 from marginflow.functions.quantiles import exact_percentile_value
-from marginflow.operators import clean, explore, regress, reports, segment, stats, summary, text
+from marginflow.operators import clean, explore, regress, report, reports, segment, stats, summary, text
+from marginflow.session import scratch_path
+from marginflow.sources import files, schemas, sinks
 from marginflow.sources import testdata
 from marginflow.plans.pipeline import workspace
 from marginflow.sources.schemas import KPI_COLUMNS
@@ -253,7 +255,7 @@ def _mismatches(ws):
 @query("vendor_tiers")
 def _vendor_tiers(ws):
     """KMeans k=3, best of 10 seeds (randomized: rows-only check)."""
-    return segment.kmeans_tiers(ws.vendors(), features=ws.features(), scaled=ws.scaled())
+    return ws.tiers()
 
 
 # --- regression -------------------------------------------------------------------------
@@ -358,3 +360,30 @@ def _text_clusters(ws):
 def _embedding_clusters(ws):
     """KMeans k=8 on the stored 64-d embeddings (randomized: rows-only check)."""
     return text.embedding_clusters(testdata.embeddings(ws.spark, ws.sf_dir))
+
+
+
+# --- sources, sinks and the report ------------------------------------------------------------
+
+@query("csv_roundtrip")
+def _csv_roundtrip(ws):
+    """The reliable clean table exported as CSV and read back with its schema."""
+    path = scratch_path(ws.spark, ws._tag, "export", "vendor_sales_summary_clean_csv")
+    sinks.write_csv(ws.reliable(), path)
+    return files.read_csv(ws.spark, path, schemas.CLEAN_SUMMARY)
+
+
+@query("csv_latin1_roundtrip")
+def _csv_latin1(ws):
+    """The product table written and read as an ISO-8859-1 CSV."""
+    path = scratch_path(ws.spark, ws._tag, "export", "products_latin1_csv")
+    prod = ws.products().select(F.col(f"`{text.NAME}`"), "Sales", "Profit", "Discount", "Category",
+                                F.col("Sub_Category").alias("Sub-Category"))
+    sinks.write_csv(prod, path, encoding="ISO-8859-1")
+    return files.read_csv(ws.spark, path, schemas.PRODUCTS, encoding="ISO-8859-1")
+
+
+@query("analysis_report", digits=None)
+def _analysis_report(ws):
+    """Nested statistics / clustering / regression document (rows-only check)."""
+    return report.analysis_report(ws.vendors(), ws.tiers(), ws.scaled())

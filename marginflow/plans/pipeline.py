@@ -86,3 +86,8 @@ class Workspace:
         weights = self.materialize("product_tfidf", lambda: text.tfidf(self.products())[0])
         vocab = self.materialize("product_vocab", lambda: text.tfidf(self.products())[1])
         return weights, vocab
+
+    def tiers(self) -> DataFrame:
+        """KMeans tiers (best of 10 restarts), written once: the fits are the cost."""
+        return self.materialize("vendor_tiers", lambda: segment.kmeans_tiers(
+            self.vendors(), features=self.features(), scaled=self.scaled()))
