@@ -39,3 +39,13 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
                        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
                        else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
+def exact_mean(c) -> Column:
+    """Mean accumulated as DECIMAL(38, 6), returned as double.
+
+    Order-independent: the same digits whatever the partitioning, unlike a
+    double sum. Used for means of money values (prices), whose decimal means
+    often end exactly on a rounding tie.
+    """
+    return F.avg(col(c).cast("decimal(38,6)")).cast("double")

@@ -2,7 +2,7 @@
 
 Grouped by VendorName (not the number) as the original does; margin and
 turnover are unweighted means of brand rows. NULL names are dropped like
-pandas does. One shuffle; count-distinct is planned by Spark as a two-level
+pandas does. Price means are exact decimal means (order-independent). One shuffle; count-distinct is planned by Spark as a two-level
 aggregate, so a vendor holding a third of all rows is still combined map-side.
 """
 
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginflow.functions.columns import exact_mean
+
 
 def vendor_level_aggregate(df: DataFrame) -> DataFrame:
     def total(c):
@@ -24,5 +26,5 @@ def vendor_level_aggregate(df: DataFrame) -> DataFrame:
                    F.avg("ProfitMargin").alias("ProfitMargin"),
                    total("UnsoldCapital"),
                    F.count_distinct("Brand").alias("BrandCount"),
-                   F.avg("PurchasePrice").alias("AvgPurchasePrice"),
-                   F.avg("ActualPrice").alias("AvgActualPrice")))
+                   exact_mean("PurchasePrice").alias("AvgPurchasePrice"),
+                   exact_mean("ActualPrice").alias("AvgActualPrice")))
