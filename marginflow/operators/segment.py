@@ -145,20 +145,36 @@ def vectorize(df: DataFrame, cols: Sequence[str] = FEATURES, out: str = "feature
 
 
 def kmeans_best_of(df: DataFrame, k: int, n_init: int = 10, seed: int = 42,
-                   features: str = "features", max_iter: int = 300, tol: float = 1e-4):
+                   features: str = "features", max_iter: int = 300, tol: float = 1e-4,
+                   rows_per_partition: int = 100_000, parallel: int | None = None):
     """Fit ``n_init`` KMeans models (seeds seed..seed+n_init-1); return the lowest-cost one.
 
-    The input is reliably checkpointed first so the restarts re-read a short
-    lineage from the shared checkpoint folder, not the whole upstream plan.
+    The input is reliably checkpointed so the restarts re-read a short lineage
+    from the shared checkpoint folder, and sized to about ``rows_per_partition``
+    rows per partition (a small frame becomes one partition; a large one keeps
+    its parallelism). Restarts are independent jobs, submitted from ``parallel``
+    driver threads so small fits overlap instead of queueing.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from pyspark.ml.clustering import KMeans
     data = df.select(features).checkpoint(eager=True)
-    best = None
-    for s in range(seed, seed + n_init):
-        model = KMeans(k=k, seed=s, featuresCol=features, maxIter=max_iter, tol=tol).fit(data)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+    n = data.count()
+    parts = max(1, min(data.rdd.getNumPartitions(), -(-n // rows_per_partition)))
+    if parts < data.rdd.getNumPartitions():
+        data = data.coalesce(parts)
+    data = data.cache()
+
+    def fit(s):
+        return KMeans(k=k, seed=s, featuresCol=features, maxIter=max_iter, tol=tol).fit(data)
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel or n_init, n_init))) as pool:
+            models = list(pool.map(fit, range(seed, seed + n_init)))
+    finally:
+        data.unpersist()
+    # ties keep the earliest seed, like a sequential loop
+    return min(models, key=lambda m: m.summary.trainingCost)
 
 
 def centroids_frame(spark, model, cols: Sequence[str] = FEATURES) -> DataFrame:
