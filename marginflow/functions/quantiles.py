@@ -2,103 +2,160 @@
 
 Spark's ``percentile``/``median`` are exact but merge every distinct value of
 a group in one task; ``percentile_approx`` is bounded but not exact. This
-operator combines them:
-
-1. one pass: ``count`` and ``percentile_approx`` at ``p -/+ margin`` per group
-   give a bracket [lo, hi] around each wanted order statistic;
-2. one pass: exact counts below ``lo`` and up to ``hi`` verify the bracket; a
-   bracket the sketch got wrong is widened to the whole range (the answer is
-   always exact, only slower);
-3. one pass: values inside a bracket are counted per distinct value (partial
-   aggregation, so a value held by a third of all rows is one row), ranked by
-   a window over that small candidate set, and the two order statistics
-   around ``p * (n - 1)`` are interpolated like NumPy/pandas (linear).
-
-The candidate set per (group, p) is about ``8 n / accuracy`` distinct values.
-Per-group bound tables are joined by broadcast: they have one row per group,
-and callers pass only group columns of a known small cardinality (or none).
+operator combines them in three distributed jobs:
+
+1. ``count`` per group (chooses the sketch size);
+2. ``percentile_approx`` at ``p -/+ margin`` per group: a bracket [lo, hi]
+   around each wanted order statistic (a few numbers come back);
+3. one pass that tags every value as below / inside / above its bracket,
+   counts inside values per distinct value (partial aggregation: a value held by
+   a third of all rows is one row), ranks the tagged counts with a window
+   partitioned by (group, p), and keeps only the rows holding the order
+   statistics at floor/ceil of ``p * (n - 1)``.
+
+Ranks count from the smallest value, so a bracket the sketch got wrong leaves
+an order statistic unpicked; that (group, p) is re-run with no bounds, so the
+answer is always exact. The two order statistics are interpolated like
+NumPy/pandas (linear).
+
+The candidate set per (group, p) is about ``8 n / accuracy`` distinct values
+and the sketch about ``accuracy`` entries, so by default the accuracy is
+chosen as sqrt(8 n) (clamped to [1e4, 1e7]): both stay near 3 million at
+n = 1e12 rows and are tiny at a million. Only the picked order statistics
+(and one below/above row per (group, p)) reach the driver; the results are returned as
+literals (or a small DataFrame), which also lets Catalyst push predicates that
+use them (e.g. a quantile crop) into the scan.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_ACCURACY = 1_000_000
+MIN_ACCURACY, MAX_ACCURACY = 10_000, 10_000_000
 
 
-def exact_percentiles(df: DataFrame, value: str | Column, ps: Sequence[float],
-                      by: Sequence[str] = (), accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Long form ``(*by, p, value)``: the linear-interpolation percentile of
-    the non-NULL, non-NaN values per group (pandas ``quantile``/``median``)."""
+def balanced_accuracy(n: int) -> int:
+    return int(min(MAX_ACCURACY, max(MIN_ACCURACY, math.sqrt(8.0 * max(n, 1)))))
+
+
+def _lerp(a: float, b: float, t: float) -> float:
+    d = b - a
+    return b - d * (1 - t) if t >= 0.5 else a + d * t
+
+
+def _pass(d: DataFrame, keys: list[str], brackets: dict) -> dict:
+    """brackets: {(group, i): (lo|None, hi|None, k0, k1)} -> {(group, i): {rank: value}}.
+
+    Ranks count from the smallest value, so a lower bound set too high (more
+    than k0 values below it) or an upper bound too low leaves a rank unpicked,
+    which the caller detects and re-runs without bounds."""
+    rows = [(*g, i, lo, hi, k0, k1) for (g, i), (lo, hi, k0, k1) in brackets.items()]
+    fields = [T.StructField(k, d.schema[k].dataType) for k in keys]
+    fields += [T.StructField("_i", T.IntegerType()), T.StructField("_lo", T.DoubleType()),
+               T.StructField("_hi", T.DoubleType()), T.StructField("_k0", T.LongType()),
+               T.StructField("_k1", T.LongType())]
+    b = d.sparkSession.createDataFrame(rows, T.StructType(fields))
+    # (#groups x #ps) rows: a bounded broadcast side
+    x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
+    tag = F.when(lo.isNotNull() & (x < lo), 0).when(hi.isNotNull() & (x > hi), 2).otherwise(1)
+    tagged = (d.join(F.broadcast(b), keys)
+                .select(*keys, "_i", "_k0", "_k1", tag.alias("_tag"),
+                        F.when(tag == 1, x).alias("_v")))
+    counted = tagged.groupBy(*keys, "_i", "_k0", "_k1", "_tag", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w = (Window.partitionBy(*keys, "_i").orderBy("_tag", "_v")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = (counted.withColumn("_end", F.sum("_c").over(w) - 1)
+                     .withColumn("_start", F.col("_end") - F.col("_c") + 1))
+    hit = lambda k: (F.col("_start") <= F.col(k)) & (F.col(k) <= F.col("_end"))
+    keep = ranked.where((F.col("_tag") != 1) | hit("_k0") | hit("_k1"))
+    out: dict = {}
+    for r in keep.collect():
+        picks = out.setdefault((tuple(r[k] for k in keys), r["_i"]), {})
+        if r["_tag"] == 1:
+            for k in ("_k0", "_k1"):
+                if r["_start"] <= r[k] <= r["_end"]:
+                    picks[r[k]] = r["_v"]
+    return out
+
+
+def percentile_rows(df: DataFrame, value: str | Column, ps: Sequence[float],
+                    by: Sequence[str] = (), accuracy: int | None = None) -> list[tuple]:
+    """[(*group, p, value)] for every non-empty group and p (NULL/NaN ignored)."""
     ps = [float(p) for p in ps]
-    keys = list(by) or ["_g"]
+    keys = list(by)
     x = (F.col(value) if isinstance(value, str) else value).cast("double")
-    d = df.select(*([F.col(k) for k in by] or [F.lit(0).alias("_g")]), x.alias("_x"))
+    d = df.select(*[F.col(k) for k in keys], x.alias("_x"))
     d = d.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-
-    margin = 4.0 / accuracy
+    if not keys:
+        d = d.withColumn("_g", F.lit(0))
+        keys = ["_g"]
+
+    counts = {tuple(r[k] for k in keys): r["_n"]
+              for r in d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).collect()}
+    if not counts:
+        return []
+    acc = accuracy or balanced_accuracy(max(counts.values()))
+    margin = 4.0 / acc
     probs = [max(0.0, p - margin) for p in ps] + [min(1.0, p + margin) for p in ps]
-    k = len(ps)
-
-    # 1. sketch bracket + n
-    stats = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                 F.percentile_approx("_x", probs, accuracy).alias("_a"))
-    # 2. verify the bracket with exact counts (one pass, k counters)
-    checked = (d.join(F.broadcast(stats), keys)
-                .groupBy(*keys)
-                .agg(F.first("_n").alias("_n"), F.first("_a").alias("_a"),
-                     *[F.count_if(F.col("_x") < F.col("_a")[i]).alias(f"_lt{i}") for i in range(k)],
-                     *[F.count_if(F.col("_x") <= F.col("_a")[k + i]).alias(f"_le{i}") for i in range(k)]))
-    rows = []
-    for i, p in enumerate(ps):
-        pos = F.lit(p) * (F.col("_n") - 1)
-        k0 = F.floor(pos)
-        k1 = F.ceil(pos)
-        lo_ok = F.col(f"_lt{i}") <= k0
-        hi_ok = F.col(f"_le{i}") >= k1 + 1
-        rows.append(F.struct(
-            F.lit(i).alias("i"), F.lit(p).alias("p"), k0.alias("k0"), k1.alias("k1"),
-            (pos - k0).alias("t"),
-            F.when(lo_ok, F.col("_a")[i]).alias("lo"),          # NULL: unbounded
-            F.when(hi_ok, F.col("_a")[k + i]).alias("hi"),
-            F.when(lo_ok, F.col(f"_lt{i}")).otherwise(F.lit(0)).alias("below")))
-    bounds = checked.select(*keys, "_n", F.array(*rows).alias("_b"))
-
-    # 3. candidates per (group, p), counted per distinct value, ranked
-    in_range = F.filter("_b", lambda b: (b.lo.isNull() | (F.col("_x") >= b.lo))
-                        & (b.hi.isNull() | (F.col("_x") <= b.hi)))
-    cand = (d.join(F.broadcast(bounds.select(*keys, "_b")), keys)
-             .select(*keys, "_x", F.explode(F.transform(in_range, lambda b: b.i)).alias("_i"))
-             .groupBy(*keys, "_i", "_x").agg(F.count(F.lit(1)).alias("_c")))
-    w = (Window.partitionBy(*keys, "_i").orderBy("_x")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    b = bounds.select(*keys, F.explode("_b").alias("_bb")).select(*keys, "_bb.*")
-    ranked = (cand.withColumn("_cum", F.sum("_c").over(w))
-                  .join(F.broadcast(b), keys)
-                  .where(F.col("_i") == F.col("i"))
-                  .withColumn("_end", F.col("below") + F.col("_cum") - 1)
-                  .withColumn("_start", F.col("_end") - F.col("_c") + 1))
-    picked = (ranked.groupBy(*keys, "i", "p", "t")
-                    .agg(F.max(F.when((F.col("_start") <= F.col("k0")) & (F.col("k0") <= F.col("_end")),
-                                      F.col("_x"))).alias("a"),
-                         F.max(F.when((F.col("_start") <= F.col("k1")) & (F.col("k1") <= F.col("_end")),
-                                      F.col("_x"))).alias("b")))
-    t, a, bb = F.col("t"), F.col("a"), F.col("b")
-    diff = bb - a
-    val = F.when(t >= 0.5, bb - diff * (1 - t)).otherwise(a + diff * t)
-    out = picked.select(*keys, "p", val.alias("value"))
-    if not by:
-        out = out.drop("_g")
+    sketch = {tuple(r[k] for k in keys): r["_a"]
+              for r in d.groupBy(*keys).agg(F.percentile_approx("_x", probs, acc).alias("_a")).collect()}
+
+    def ranks(n, p):
+        pos = p * (n - 1)
+        return pos, math.floor(pos), math.ceil(pos)
+
+    brackets = {}
+    for g, n in counts.items():
+        for i, p in enumerate(ps):
+            _, k0, k1 = ranks(n, p)
+            a = sketch[g]
+            brackets[(g, i)] = (a[i], a[len(ps) + i], k0, k1)
+    result = _pass(d, keys, brackets)
+
+    def ok(key):
+        picks = result.get(key, {})
+        _, _, k0, k1 = brackets[key]
+        return k0 in picks and k1 in picks
+
+    retry = {key: (None, None, b[2], b[3]) for key, b in brackets.items() if not ok(key)}
+    if retry:                                   # the sketch missed: exact, unbounded re-run
+        result.update(_pass(d, keys, retry))
+
+    out = []
+    for g, n in counts.items():
+        for i, p in enumerate(ps):
+            pos, k0, k1 = ranks(n, p)
+            picks = result[(g, i)]
+            v = _lerp(picks[k0], picks[k1], pos - k0)
+            out.append((*([] if keys == ["_g"] else g), p, v))
     return out
 
 
+def percentile_values(df: DataFrame, value: str | Column, ps: Sequence[float],
+                      accuracy: int | None = None) -> list[float | None]:
+    got = {p: v for p, v in percentile_rows(df, value, ps, accuracy=accuracy)}
+    return [got.get(float(p)) for p in ps]
+
+
+def exact_percentiles(df: DataFrame, value: str | Column, ps: Sequence[float],
+                      by: Sequence[str] = (), accuracy: int | None = None) -> DataFrame:
+    """Small DataFrame ``(*by, p, value)`` of exact linear-interpolation percentiles."""
+    rows = percentile_rows(df, value, ps, by, accuracy)
+    fields = [T.StructField(k, df.schema[k].dataType) for k in by]
+    fields += [T.StructField("p", T.DoubleType()), T.StructField("value", T.DoubleType())]
+    return df.sparkSession.createDataFrame(rows, T.StructType(fields))
+
+
 def exact_percentile_value(df: DataFrame, value: str | Column, p: float,
-                           accuracy: int = DEFAULT_ACCURACY) -> Column:
-    """Scalar-subquery Column holding one global percentile."""
-    return exact_percentiles(df, value, [p], accuracy=accuracy).select("value").scalar()
+                           accuracy: int | None = None) -> Column:
+    """One global percentile as a literal Column (NULL for an empty input)."""
+    v = percentile_values(df, value, [p], accuracy)[0]
+    return F.lit(v).cast("double")
 
 
 def exact_median(df: DataFrame, value: str | Column, by: Sequence[str] = ()) -> DataFrame:

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginflow.functions.quantiles import exact_percentiles
+from marginflow.functions.quantiles import percentile_values
 
 
 def _range_stats(df: DataFrame, x: str | Column) -> Column:
@@ -68,23 +68,24 @@ def kde(df: DataFrame, x: str | Column, gridsize: int = 200, bins: int = 40) ->
 
 
 def box_stats(df: DataFrame, x: str, whis: float = 1.5) -> DataFrame:
-    q = (exact_percentiles(df, x, [0.25, 0.5, 0.75])
-         .agg(F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("q1"),
-              F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median"),
-              F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("q3")))
-    qs = q.select(F.struct("q1", "median", "q3").alias("q")).scalar()
+    """Quartiles, fences, whiskers and outlier count (matplotlib's box rule).
+
+    Quartiles come back as literals; then one pass: a value is an outlier
+    exactly when it lies outside the fences, because the whiskers are the most
+    extreme values inside them.
+    """
+    q1, med, q3 = percentile_values(df, x, [0.25, 0.5, 0.75])
     v = F.col(x).cast("double")
-    iqr = qs.q3 - qs.q1
-    lo_f, hi_f = qs.q1 - whis * iqr, qs.q3 + whis * iqr
-    s = df.where(v.isNotNull() & ~F.isnan(v)).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(v >= lo_f, v)).alias("_wl"), F.max(F.when(v <= hi_f, v)).alias("_wh"))
-    sw = s.select(F.struct("_wl", "_wh").alias("w")).scalar()
-    wl = F.coalesce(sw._wl, qs.q1)
-    wh = F.coalesce(sw._wh, qs.q3)
-    out = df.where(v.isNotNull() & ~F.isnan(v)).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if((v < wl) | (v > wh)).alias("outliers"))
-    return out.select("n", qs.q1.alias("q1"), qs.median.alias("median"), qs.q3.alias("q3"),
-                      iqr.alias("iqr"), wl.alias("whisker_low"), wh.alias("whisker_high"),
-                      "outliers")
+    vals = df.where(v.isNotNull() & ~F.isnan(v))
+    if q1 is None:
+        return vals.agg(F.count(F.lit(1)).alias("n"), *[F.lit(None).cast("double").alias(c) for c in
+                        ("q1", "median", "q3", "iqr", "whisker_low", "whisker_high")],
+                        F.lit(0).cast("long").alias("outliers"))
+    iqr = q3 - q1
+    lo_f, hi_f = q1 - whis * iqr, q3 + whis * iqr
+    return vals.agg(
+        F.count(F.lit(1)).alias("n"), F.lit(q1).alias("q1"), F.lit(med).alias("median"),
+        F.lit(q3).alias("q3"), F.lit(iqr).alias("iqr"),
+        F.coalesce(F.min(F.when(v >= lo_f, v)), F.lit(q1)).alias("whisker_low"),
+        F.coalesce(F.max(F.when(v <= hi_f, v)), F.lit(q3)).alias("whisker_high"),
+        F.count_if((v < lo_f) | (v > hi_f)).alias("outliers"))
