@@ -45,6 +45,11 @@ def sales_summary(sales: DataFrame) -> DataFrame:
                  F.sum("ExciseTax").alias("TotalExciseTax")))
 
 
+def sales_summary_report(sales: DataFrame) -> DataFrame:
+    """The standalone sales summary, ordered by sales dollars as published."""
+    return sales_summary(sales).orderBy("TotalSalesDollars", "VendorNo", "Brand")
+
+
 def price_multiplicity(purchase_prices: DataFrame) -> DataFrame:
     """Distinct price rows per brand with how often each occurs."""
     return (purchase_prices.groupBy("Brand", "Volume", "Price", "PurchasePrice")

@@ -54,7 +54,7 @@ def _freight(ws):
 
 @query("sales_summary")
 def _sales(ws):
-    return summary.sales_summary(ws.raw()["sales"])
+    return summary.sales_summary_report(ws.raw()["sales"])
 
 
 @query("purchase_summary")
@@ -300,6 +300,18 @@ def _kde_margin(ws):
     return explore.kde(ws.reliable(), "ProfitMargin")
 
 
+@query("kde_log_sales")
+def _kde_log_sales(ws):
+    return explore.kde(ws.reliable(), F.log1p("TotalSalesDollars"))
+
+
+@query("kde_turnover")
+def _kde_turnover(ws):
+    rel = ws.reliable()
+    cap = exact_percentile_value(rel, "StockTurnover", 0.95)
+    return explore.kde(rel, clip_upper("StockTurnover", cap))
+
+
 @query("box_gross_profit")
 def _box(ws):
     return explore.box_stats(ws.reliable(), "GrossProfit")

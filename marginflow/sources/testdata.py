@@ -15,8 +15,16 @@ from pyspark.sql import functions as F
 BASE_TABLES = ("lineitem", "part", "supplier", "embeddings")
 
 
+_READERS: dict[tuple, DataFrame] = {}
+
+
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One reader per (session, table): file listing and footer are read once."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    df = _READERS.get(key)
+    if df is None:
+        df = _READERS[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
