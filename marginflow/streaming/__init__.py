@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only (no watermarks, windows over time, state
+or late data), so there is no streaming operator to provide. Every operator
+here is a DataFrame transformation and therefore also applies unchanged to a
+Structured Streaming DataFrame's ``foreachBatch`` micro-batches.
+"""
