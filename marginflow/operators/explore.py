@@ -20,51 +20,54 @@ from pyspark.sql import functions as F
 from marginflow.functions.quantiles import percentile_values
 
 
-def _range_stats(df: DataFrame, x: str | Column) -> Column:
-    c = F.col(x) if isinstance(x, str) else x
-    return df.agg(F.struct(F.min(c).alias("a"), F.max(c).alias("b"),
-                           F.count(c).alias("n"), F.stddev_samp(c).alias("sd"))).scalar()
+def _values(df: DataFrame, x: str | Column) -> DataFrame:
+    c = (F.col(x) if isinstance(x, str) else x).cast("double")
+    return df.select(c.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+
+
+def _range_stats(vals: DataFrame):
+    """min, max, n, sample std in one pass; four numbers come back as literals."""
+    return vals.agg(F.min("_x"), F.max("_x"), F.count("_x"), F.stddev_samp("_x")).first()
 
 
 def histogram(df: DataFrame, x: str | Column, bins: int = 40) -> DataFrame:
-    c = (F.col(x) if isinstance(x, str) else x).cast("double")
-    vals = df.select(c.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    st = _range_stats(vals, "_x")
-    same = st.a == st.b
-    lo = F.when(same, st.a - 0.5).otherwise(st.a)
-    hi = F.when(same, st.b + 0.5).otherwise(st.b)
-    idx = F.least(F.floor((F.col("_x") - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int") + 1,
-                  F.lit(bins))
-    counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
+    vals = _values(df, x)
+    a, b, n, _ = _range_stats(vals)
     spark = df.sparkSession
     grid = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    if n == 0:
+        return grid.select("bin", F.lit(None).cast("double").alias("bin_start"),
+                           F.lit(None).cast("double").alias("bin_end"), F.lit(0).cast("long").alias("count"))
+    lo, hi = (a - 0.5, b + 0.5) if a == b else (a, b)
+    idx = F.least(F.floor((F.col("_x") - F.lit(lo)) * F.lit(float(bins) / (hi - lo))).cast("int") + 1,
+                  F.lit(bins))
+    counts = vals.select(idx.alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("count"))
     width = (hi - lo) / bins
     return (grid.join(F.broadcast(counts), "bin", "left")          # <= bins rows
-                .select("bin", (lo + (F.col("bin") - 1) * width).alias("bin_start"),
-                        (lo + F.col("bin") * width).alias("bin_end"),
+                .select("bin", (F.lit(lo) + (F.col("bin") - 1) * F.lit(width)).alias("bin_start"),
+                        (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_end"),
                         F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 
 def kde(df: DataFrame, x: str | Column, gridsize: int = 200, bins: int = 40) -> DataFrame:
-    c = (F.col(x) if isinstance(x, str) else x).cast("double")
-    vals = df.select(c.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    st = _range_stats(vals, "_x")
-    # project the scalar first: subqueries cannot sit inside the lambda
-    withst = vals.withColumn("_st", st)
-    a, b = F.col("_st.a"), F.col("_st.b")
-    h = F.col("_st.sd") * F.pow(F.col("_st.n").cast("double"), F.lit(-0.2))
+    vals = _values(df, x)
+    a, b, n, sd = _range_stats(vals)
+    h = sd * float(n) ** -0.2 if (sd is not None and n) else None
+    if not h:
+        return df.sparkSession.range(gridsize).select(
+            F.col("id").cast("int").alias("point"), F.lit(None).cast("double").alias("x"),
+            F.lit(None).cast("double").alias("density"), F.lit(None).cast("double").alias("count_scale"))
     step = (b - a) / (gridsize - 1)
     contrib = F.transform(F.sequence(F.lit(0), F.lit(gridsize - 1)),
-                          lambda i: F.exp(F.lit(-0.5) * F.pow((a + i * step - F.col("_x"))
-                                                              / F.nullif(h, F.lit(0.0)), 2)))
-    sums = (withst.select(F.posexplode(contrib).alias("point", "k"))
-                  .groupBy("point").agg(F.sum("k").alias("ksum")))
-    h_s = st.sd * F.pow(st.n.cast("double"), F.lit(-0.2))
-    density = F.col("ksum") / F.nullif(st.n * h_s * math.sqrt(2 * math.pi), F.lit(0.0))
+                          lambda i: F.exp(F.lit(-0.5) * F.pow((F.lit(a) + i * F.lit(step) - F.col("_x"))
+                                                              / F.lit(h), 2)))
+    sums = (vals.select(F.posexplode(contrib).alias("point", "k"))
+                .groupBy("point").agg(F.sum("k").alias("ksum")))
+    density = F.col("ksum") / F.lit(n * h * math.sqrt(2 * math.pi))
     return sums.select(F.col("point").cast("int").alias("point"),
-                       (st.a + F.col("point") * ((st.b - st.a) / (gridsize - 1))).alias("x"),
+                       (F.lit(a) + F.col("point") * F.lit((b - a) / (gridsize - 1))).alias("x"),
                        density.alias("density"),
-                       (density * st.n * ((st.b - st.a) / bins)).alias("count_scale"))
+                       (density * F.lit(n * ((b - a) / bins))).alias("count_scale"))
 
 
 def box_stats(df: DataFrame, x: str, whis: float = 1.5) -> DataFrame:

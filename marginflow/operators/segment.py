@@ -42,13 +42,11 @@ def cluster_features(vendor: DataFrame, cap_quantile: float = 0.95) -> DataFrame
 
 def standardize(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
     """(x - mean) / std_pop like scikit-learn's StandardScaler (std 0 -> 1)."""
-    stats = df.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                            *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)])).scalar()
+    st = df.agg(*[F.avg(c) for c in cols], *[F.stddev_pop(c) for c in cols]).first()
     out = []
     for i, c in enumerate(cols):
-        s = stats.getField(f"s{i}")
-        out.append(((F.col(c) - stats.getField(f"m{i}"))
-                    / F.when((s == 0) | s.isNull(), F.lit(1.0)).otherwise(s)).alias(c))
+        m, s = st[i], st[len(cols) + i]
+        out.append(((F.col(c) - F.lit(m)) / F.lit(s if s else 1.0)).alias(c))
     keep = [c for c in df.columns if c not in cols]
     return df.select(*keep, *out)
 
@@ -60,14 +58,14 @@ def _sqdist(cols: Sequence[str], c: Column) -> Column:
 def assign_nearest(df: DataFrame, centroids: DataFrame, cols: Sequence[str] = FEATURES,
                    out: str = "Cluster") -> DataFrame:
     """Append the id of the nearest centroid. ``centroids``: (Cluster, *cols), k rows."""
-    cents = centroids.agg(F.collect_list(F.struct(
-        F.col("Cluster").alias("id"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)]
-    )).alias("cs")).scalar()
-    # subqueries may not sit inside a lambda: project the array first
-    best = F.array_min(F.transform("_cents", lambda c: F.struct(_sqdist(cols, c).alias("d"),
-                                                                c.getField("id").alias("id"))))
-    return (df.withColumn("_cents", cents)
-              .withColumn(out, best.getField("id").cast("int")).drop("_cents"))
+    # k centroids: a bounded literal array, compared per row without any join
+    rows = centroids.select("Cluster", *cols).collect()
+    cents = F.array(*[F.struct(F.lit(int(r[0])).alias("id"),
+                               *[F.lit(None if v is None else float(v)).cast("double").alias(f"c{i}")
+                                 for i, v in enumerate(r[1:])]) for r in rows])
+    best = F.array_min(F.transform(cents, lambda c: F.struct(_sqdist(cols, c).alias("d"),
+                                                             c.getField("id").alias("id"))))
+    return df.withColumn(out, best.getField("id").cast("int"))
 
 
 def band_centroids(bands: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
@@ -219,10 +217,9 @@ def silhouette(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str = "Cl
     """
     pts = df.select(F.col(key).cast("string").alias("pid"), F.col(cluster).cast("int").alias("cl"),
                     F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
-    nblocks = pts.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block_size))
-                      .cast("int").alias("b")).scalar()
-    blk = F.pmod(F.xxhash64("pid"), nblocks).cast("int")
-    span = F.explode(F.sequence(F.lit(0), nblocks - 1))
+    nblocks = max(1, -(-pts.count() // block_size))
+    blk = F.pmod(F.xxhash64("pid"), F.lit(nblocks)).cast("int")
+    span = F.explode(F.sequence(F.lit(0), F.lit(nblocks - 1)))
     # fresh attributes on each side, so the cogroup is not an ambiguous self-join
     q = pts.select(F.col("pid").alias("pid"), F.col("cl").alias("cl"), F.col("x").alias("x"),
                    blk.alias("qb")).withColumn("rb", span)
@@ -258,6 +255,6 @@ def silhouette(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str = "Cl
         F.min(F.when(~own, F.col("dsum") / F.col("cnt"))).alias("b"))
     score = F.when((F.col("n_own") <= 1) | F.col("b").isNull(), F.lit(0.0)).otherwise(
         F.coalesce((F.col("b") - F.col("a")) / F.nullif(F.greatest("a", "b"), F.lit(0.0)), F.lit(0.0)))
-    k = df.agg(F.count_distinct(cluster)).scalar()
+    k = df.agg(F.count_distinct(cluster)).first()[0]
     return s.agg(F.count(F.lit(1)).alias("n"),
-                 F.when(k >= 2, F.avg(score)).alias("silhouette"))
+                 (F.avg(score) if k >= 2 else F.lit(None).cast("double")).alias("silhouette"))

@@ -145,7 +145,9 @@ def cluster_top_terms(weights: DataFrame, clusters: DataFrame, top: int = 6) ->
                    .agg(F.sum("weight").alias("_s"))
                    .join(F.broadcast(sizes), "text_cluster")      # k rows
                    .select("text_cluster", "term", (F.col("_s") / F.col("_n")).alias("centroid_weight")))
-    w = Window.partitionBy("text_cluster").orderBy(F.desc("centroid_weight"), "term")
+    # rank on weights rounded to 1e-9, so mathematically equal weights tie and
+    # fall back to term order instead of summation noise (k partitions x vocabulary rows)
+    w = Window.partitionBy("text_cluster").orderBy(F.desc(F.round("centroid_weight", 9)), "term")
     return (cent.withColumn("term_rank", F.row_number().over(w))
                 .where(F.col("term_rank") <= top))
 
