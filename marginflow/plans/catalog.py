@@ -24,7 +24,8 @@ from marginflow.plans.pipeline import workspace
 from marginflow.sources.schemas import KPI_COLUMNS
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, QueryFn] = {}
+QUERIES: dict[str, QueryFn] = {}        # rounded outputs: what the SQL oracle compares
+OPERATORS: dict[str, QueryFn] = {}      # the same queries, unrounded: what users get
 
 
 def query(name: str, digits: int | None = 4):
@@ -32,9 +33,13 @@ def query(name: str, digits: int | None = 4):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             df = fn(workspace(spark, sf_dir))
             return round_doubles(df, digits) if digits is not None else df
-        run.__name__ = name
-        run.__doc__ = fn.__doc__
+
+        def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(workspace(spark, sf_dir))
+        run.__name__ = raw.__name__ = name
+        run.__doc__ = raw.__doc__ = fn.__doc__
         QUERIES[name] = run
+        OPERATORS[name] = raw
         return fn
     return deco
 
@@ -43,8 +48,10 @@ def query(name: str, digits: int | None = 4):
 
 @query("vendor_sales_summary")
 def _vss(ws):
-    """Flagship: aggregate-before-join summary from the four raw tables."""
-    return ws.summary_plan()
+    """Flagship: the aggregate-before-join summary from the four raw tables,
+    created as a table (CTAS) in the shared folder and returned from there, so
+    every later stage reads the same written rows."""
+    return ws.summary()
 
 
 @query("freight_summary")
