@@ -45,3 +45,17 @@ def test_silhouette_of_published_labels(vendor):
 def test_tier_counts(vendor):
     counts = {r.PerformanceTier: r["count"] for r in vendor.groupBy("PerformanceTier").count().collect()}
     assert counts == {"Mid Performer": 72, "Low Performer": 39, "High Performer": 8}
+
+
+def test_kmeans_tiers_reproduce_published_tiers(vendor):
+    from marginflow.operators import segment
+    base = vendor.drop("Cluster", "PerformanceTier")
+    tiers = segment.kmeans_tiers(base, k=3, n_init=10, seed=42)
+    counts = {r.PerformanceTier: r["count"] for r in tiers.groupBy("PerformanceTier").count().collect()}
+    assert counts == {"Mid Performer": 72, "Low Performer": 39, "High Performer": 8}
+    agree = (tiers.join(vendor.select("VendorName", F.col("PerformanceTier").alias("published")), "VendorName")
+                  .where(F.col("PerformanceTier") == F.col("published")).count())
+    assert agree >= 115
+    model = segment.kmeans_best_of(segment.vectorize(segment.standardize(segment.cluster_features(base))),
+                                   3, 10, 42)
+    assert model.summary.trainingCost <= 1.01 * 149.256
