@@ -2,12 +2,13 @@
 
 Spark's ``percentile``/``median`` are exact but merge every distinct value of
 a group in one task; ``percentile_approx`` is bounded but not exact. This
-operator combines them in three distributed jobs:
+operator combines them in two distributed jobs (three for very large groups):
 
-1. ``count`` per group (chooses the sketch size);
-2. ``percentile_approx`` at ``p -/+ margin`` per group: a bracket [lo, hi]
-   around each wanted order statistic (a few numbers come back);
-3. one pass that tags every value as below / inside / above its bracket,
+1. ``count`` and ``percentile_approx`` at ``p -/+ margin`` per group: a
+   bracket [lo, hi] around each wanted order statistic (a few numbers come
+   back); groups too large for the default sketch are sketched again at the
+   balanced size;
+2. one pass that tags every value as below / inside / above its bracket,
    counts inside values per distinct value (partial aggregation: a value held by
    a third of all rows is one row), ranks the tagged counts with a window
    partitioned by (group, p), and keeps only the rows holding the order
@@ -95,15 +96,21 @@ def percentile_rows(df: DataFrame, value: str | Column, ps: Sequence[float],
         d = d.withColumn("_g", F.lit(0))
         keys = ["_g"]
 
-    counts = {tuple(r[k] for k in keys): r["_n"]
-              for r in d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).collect()}
-    if not counts:
+    def sketch_with(acc):
+        m = 4.0 / acc
+        probs = [max(0.0, p - m) for p in ps] + [min(1.0, p + m) for p in ps]
+        return d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                    F.percentile_approx("_x", probs, acc).alias("_a")).collect()
+
+    # count and a default-size sketch in one job; a larger sketch only for big groups
+    acc = accuracy or MIN_ACCURACY
+    rows = sketch_with(acc)
+    if not rows:
         return []
-    acc = accuracy or balanced_accuracy(max(counts.values()))
-    margin = 4.0 / acc
-    probs = [max(0.0, p - margin) for p in ps] + [min(1.0, p + margin) for p in ps]
-    sketch = {tuple(r[k] for k in keys): r["_a"]
-              for r in d.groupBy(*keys).agg(F.percentile_approx("_x", probs, acc).alias("_a")).collect()}
+    if accuracy is None and balanced_accuracy(max(r["_n"] for r in rows)) > acc:
+        rows = sketch_with(balanced_accuracy(max(r["_n"] for r in rows)))
+    counts = {tuple(r[k] for k in keys): r["_n"] for r in rows}
+    sketch = {tuple(r[k] for k in keys): r["_a"] for r in rows}
 
     def ranks(n, p):
         pos = p * (n - 1)
