@@ -11,6 +11,7 @@ lost executor only re-runs the current stage.
 from __future__ import annotations
 
 import hashlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,13 +20,15 @@ from marginflow.session import scratch_path
 from marginflow.sources import testdata
 
 _WORKSPACES: dict[tuple, "Workspace"] = {}
+_LOCK = threading.Lock()
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> "Workspace":
     key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    ws = _WORKSPACES.get(key)
-    if ws is None:
-        ws = _WORKSPACES[key] = Workspace(spark, sf_dir)
+    with _LOCK:
+        ws = _WORKSPACES.get(key)
+        if ws is None:
+            ws = _WORKSPACES[key] = Workspace(spark, sf_dir)
     return ws
 
 
@@ -35,6 +38,7 @@ class Workspace:
         self.sf_dir = sf_dir.rstrip("/")
         self._tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:10]
         self._written: dict[str, str] = {}
+        self._lock = threading.RLock()      # concurrent callers write each stage once
 
     # -- raw inputs (lazy views) -------------------------------------------
     def raw(self) -> dict[str, DataFrame]:
@@ -47,11 +51,12 @@ class Workspace:
                                             r["vendor_invoice"], r["sales"])
 
     def materialize(self, name: str, build) -> DataFrame:
-        path = self._written.get(name)
-        if path is None:
-            path = scratch_path(self.spark, self._tag, name)
-            build().write.mode("overwrite").parquet(path)
-            self._written[name] = path
+        with self._lock:
+            path = self._written.get(name)
+            if path is None:
+                path = scratch_path(self.spark, self._tag, name)
+                build().write.mode("overwrite").parquet(path)
+                self._written[name] = path
         return self.spark.read.parquet(path)
 
     def summary(self) -> DataFrame:
