@@ -109,9 +109,13 @@ def vendor_sales_summary(purchases: DataFrame, purchase_prices: DataFrame,
 
 
 def never_sold(purchases: DataFrame, sales: DataFrame) -> DataFrame:
-    """Valid purchased (vendor, brand) pairs with no sales row at all."""
+    """Valid purchased (vendor, brand) pairs with no sales row at all.
+
+    Both sides are reduced to distinct pairs first (partial aggregation), so a
+    pair holding a third of all sales rows reaches the anti join as one row.
+    """
     p = valid_purchases(purchases).select("VendorNumber", "Brand").distinct()
-    s = sales.select(F.col("VendorNo").alias("VendorNumber"), "Brand")
+    s = sales.select(F.col("VendorNo").alias("VendorNumber"), "Brand").distinct()
     return p.join(s, ["VendorNumber", "Brand"], "left_anti")
 
 
