@@ -209,43 +209,51 @@ def silhouette(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str = "Cl
 
     O(n^2) distances are unavoidable for the exact value; they are computed in
     numpy per pair of blocks and never emitted as rows. Points are hashed into
-    B = ceil(n / block_size) blocks; block (a, b) is one cogroup task that sums
-    the distances from the points of block a to the points of block b per
-    cluster of b. Output per task is points x clusters, so memory per task is
-    bounded by ``block_size`` whatever n is. Singletons score 0; fewer than two
-    clusters gives NULL.
+    B = ceil(n / block_size) blocks. Only pairs a <= b are formed (distance is
+    symmetric): the cogroup task for (a, b) gets block a's points on the left
+    and block b's on the right, and from one distance matrix emits, per point
+    and per cluster, the distance sums of the left points to the right clusters
+    (row sums) and, when a != b, of the right points to the left clusters
+    (column sums). Each point is shipped about B + 1 times and memory per task
+    is bounded by ``block_size`` whatever n is. Singletons score 0; fewer than
+    two clusters gives NULL.
     """
     pts = df.select(F.col(key).cast("string").alias("pid"), F.col(cluster).cast("int").alias("cl"),
                     F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
     nblocks = max(1, -(-pts.count() // block_size))
     blk = F.pmod(F.xxhash64("pid"), F.lit(nblocks)).cast("int")
-    span = F.explode(F.sequence(F.lit(0), F.lit(nblocks - 1)))
-    # fresh attributes on each side, so the cogroup is not an ambiguous self-join
-    q = pts.select(F.col("pid").alias("pid"), F.col("cl").alias("cl"), F.col("x").alias("x"),
-                   blk.alias("qb")).withColumn("rb", span)
-    r = pts.select(F.col("pid").alias("pid"), F.col("cl").alias("cl"), F.col("x").alias("x"),
-                   blk.alias("rb")).withColumn("qb", span)
-
-    def block(qpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or rpdf.empty:
+    base = pts.select(F.col("pid").alias("pid"), F.col("cl").alias("cl"), F.col("x").alias("x"),
+                      blk.alias("blk"))
+    # left copy of block a goes to pairs (a, b >= a); right copy of block b to pairs (a <= b, b)
+    left = base.select("pid", "cl", "x", F.col("blk").alias("a"),
+                       F.explode(F.sequence(F.col("blk"), F.lit(nblocks - 1))).alias("b"))
+    right = base.select(F.col("pid").alias("pid"), F.col("cl").alias("cl"), F.col("x").alias("x"),
+                        F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("a"), F.col("blk").alias("b"))
+
+    def sums(ids, d, labels_other):
+        labs = np.unique(labels_other)
+        out = np.stack([d[:, labels_other == lab].sum(1) for lab in labs], axis=1)
+        cnt = np.array([(labels_other == lab).sum() for lab in labs])
+        return pd.DataFrame({"pid": np.repeat(ids, len(labs)),
+                             "ref": np.tile(labs, len(ids)).astype("int32"),
+                             "dsum": out.reshape(-1),
+                             "cnt": np.tile(cnt, len(ids)).astype("int64")})
+
+    def block(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        if lpdf.empty or rpdf.empty:
             return pd.DataFrame({"pid": [], "ref": [], "dsum": [], "cnt": []})
-        xq = np.stack(qpdf["x"].to_numpy()).astype(float)
+        xl = np.stack(lpdf["x"].to_numpy()).astype(float)
         xr = np.stack(rpdf["x"].to_numpy()).astype(float)
-        rc = rpdf["cl"].to_numpy()
-        labels = np.unique(rc)
-        sums = np.zeros((len(xq), len(labels)))
-        for s in range(0, len(xq), 256):
-            d = np.sqrt(((xq[s:s + 256, None, :] - xr[None, :, :]) ** 2).sum(-1))
-            for j, lab in enumerate(labels):
-                sums[s:s + 256, j] = d[:, rc == lab].sum(1)
-        counts = np.array([(rc == lab).sum() for lab in labels])
-        return pd.DataFrame({"pid": np.repeat(qpdf["pid"].to_numpy(), len(labels)),
-                             "ref": np.tile(labels, len(xq)).astype("int32"),
-                             "dsum": sums.reshape(-1),
-                             "cnt": np.tile(counts, len(xq)).astype("int64")})
-
-    partial = (q.groupBy("qb", "rb").cogroup(r.groupBy("qb", "rb"))
-                .applyInPandas(block, "pid string, ref int, dsum double, cnt long"))
+        d = np.empty((len(xl), len(xr)))
+        for s0 in range(0, len(xl), 256):
+            d[s0:s0 + 256] = np.sqrt(((xl[s0:s0 + 256, None, :] - xr[None, :, :]) ** 2).sum(-1))
+        parts = [sums(lpdf["pid"].to_numpy(), d, rpdf["cl"].to_numpy())]
+        if lpdf["a"].iloc[0] != lpdf["b"].iloc[0]:
+            parts.append(sums(rpdf["pid"].to_numpy(), d.T, lpdf["cl"].to_numpy()))
+        return pd.concat(parts, ignore_index=True)
+
+    partial = (left.groupBy("a", "b").cogroup(right.groupBy("a", "b"))
+                   .applyInPandas(block, "pid string, ref int, dsum double, cnt long"))
     per = (partial.groupBy("pid", "ref").agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt"))
                   .join(pts.select(F.col("pid").alias("pid"), F.col("cl").alias("cl")), "pid"))
     own = F.col("ref") == F.col("cl")
