@@ -7,6 +7,7 @@ SQL oracle across summation orders.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -387,7 +388,7 @@ def _embedding_clusters(ws):
 @query("csv_roundtrip")
 def _csv_roundtrip(ws):
     """The reliable clean table exported as CSV and read back with its schema."""
-    path = scratch_path(ws.spark, ws._tag, "export", "vendor_sales_summary_clean_csv")
+    path = scratch_path(ws.spark, ws._tag, "export", f"vendor_sales_summary_clean_csv-{uuid.uuid4().hex[:8]}")
     sinks.write_csv(ws.reliable(), path)
     return files.read_csv(ws.spark, path, schemas.CLEAN_SUMMARY)
 
@@ -395,7 +396,7 @@ def _csv_roundtrip(ws):
 @query("csv_latin1_roundtrip")
 def _csv_latin1(ws):
     """The product table written and read as an ISO-8859-1 CSV."""
-    path = scratch_path(ws.spark, ws._tag, "export", "products_latin1_csv")
+    path = scratch_path(ws.spark, ws._tag, "export", f"products_latin1_csv-{uuid.uuid4().hex[:8]}")
     prod = ws.products().select(F.col(f"`{text.NAME}`"), "Sales", "Profit", "Discount", "Category",
                                 F.col("Sub_Category").alias("Sub-Category"))
     sinks.write_csv(prod, path, encoding="ISO-8859-1")
