@@ -43,7 +43,7 @@ def analysis_report(vendor: DataFrame, tiers: DataFrame, scaled: DataFrame) -> D
     reg = drivers.agg(F.bround(F.first("r2"), 3).alias("r2"),
                       F.bround(F.first("intercept"), 2).alias("i")).select(F.struct("r2", "i")).scalar()
 
-    return spark.range(1).select(
+    return spark.range(1, numPartitions=1).select(
         F.struct(F.struct(ttest.alias("ttest_top_vs_bottom_sales_tier"),
                           corr_map.alias("correlation_matrix")).alias("statistics"),
                  F.struct(F.lit("KMeans (k=3, standardized, log-scaled dollar features)").alias("algorithm"),

@@ -20,8 +20,10 @@ def test_pipeline_end_to_end(spark, tmpdir_path):
     assert metrics["rows_loaded"] == 1850 and metrics["rows_reliable"] == reliable.count()
     out = jobs.stats_ml_job(reliable, tmpdir_path, n_init=3)
     assert out["tiers"].count() == out["vendor"].count() == 10
-    doc = json.loads(open([os.path.join(r, f) for r, _, fs in os.walk(tmpdir_path + "/analysis_results_json")
-                           for f in fs if f.endswith(".json")][0]).readline())
+    lines = [ln for r, _, fs in os.walk(tmpdir_path + "/analysis_results_json") for f in fs
+             if f.endswith(".json") for ln in open(os.path.join(r, f)) if ln.strip()]
+    assert len(lines) == 1
+    doc = json.loads(lines[0])
     assert set(doc) == {"statistics", "clustering", "regression"}
     assert sum(doc["clustering"]["vendor_counts"].values()) == 10
 
@@ -31,3 +33,25 @@ def test_text_job(spark, tmpdir_path):
     n = out["products"].count()
     assert out["clusters"].count() == n
     assert sum(r.n_products for r in out["summary"].collect()) == n
+
+
+def test_cli_pipeline_from_parquet_paths_with_tier_reference(spark, tmpdir_path, capsys):
+    from marginflow.__main__ import main
+    raw = testdata.raw_tables(spark, SF_SMALL)
+    args = ["pipeline", "--out", tmpdir_path + "/out"]
+    for name, df in raw.items():
+        df.write.parquet(f"{tmpdir_path}/{name}")
+        args += [f"--{name.replace('_', '-')}", f"{tmpdir_path}/{name}"]
+    ref = tmpdir_path + "/tiers.csv"
+    with open(ref, "w") as f:
+        f.write("VendorName,PerformanceTier\nSupplier#000000000,Low Performer\nSupplier#000000001,Mid Performer\n")
+    assert main(args + ["--tier-reference", ref], spark=spark) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["clean_metrics"]["rows_loaded"] == 1850 and out["vendors"] == 10
+    assert out["tier_agreement"]["vendors_compared"] == 2
+
+
+def test_cli_query(spark, capsys):
+    from marginflow.__main__ import main
+    assert main(["query", "top10_purchase", "--testdata", SF_SMALL, "--show", "3"], spark=spark) == 0
+    assert "TotalPurchaseDollars" in capsys.readouterr().out
