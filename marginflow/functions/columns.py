@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Unicode-aware: strips tabs, NBSP and other Unicode white space like str.strip().
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Unicode-aware like Python's str.strip(): Unicode white space (tabs, NBSP, ...)
+# plus the ASCII separators U+001C..U+001F, which Python also counts as space.
+_EDGE_WS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 
 
 def col(c) -> Column:

@@ -65,3 +65,11 @@ def test_clean_metrics_one_pass(spark):
     reliable, obs = clean.observed_clean(df)
     assert reliable.count() == 2
     assert obs.get["nulls_filled"] == 2
+
+
+def test_strip_matches_python_str_strip(spark):
+    from marginflow.functions.columns import strip_ws
+    samples = [" a\t ", " b ", "\x1fc\x1c", "　d e ", "  ", "x"]
+    got = [r[0] for r in spark.createDataFrame([(s,) for s in samples], "s string")
+           .select(strip_ws("s")).collect()]
+    assert got == [s.strip() for s in samples]
