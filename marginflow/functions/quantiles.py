@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MIN_ACCURACY, MAX_ACCURACY = 10_000, 10_000_000
+MAX_GROUPS = 10_000   # per-group brackets travel to the driver and back as a broadcast
 
 
 def balanced_accuracy(n: int) -> int:
@@ -99,8 +100,13 @@ def percentile_rows(df: DataFrame, value: str | Column, ps: Sequence[float],
     def sketch_with(acc):
         m = 4.0 / acc
         probs = [max(0.0, p - m) for p in ps] + [min(1.0, p + m) for p in ps]
-        return d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                    F.percentile_approx("_x", probs, acc).alias("_a")).collect()
+        got = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                    F.percentile_approx("_x", probs, acc).alias("_a"))
+                .limit(MAX_GROUPS + 1).collect())
+        if len(got) > MAX_GROUPS:
+            raise ValueError(f"exact percentiles support at most {MAX_GROUPS} groups; "
+                             "use percentile_approx for high-cardinality groupings")
+        return got
 
     # count and a default-size sketch in one job; a larger sketch only for big groups
     acc = accuracy or MIN_ACCURACY

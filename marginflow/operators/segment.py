@@ -28,6 +28,7 @@ from marginflow.functions.quantiles import exact_percentile_value
 
 FEATURES = ["LogSales", "LogGrossProfit", "ProfitMargin", "StockTurnoverCapped"]
 LOW, MID, HIGH = "Low Performer", "Mid Performer", "High Performer"
+MAX_CENTROIDS = 10_000
 
 
 def cluster_features(vendor: DataFrame, cap_quantile: float = 0.95) -> DataFrame:
@@ -59,7 +60,9 @@ def assign_nearest(df: DataFrame, centroids: DataFrame, cols: Sequence[str] = FE
                    out: str = "Cluster") -> DataFrame:
     """Append the id of the nearest centroid. ``centroids``: (Cluster, *cols), k rows."""
     # k centroids: a bounded literal array, compared per row without any join
-    rows = centroids.select("Cluster", *cols).collect()
+    rows = centroids.select("Cluster", *cols).limit(MAX_CENTROIDS + 1).collect()
+    if len(rows) > MAX_CENTROIDS:
+        raise ValueError(f"at most {MAX_CENTROIDS} centroids are supported")
     cents = F.array(*[F.struct(F.lit(int(r[0])).alias("id"),
                                *[F.lit(None if v is None else float(v)).cast("double").alias(f"c{i}")
                                  for i, v in enumerate(r[1:])]) for r in rows])
