@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOKEN_PATTERN = r"([\p{L}\p{N}_]{2,})"
+from marginflow.constants import TOKEN_PATTERN
 
 
 @functools.lru_cache(maxsize=8)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from marginflow.functions.columns import safe_div, strip_ws
 
-STRING_FILL = ["VendorName", "Description"]
+from marginflow.constants import STRING_FILL
 
 
 def cast_volume(df: DataFrame, lenient: bool = False) -> DataFrame:

@@ -17,6 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginflow.constants import BOX_WHIS, HIST_BINS, KDE_GRIDSIZE
 from marginflow.functions.quantiles import percentile_values
 
 
@@ -30,7 +31,7 @@ def _range_stats(vals: DataFrame):
     return vals.agg(F.min("_x"), F.max("_x"), F.count("_x"), F.stddev_samp("_x")).first()
 
 
-def histogram(df: DataFrame, x: str | Column, bins: int = 40) -> DataFrame:
+def histogram(df: DataFrame, x: str | Column, bins: int = HIST_BINS) -> DataFrame:
     vals = _values(df, x)
     a, b, n, _ = _range_stats(vals)
     spark = df.sparkSession
@@ -49,7 +50,7 @@ def histogram(df: DataFrame, x: str | Column, bins: int = 40) -> DataFrame:
                         F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 
-def kde(df: DataFrame, x: str | Column, gridsize: int = 200, bins: int = 40) -> DataFrame:
+def kde(df: DataFrame, x: str | Column, gridsize: int = KDE_GRIDSIZE, bins: int = HIST_BINS) -> DataFrame:
     vals = _values(df, x)
     a, b, n, sd = _range_stats(vals)
     h = sd * float(n) ** -0.2 if (sd is not None and n) else None
@@ -70,7 +71,7 @@ def kde(df: DataFrame, x: str | Column, gridsize: int = 200, bins: int = 40) ->
                        (density * F.lit(n * ((b - a) / bins))).alias("count_scale"))
 
 
-def box_stats(df: DataFrame, x: str, whis: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, x: str, whis: float = BOX_WHIS) -> DataFrame:
     """Quartiles, fences, whiskers and outlier count (matplotlib's box rule).
 
     Quartiles come back as literals; then one pass: a value is an outlier

@@ -13,8 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DRIVERS = ["FreightCost", "StockTurnover", "BrandCount", "AvgPurchasePrice", "AvgActualPrice"]
-TARGET = "ProfitMargin"
+from marginflow.constants import DRIVERS, TARGET
 
 
 def _design(vendor: DataFrame, features: Sequence[str], target: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginflow.constants import CLUSTER_ALGORITHM, TARGET_LABEL
 from marginflow.operators import regress, segment, stats
 
 
@@ -46,12 +47,12 @@ def analysis_report(vendor: DataFrame, tiers: DataFrame, scaled: DataFrame) -> D
     return spark.range(1, numPartitions=1).select(
         F.struct(F.struct(ttest.alias("ttest_top_vs_bottom_sales_tier"),
                           corr_map.alias("correlation_matrix")).alias("statistics"),
-                 F.struct(F.lit("KMeans (k=3, standardized, log-scaled dollar features)").alias("algorithm"),
+                 F.struct(F.lit(CLUSTER_ALGORITHM).alias("algorithm"),
                           F.array(*[F.lit(c) for c in segment.FEATURES]).alias("features_used"),
                           sil_v.alias("silhouette_score"),
                           prof_map.alias("cluster_profile_means"),
                           count_map.alias("vendor_counts")).alias("clustering"),
-                 F.struct(F.lit("ProfitMargin (%)").alias("target"),
+                 F.struct(F.lit(TARGET_LABEL).alias("target"),
                           F.array(*[F.lit(c) for c in regress.DRIVERS]).alias("features"),
                           reg.getField("r2").alias("r2_score"),
                           reg.getField("i").alias("intercept"),

@@ -15,13 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginflow.constants import CROP_QUANTILE, KPI_SUMMARY_COLUMNS, TOP_N, VALUE_COUNTS_N
 from marginflow.functions.quantiles import exact_percentiles, exact_percentile_value
 
-KPI_SUMMARY_COLUMNS = ["ProfitMargin", "TotalSalesDollars", "GrossProfit", "StockTurnover",
-                       "UnsoldCapital"]
 
 
-def top_vendors_by(df: DataFrame, column: str, n: int = 10, digits: int | None = 2) -> DataFrame:
+def top_vendors_by(df: DataFrame, column: str, n: int = TOP_N, digits: int | None = 2) -> DataFrame:
     """``SELECT VendorName, ROUND(SUM(col), 2) .. GROUP BY VendorName ORDER BY 2 DESC LIMIT n``."""
     total = F.sum(column)
     total = F.round(total, digits) if digits is not None else total
@@ -30,7 +29,7 @@ def top_vendors_by(df: DataFrame, column: str, n: int = 10, digits: int | None =
               .limit(n))
 
 
-def top_brand_per_vendor(df: DataFrame, n: int = 10) -> DataFrame:
+def top_brand_per_vendor(df: DataFrame, n: int = TOP_N) -> DataFrame:
     """RANK() = 1 per vendor by TotalSalesDollars DESC (ties all kept), top n overall."""
     best = df.groupBy(F.col("VendorName").alias("_bv")).agg(F.max("TotalSalesDollars").alias("_best"))
     tops = (df.join(best, (F.col("VendorName").eqNullSafe(F.col("_bv")))
@@ -41,7 +40,7 @@ def top_brand_per_vendor(df: DataFrame, n: int = 10) -> DataFrame:
                         "Description").limit(n)
 
 
-def unsold_gap(df: DataFrame, n: int = 10) -> DataFrame:
+def unsold_gap(df: DataFrame, n: int = TOP_N) -> DataFrame:
     """Pairs bought more than sold (NULL sales drop), largest unsold units first."""
     gap = F.col("TotalPurchaseQuantity") - F.col("TotalSalesQuantity")
     return (df.where(F.col("TotalPurchaseQuantity") > F.col("TotalSalesQuantity"))
@@ -56,7 +55,7 @@ def distinct_counts(df: DataFrame, approx: bool = False) -> DataFrame:
     return df.agg(f("VendorName").alias("unique_vendors"), f("Brand").alias("unique_brands"))
 
 
-def value_counts(df: DataFrame, column: str, n: int = 5) -> DataFrame:
+def value_counts(df: DataFrame, column: str, n: int = VALUE_COUNTS_N) -> DataFrame:
     """``value_counts().head(n)``: most frequent first, ties by value."""
     return (df.where(F.col(column).isNotNull()).groupBy(column)
               .agg(F.count(F.lit(1)).alias("count"))
@@ -91,7 +90,7 @@ def quantiles(df: DataFrame, column: str, ps: Sequence[float]) -> DataFrame:
     return exact_percentiles(df, column, ps).select(F.lit(column).alias("metric"), "p", "value")
 
 
-def quantile_crop(df: DataFrame, x: str, y: str, q: float = 0.98,
+def quantile_crop(df: DataFrame, x: str, y: str, q: float = CROP_QUANTILE,
                   keys: Sequence[str] = ("VendorName", "Brand")) -> DataFrame:
     """Scatter points with x in [0, quantile_q(x)] (the chart's x-range)."""
     cap = exact_percentile_value(df, x, q)

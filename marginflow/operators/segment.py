@@ -23,15 +23,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginflow.constants import (FEATURES, HIGH, LOW, MID, N_INIT, PROFILE_COLUMNS, SEED, TOP_N,
+                                  TURNOVER_CAP_QUANTILE, VENDOR_K)
 from marginflow.functions.columns import clip_lower, clip_upper
 from marginflow.functions.quantiles import exact_percentile_value
 
-FEATURES = ["LogSales", "LogGrossProfit", "ProfitMargin", "StockTurnoverCapped"]
-LOW, MID, HIGH = "Low Performer", "Mid Performer", "High Performer"
 MAX_CENTROIDS = 10_000
 
 
-def cluster_features(vendor: DataFrame, cap_quantile: float = 0.95) -> DataFrame:
+def cluster_features(vendor: DataFrame, cap_quantile: float = TURNOVER_CAP_QUANTILE) -> DataFrame:
     cap = exact_percentile_value(vendor, "StockTurnover", cap_quantile)
     return vendor.select(
         "VendorName",
@@ -77,13 +77,13 @@ def band_centroids(bands: DataFrame, cols: Sequence[str] = FEATURES) -> DataFram
                  .groupBy("Cluster").agg(*[F.avg(c).alias(c) for c in cols]))
 
 
-def seeded_bands(scaled: DataFrame, by: str = "LogSales", k: int = 3) -> DataFrame:
+def seeded_bands(scaled: DataFrame, by: str = "LogSales", k: int = VENDOR_K) -> DataFrame:
     cuts = [exact_percentile_value(scaled, by, i / k) for i in range(1, k)]
     band = sum((F.when(F.col(by) >= c, 1).otherwise(0) for c in cuts), F.lit(0))
     return scaled.withColumn("Band", band.cast("int"))
 
 
-def band_tiers(bands: DataFrame, k: int = 3) -> DataFrame:
+def band_tiers(bands: DataFrame, k: int = VENDOR_K) -> DataFrame:
     """A rule-based tier per vendor (lowest band Low, highest High, rest Mid)."""
     tier = F.when(F.col("Band") == k - 1, HIGH).when(F.col("Band") == 0, LOW).otherwise(MID)
     return bands.select("VendorName", tier.alias("PerformanceTier"))
@@ -112,8 +112,7 @@ def tier_profile(tiers: DataFrame, vendor: DataFrame) -> DataFrame:
     v = tiers.select("VendorName", "PerformanceTier").join(vendor, "VendorName")
     return v.groupBy("PerformanceTier").agg(
         F.count(F.lit(1)).alias("vendor_count"),
-        *[F.bround(F.avg(c), 2).alias(c) for c in
-          ["TotalSalesDollars", "GrossProfit", "ProfitMargin", "StockTurnover"]])
+        *[F.bround(F.avg(c), 2).alias(c) for c in PROFILE_COLUMNS])
 
 
 def tier_agreement(pipeline: DataFrame, reference: DataFrame) -> DataFrame:
@@ -131,7 +130,7 @@ def _check(pipeline: DataFrame, reference: DataFrame) -> DataFrame:
     return p.join(r, "VendorName")
 
 
-def tier_mismatches(pipeline: DataFrame, reference: DataFrame, n: int = 10) -> DataFrame:
+def tier_mismatches(pipeline: DataFrame, reference: DataFrame, n: int = TOP_N) -> DataFrame:
     eq = F.col("PerformanceTier_pipeline") == F.col("PerformanceTier_reference")
     return (_check(pipeline, reference)
             .withColumn("status", F.when(eq, "match").otherwise("MISMATCH"))
@@ -145,7 +144,7 @@ def vectorize(df: DataFrame, cols: Sequence[str] = FEATURES, out: str = "feature
     return df.withColumn(out, array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])))
 
 
-def kmeans_best_of(df: DataFrame, k: int, n_init: int = 10, seed: int = 42,
+def kmeans_best_of(df: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
                    features: str = "features", max_iter: int = 300, tol: float = 1e-4,
                    rows_per_partition: int = 100_000, parallel: int | None = None):
     """Fit ``n_init`` KMeans models (seeds seed..seed+n_init-1); return the lowest-cost one.
@@ -183,7 +182,7 @@ def centroids_frame(spark, model, cols: Sequence[str] = FEATURES) -> DataFrame:
     return spark.createDataFrame(rows, ["Cluster", *cols])
 
 
-def kmeans_tiers(vendor: DataFrame, k: int = 3, n_init: int = 10, seed: int = 42,
+def kmeans_tiers(vendor: DataFrame, k: int = VENDOR_K, n_init: int = N_INIT, seed: int = SEED,
                  features: DataFrame | None = None, scaled: DataFrame | None = None) -> DataFrame:
     """Full tiering: features -> scaled -> best-of-n KMeans -> ranked tiers.
 

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from marginflow.functions.quantiles import exact_percentile_value
 from marginflow.functions.tdist import two_sided_p
 
-CORR_COLUMNS = ["TotalSalesDollars", "GrossProfit", "ProfitMargin", "StockTurnover",
-                "UnsoldCapital"]
+from marginflow.constants import CORR_COLUMNS
 
 
 def sales_tier_split(vendor: DataFrame, by: str = "TotalSalesDollars") -> DataFrame:

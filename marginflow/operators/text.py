@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marginflow.constants import MAX_FEATURES, N_INIT, SEED, TEXT_K, TOP_TERMS
 from marginflow.functions.columns import safe_div
 from marginflow.functions.text import ngrams_1_2, tokens
 
@@ -49,7 +50,7 @@ def product_terms(prod: DataFrame, stop_words: Sequence[str] | None = None) -> D
                        ngrams_1_2(tokens(F.col(f"`{NAME}`"), stop_words)).alias("terms"))
 
 
-def tfidf(prod: DataFrame, max_features: int = 300,
+def tfidf(prod: DataFrame, max_features: int = MAX_FEATURES,
           stop_words: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Returns (weights long form: Product Name, term, weight; vocabulary: term, idx)."""
     docs = product_terms(prod, stop_words)
@@ -83,8 +84,8 @@ def dense_vectors(prod: DataFrame, weights: DataFrame, vocab_size: int,
                      .otherwise(arr)).alias(out)))
 
 
-def kmeans_text_clusters(prod: DataFrame, k: int = 8, n_init: int = 10, seed: int = 42,
-                         max_features: int = 300,
+def kmeans_text_clusters(prod: DataFrame, k: int = TEXT_K, n_init: int = N_INIT, seed: int = SEED,
+                         max_features: int = MAX_FEATURES,
                          stop_words: Sequence[str] | None = None) -> DataFrame:
     from marginflow.operators.segment import kmeans_best_of
     weights, vocab = tfidf(prod, max_features, stop_words)
@@ -95,7 +96,7 @@ def kmeans_text_clusters(prod: DataFrame, k: int = 8, n_init: int = 10, seed: in
                                        F.col("prediction").cast("int").alias("text_cluster"))
 
 
-def seeded_text_clusters(prod: DataFrame, weights: DataFrame, k: int = 8) -> DataFrame:
+def seeded_text_clusters(prod: DataFrame, weights: DataFrame, k: int = TEXT_K) -> DataFrame:
     """Assign each product to the nearest of k seed vectors: the top-k products by
     Sales (ties by name). Squared distance |x|^2 + |c|^2 - 2 x.c over sparse maps."""
     seeds = (prod.select(F.col(f"`{NAME}`"), "Sales")
@@ -138,7 +139,7 @@ def cluster_summary(prod: DataFrame, clusters: DataFrame) -> DataFrame:
                 .orderBy("avg_margin", "text_cluster"))
 
 
-def cluster_top_terms(weights: DataFrame, clusters: DataFrame, top: int = 6) -> DataFrame:
+def cluster_top_terms(weights: DataFrame, clusters: DataFrame, top: int = TOP_TERMS) -> DataFrame:
     """Top centroid terms per cluster (centroid = mean member vector)."""
     sizes = clusters.groupBy("text_cluster").agg(F.count(F.lit(1)).alias("_n"))
     cent = (weights.join(clusters, NAME).groupBy("text_cluster", "term")
@@ -152,7 +153,7 @@ def cluster_top_terms(weights: DataFrame, clusters: DataFrame, top: int = 6) ->
                 .where(F.col("term_rank") <= top))
 
 
-def embedding_clusters(emb: DataFrame, k: int = 8, n_init: int = 10, seed: int = 42,
+def embedding_clusters(emb: DataFrame, k: int = TEXT_K, n_init: int = N_INIT, seed: int = SEED,
                        id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """KMeans on stored embedding vectors (the dense-vector variant of text clustering)."""
     from pyspark.ml.functions import array_to_vector

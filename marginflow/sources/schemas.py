@@ -30,7 +30,7 @@ SUMMARY = _struct(("VendorNumber", L), ("VendorName", S), ("Brand", L), ("Descri
                   ("TotalSalesQuantity", L), ("TotalSalesDollars", D), ("TotalSalesPrice", D),
                   ("TotalExciseTax", D), ("FreightCost", D))
 
-KPI_COLUMNS = ["GrossProfit", "ProfitMargin", "StockTurnover", "UnsoldCapital"]
+from marginflow.constants import KPI_COLUMNS  # noqa: E402
 CLEAN_SUMMARY = _struct(*[(f.name, D if f.name == "Volume" else f.dataType) for f in SUMMARY.fields],
                         *[(c, D) for c in KPI_COLUMNS])
 
