@@ -1,7 +1,8 @@
 """Ranking, gap and exploratory-summary reports over the summary tables.
 
-Top-k reports use ``orderBy(..).limit(k)`` with a total order, which Spark
-plans as a distributed top-k (each task keeps k rows). The per-vendor top
+Top-k reports use ``orderBy(..).limit(k)`` with a total order (tiebreak keys
+NULLS LAST, as in the SQL oracle), which Spark plans as a distributed top-k
+(each task keeps k rows). The per-vendor top
 brand avoids a window partitioned by vendor (a vendor with a third of all
 rows would be one task): the max per vendor is a partial aggregate, and the
 rows that reach it are found by a join on (vendor, value), which spreads a
@@ -25,7 +26,7 @@ def top_vendors_by(df: DataFrame, column: str, n: int = TOP_N, digits: int | Non
     total = F.sum(column)
     total = F.round(total, digits) if digits is not None else total
     return (df.groupBy("VendorName").agg(total.alias(column))
-              .orderBy(F.desc_nulls_last(column), F.asc("VendorName"))
+              .orderBy(F.desc_nulls_last(column), F.asc_nulls_last("VendorName"))
               .limit(n))
 
 
@@ -36,8 +37,8 @@ def top_brand_per_vendor(df: DataFrame, n: int = TOP_N) -> DataFrame:
                     & (F.col("TotalSalesDollars").eqNullSafe(F.col("_best"))))
               .select("VendorName", "Brand", "Description", "TotalSalesDollars",
                       F.lit(1).cast("int").alias("rnk")))
-    return tops.orderBy(F.desc_nulls_last("TotalSalesDollars"), "VendorName", "Brand",
-                        "Description").limit(n)
+    return tops.orderBy(F.desc_nulls_last("TotalSalesDollars"), *[F.asc_nulls_last(c) for c in
+                        ("VendorName", "Brand", "Description")]).limit(n)
 
 
 def unsold_gap(df: DataFrame, n: int = TOP_N) -> DataFrame:
@@ -46,7 +47,8 @@ def unsold_gap(df: DataFrame, n: int = TOP_N) -> DataFrame:
     return (df.where(F.col("TotalPurchaseQuantity") > F.col("TotalSalesQuantity"))
               .select("VendorName", "Brand", "TotalPurchaseQuantity", "TotalSalesQuantity",
                       gap.alias("UnsoldUnits"))
-              .orderBy(F.desc("UnsoldUnits"), "VendorName", "Brand", "TotalPurchaseQuantity")
+              .orderBy(F.desc("UnsoldUnits"), *[F.asc_nulls_last(c) for c in
+                       ("VendorName", "Brand", "TotalPurchaseQuantity")])
               .limit(n))
 
 
