@@ -11,18 +11,16 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from marginflow.functions.columns import round_doubles
 from pyspark.sql import functions as F
 
-from marginflow.functions.columns import clip_upper
+from marginflow.constants import KPI_COLUMNS
+from marginflow.functions.columns import clip_upper, round_doubles
 from marginflow.functions.quantiles import exact_percentile_value
-from marginflow.operators import clean, explore, regress, report, reports, segment, stats, summary, text
-from marginflow.session import scratch_path
-from marginflow.sources import files, schemas, sinks
-from marginflow.sources import testdata
+from marginflow.operators import (clean, explore, regress, report, reports, segment, stats,
+                                  summary, text)
 from marginflow.plans.pipeline import workspace
-from marginflow.sources.schemas import KPI_COLUMNS
+from marginflow.session import scratch_path
+from marginflow.sources import files, schemas, sinks, testdata
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}        # rounded outputs: what the SQL oracle compares
