@@ -50,24 +50,43 @@ def product_terms(prod: DataFrame, stop_words: Sequence[str] | None = None) -> D
                        ngrams_1_2(tokens(F.col(f"`{NAME}`"), stop_words)).alias("terms"))
 
 
-def tfidf(prod: DataFrame, max_features: int = MAX_FEATURES,
-          stop_words: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Returns (weights long form: Product Name, term, weight; vocabulary: term, idx)."""
+def term_frequencies(prod: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
+    """(Product Name, term, tf): n-gram counts per document."""
     docs = product_terms(prod, stop_words)
-    tf = (docs.select(F.col(f"`{NAME}`"), F.explode("terms").alias("term"))
-              .groupBy(F.col(f"`{NAME}`"), "term").agg(F.count(F.lit(1)).alias("tf")))
-    vocab = (tf.groupBy("term").agg(F.sum("tf").alias("ctf"), F.count(F.lit(1)).alias("df"))
-               .orderBy(F.desc("ctf"), "term").limit(max_features))
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    # <= max_features rows: the single-partition window and the broadcast are bounded
-    vocab = vocab.select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf"),
-                         (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("idx"))
-    w = tf.join(F.broadcast(vocab), "term").withColumn("raw", F.col("tf") * F.col("idf"))
+    return (docs.select(F.col(f"`{NAME}`"), F.explode("terms").alias("term"))
+                .groupBy(F.col(f"`{NAME}`"), "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def vocabulary(prod: DataFrame, max_features: int = MAX_FEATURES,
+               stop_words: Sequence[str] | None = None) -> DataFrame:
+    """(term, idf, idx): the top ``max_features`` terms by corpus count (ties by
+    term), smooth idf over all documents, and an alphabetical feature index."""
+    tf = term_frequencies(prod, stop_words)
+    top = (tf.groupBy("term").agg(F.sum("tf").alias("ctf"), F.count(F.lit(1)).alias("df"))
+             .orderBy(F.desc("ctf"), "term").limit(max_features))
+    n_docs = prod.agg(F.count(F.lit(1))).scalar()
+    # <= max_features rows: the single-partition window is bounded
+    return top.select("term", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf"),
+                      (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("idx"))
+
+
+def tfidf_weights(prod: DataFrame, vocab: DataFrame,
+                  stop_words: Sequence[str] | None = None) -> DataFrame:
+    """(Product Name, term, idx, weight): tf * idf over the vocabulary, L2-normalised
+    per document. The vocabulary side is broadcast: its size is ``max_features``."""
+    w = (term_frequencies(prod, stop_words).join(F.broadcast(vocab), "term")
+         .withColumn("raw", F.col("tf") * F.col("idf")))
     norm = Window.partitionBy(F.col(f"`{NAME}`"))     # one document: a few terms
-    weights = w.select(F.col(f"`{NAME}`"), "term", "idx",
-                       (F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(norm)))
-                       .alias("weight"))
-    return weights, vocab
+    return w.select(F.col(f"`{NAME}`"), "term", "idx",
+                    (F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(norm)))
+                    .alias("weight"))
+
+
+def tfidf(prod: DataFrame, max_features: int = MAX_FEATURES,
+          stop_words: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Returns (weights long form: Product Name, term, idx, weight; vocabulary: term, idf, idx)."""
+    vocab = vocabulary(prod, max_features, stop_words)
+    return tfidf_weights(prod, vocab, stop_words), vocab
 
 
 def dense_vectors(prod: DataFrame, weights: DataFrame, vocab_size: int,
@@ -86,9 +105,12 @@ def dense_vectors(prod: DataFrame, weights: DataFrame, vocab_size: int,
 
 def kmeans_text_clusters(prod: DataFrame, k: int = TEXT_K, n_init: int = N_INIT, seed: int = SEED,
                          max_features: int = MAX_FEATURES,
-                         stop_words: Sequence[str] | None = None) -> DataFrame:
+                         stop_words: Sequence[str] | None = None,
+                         weights: DataFrame | None = None, vocab: DataFrame | None = None) -> DataFrame:
+    """KMeans over dense TF-IDF vectors; pass precomputed (weights, vocab) to reuse them."""
     from marginflow.operators.segment import kmeans_best_of
-    weights, vocab = tfidf(prod, max_features, stop_words)
+    if weights is None or vocab is None:
+        weights, vocab = tfidf(prod, max_features, stop_words)
     vocab_size = vocab.count()
     vec = dense_vectors(prod, weights, max(vocab_size, 1)).checkpoint(eager=True)
     model = kmeans_best_of(vec, k, n_init, seed)

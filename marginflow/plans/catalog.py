@@ -371,7 +371,8 @@ def _text_terms(ws):
 @query("text_clusters")
 def _text_clusters(ws):
     """TF-IDF + KMeans k=8, best of 10 seeds (randomized: rows-only check)."""
-    return text.kmeans_text_clusters(ws.products())
+    weights, vocab = ws.tfidf()
+    return text.kmeans_text_clusters(ws.products(), weights=weights, vocab=vocab)
 
 
 @query("embedding_clusters")

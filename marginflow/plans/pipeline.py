@@ -88,8 +88,10 @@ class Workspace:
             testdata.products(self.spark, self.sf_dir)))
 
     def tfidf(self) -> tuple[DataFrame, DataFrame]:
-        weights = self.materialize("product_tfidf", lambda: text.tfidf(self.products())[0])
-        vocab = self.materialize("product_vocab", lambda: text.tfidf(self.products())[1])
+        """TF-IDF weights over the written vocabulary (computed once, then reused)."""
+        vocab = self.materialize("product_vocab", lambda: text.vocabulary(self.products()))
+        weights = self.materialize("product_tfidf",
+                                   lambda: text.tfidf_weights(self.products(), vocab))
         return weights, vocab
 
     def tiers(self) -> DataFrame:
