@@ -52,22 +52,24 @@ def standardize(df: DataFrame, cols: Sequence[str] = FEATURES) -> DataFrame:
     return df.select(*keep, *out)
 
 
-def _sqdist(cols: Sequence[str], c: Column) -> Column:
-    return sum(((F.col(x) - c.getField(f"c{i}")) ** 2 for i, x in enumerate(cols)), F.lit(0.0))
+def _sqdist(cols: Sequence[str], centre: Sequence[float | None]) -> Column:
+    return sum(((F.col(x) - F.lit(c).cast("double")) ** 2 for x, c in zip(cols, centre)), F.lit(0.0))
 
 
 def assign_nearest(df: DataFrame, centroids: DataFrame, cols: Sequence[str] = FEATURES,
                    out: str = "Cluster") -> DataFrame:
-    """Append the id of the nearest centroid. ``centroids``: (Cluster, *cols), k rows."""
-    # k centroids: a bounded literal array, compared per row without any join
+    """Append the id of the nearest centroid. ``centroids``: (Cluster, *cols), k rows.
+
+    The k centroids come back as literals and the k distances are unrolled into
+    one codegen'd expression: O(n k), no join; ties go to the lower cluster id.
+    """
     rows = centroids.select("Cluster", *cols).limit(MAX_CENTROIDS + 1).collect()
     if len(rows) > MAX_CENTROIDS:
         raise ValueError(f"at most {MAX_CENTROIDS} centroids are supported")
-    cents = F.array(*[F.struct(F.lit(int(r[0])).alias("id"),
-                               *[F.lit(None if v is None else float(v)).cast("double").alias(f"c{i}")
-                                 for i, v in enumerate(r[1:])]) for r in rows])
-    best = F.array_min(F.transform(cents, lambda c: F.struct(_sqdist(cols, c).alias("d"),
-                                                             c.getField("id").alias("id"))))
+    if not rows:
+        return df.withColumn(out, F.lit(None).cast("int"))
+    best = F.array_min(F.array(*[F.struct(_sqdist(cols, r[1:]).alias("d"), F.lit(int(r[0])).alias("id"))
+                                 for r in rows]))
     return df.withColumn(out, best.getField("id").cast("int"))
 
 
