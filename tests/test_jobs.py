@@ -55,3 +55,15 @@ def test_cli_query(spark, capsys):
     from marginflow.__main__ import main
     assert main(["query", "top10_purchase", "--testdata", SF_SMALL, "--show", "3"], spark=spark) == 0
     assert "TotalPurchaseDollars" in capsys.readouterr().out
+
+
+def test_cli_text_from_latin1_csv(spark, tmpdir_path, capsys):
+    from marginflow.__main__ import main
+    from marginflow.sources import sinks
+    tx = testdata.products(spark, SF_SMALL).drop("_row_order")
+    sinks.write_csv(tx.coalesce(1), tmpdir_path + "/tx", encoding="ISO-8859-1")
+    assert main(["text", "--out", tmpdir_path + "/out", "--products-csv", tmpdir_path + "/tx"],
+                spark=spark) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines() if x.startswith("{")]
+    assert len(lines) == 8
+    assert sum(x["n_products"] for x in lines) == tx.select("Product Name").distinct().count()
