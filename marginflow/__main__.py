@@ -1,7 +1,7 @@
-"""Command line: run the pipeline stages or one registered query.
+"""Command line: run the stages end to end, or one registered query.
 
-    python -m marginflow pipeline --out DIR (--testdata SF_DIR | --purchases P --purchase-prices P
-                                             --vendor-invoice P --sales P) [--tier-reference CSV]
+    python -m marginflow build --out DIR (--testdata SF_DIR | --purchases P --purchase-prices P
+                                          --vendor-invoice P --sales P) [--tier-reference CSV]
     python -m marginflow text --out DIR (--testdata SF_DIR | --products-csv CSV)
     python -m marginflow query NAME --testdata SF_DIR [--show N]
 
@@ -36,7 +36,7 @@ def _raw_tables(spark, args):
 def main(argv: list[str] | None = None, spark=None) -> int:
     ap = argparse.ArgumentParser(prog="marginflow")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    p = sub.add_parser("pipeline", help="raw tables -> summary -> clean -> stats/ML outputs")
+    p = sub.add_parser("build", help="raw tables -> summary -> clean -> stats/ML outputs")
     p.add_argument("--out", required=True)
     p.add_argument("--testdata")
     for name in ("purchases", "purchase-prices", "vendor-invoice", "sales"):
@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
     spark = spark or build_session(args.master)
     from marginflow.plans import jobs
-    if args.cmd == "pipeline":
+    if args.cmd == "build":
         summary = jobs.build_summary_job(_raw_tables(spark, args), args.out, args.buckets)
         reliable, metrics = jobs.clean_job(summary, args.out)
         out = jobs.stats_ml_job(reliable, args.out, args.tier_reference)

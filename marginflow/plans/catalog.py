@@ -18,7 +18,7 @@ from marginflow.functions.columns import clip_upper, round_doubles
 from marginflow.functions.quantiles import exact_percentile_value
 from marginflow.operators import (clean, explore, regress, report, reports, segment, stats,
                                   summary, text)
-from marginflow.plans.pipeline import workspace
+from marginflow.plans.stages import workspace
 from marginflow.session import scratch_path
 from marginflow.sources import files, schemas, sinks, testdata
 

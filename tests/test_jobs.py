@@ -38,7 +38,7 @@ def test_text_job(spark, tmpdir_path):
 def test_cli_pipeline_from_parquet_paths_with_tier_reference(spark, tmpdir_path, capsys):
     from marginflow.__main__ import main
     raw = testdata.raw_tables(spark, SF_SMALL)
-    args = ["pipeline", "--out", tmpdir_path + "/out"]
+    args = ["build", "--out", tmpdir_path + "/out"]
     for name, df in raw.items():
         df.write.parquet(f"{tmpdir_path}/{name}")
         args += [f"--{name.replace('_', '-')}", f"{tmpdir_path}/{name}"]

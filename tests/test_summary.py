@@ -111,7 +111,7 @@ def explain(df) -> str:
 
 
 def test_flagship_plan_prunes_columns_and_combines_map_side(spark):
-    from marginflow.plans.pipeline import Workspace
+    from marginflow.plans.stages import Workspace
     plan = explain(Workspace(spark, "/root/testdata/sf0.001").summary_plan())
     # only the needed lineitem columns are read
     assert "ReadSchema: struct<l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_quantity:double>" in plan
