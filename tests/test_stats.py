@@ -53,3 +53,15 @@ def test_correlation_matches_numpy_and_constant_is_null(spark):
         for j, b in enumerate("abc"):
             assert got[(a, b)] == pytest.approx(round(exp[i, j], 3), abs=1e-3)
     assert got[("a", "k")] is None and got[("k", "k")] is None
+
+
+def test_correlation_ml_path_matches_moments(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(50, 4))
+    x[:, 2] = 0.5 * x[:, 0] + x[:, 2]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double, d double")
+    cols = ["a", "b", "c", "d"]
+    m = {(r.metric_x, r.metric_y): r.corr for r in stats.correlation_matrix(df, cols, "moments").collect()}
+    g = {(r.metric_x, r.metric_y): r.corr for r in stats.correlation_matrix(df, cols, "ml").collect()}
+    assert m.keys() == g.keys()
+    assert all(abs(m[k] - g[k]) <= 1e-3 for k in m)
