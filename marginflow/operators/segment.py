@@ -1,14 +1,14 @@
 """Vendor segmentation: features, scaling, KMeans tiers, silhouette, agreement.
 
 * features: log1p of clipped dollars, margin, turnover capped at its exact
-  95th percentile (scalar subquery, no join);
+  95th percentile (a literal from the distributed percentile; no join);
 * scaling: (x - mean) / population std, std 0 -> 1, from one aggregate row
-  used as a struct scalar subquery;
+  whose moments come back as literals;
 * KMeans: ``pyspark.ml`` fitted ``n_init`` times with consecutive seeds on a
   reliably checkpointed frame; the lowest training cost (inertia) wins;
-* nearest centroid: the k centroids travel as one array in a scalar subquery
-  and each row takes ``array_min`` of (distance, cluster) structs: O(n k), no
-  join, ties go to the lower cluster id;
+* nearest centroid: the k centroids come back as literals and each row takes
+  ``array_min`` of k unrolled (distance, cluster) structs: O(n k), no join,
+  ties go to the lower cluster id;
 * tiers: clusters ranked by mean GrossProfit over k rows (lowest = Low, highest
   = High, the rest Mid; with k = 1 the single cluster is High);
 * silhouette: exact Euclidean mean silhouette, blocked (see ``silhouette``).
@@ -220,7 +220,7 @@ def silhouette(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str = "Cl
     (row sums) and, when a != b, of the right points to the left clusters
     (column sums). Each point is shipped about B + 1 times and memory per task
     is bounded by ``block_size`` whatever n is. Singletons score 0; fewer than
-    two clusters gives NULL.
+    two clusters gives NULL. ``key`` must identify points uniquely.
     """
     pts = df.select(F.col(key).cast("string").alias("pid"), F.col(cluster).cast("int").alias("cl"),
                     F.array(*[F.col(c).cast("double") for c in cols]).alias("x"))
