@@ -1,5 +1,6 @@
 """Exploratory summaries: the data behind histograms, density curves and box plots.
 
+* range statistics (min, max, n, std) come back as literals from one pass;
 * histogram: 40 equal bins on [min, max] (NumPy's rule: the last bin is
   closed), empty bins included by a left join from a bins-row range;
 * density: Gaussian KDE, Scott bandwidth (sample std * n^-1/5), evaluated on

@@ -1,8 +1,9 @@
 """Statistics on the vendor frame: median split, Welch's t-test, correlations.
 
-All are global aggregates (partial aggregation, one tiny final merge); the
-median is the exact distributed percentile; the t tail is a Column
-expression, so the whole test is one lazy plan.
+All are global aggregates (partial aggregation, one tiny final merge). The
+median split comes back as a literal from the exact distributed percentile,
+and the t tail is a Column expression, so the test itself is one aggregate
+pass over the vendor frame.
 """
 
 from __future__ import annotations
