@@ -67,3 +67,29 @@ def test_cli_text_from_latin1_csv(spark, tmpdir_path, capsys):
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines() if x.startswith("{")]
     assert len(lines) == 8
     assert sum(x["n_products"] for x in lines) == tx.select("Product Name").distinct().count()
+
+
+def test_bucketed_summary_joins_without_shuffle(spark, tmpdir_path):
+    import contextlib
+    import io
+    from marginflow.sources import sinks
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        summ = jobs.build_summary_job(testdata.raw_tables(spark, SF_SMALL), tmpdir_path, buckets=8)
+        assert summ.count() == 1850
+        other = summ.select("VendorNumber", "Brand", "TotalPurchaseDollars")
+        sinks.write_table(other, "mf_lookup", path=tmpdir_path + "/lookup",
+                          bucket_by=["VendorNumber", "Brand"], num_buckets=8)
+        j = summ.join(spark.table("mf_lookup").withColumnRenamed("TotalPurchaseDollars", "t2"),
+                      ["VendorNumber", "Brand"])
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            j.explain()
+        assert "Exchange" not in buf.getvalue()
+        assert j.count() == 1850
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sql("DROP TABLE IF EXISTS mf_lookup")
+        spark.sql("DROP TABLE IF EXISTS vendor_sales_summary")
