@@ -1,4 +1,7 @@
-"""Every registered query against its DuckDB oracle (row count, columns, values)."""
+"""Every registered query against its DuckDB oracle (row count, columns, values).
+
+Runs at sf0.001 by default; set ORACLE_SF_DIR (e.g. /root/testdata/sf0.01, the
+driver's scale) to check another data set."""
 
 import os
 
@@ -8,6 +11,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from harness import compare, duck
 
+SF_SMALL = os.environ.get("ORACLE_SF_DIR", SF_SMALL)
+
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
