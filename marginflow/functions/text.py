@@ -4,40 +4,26 @@ Token rule: lower-case, then maximal runs of 2+ letters, digits or "_"
 (the default word pattern of common TF-IDF vectorizers); stop words removed
 (duplicates kept); n-grams built from the remaining tokens.
 
-The stop-word list is a parameter. The default is Spark ML's own English list,
-read from the Spark ML jar (the same list ``StopWordsRemover`` loads), so
-Spark and the SQL oracle share one list without a JVM round trip.
+The stop-word list is a parameter: any list of words may be passed. The default
+is the plain constant ``stopwords.ENGLISH`` (the words Spark ML's
+``StopWordsRemover`` loads), shared by the operators and the SQL oracle.
 """
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from marginflow.constants import TOKEN_PATTERN
-
-
-@functools.lru_cache(maxsize=8)
-def spark_stop_words(language: str = "english") -> tuple[str, ...]:
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found; pass stop words explicitly")
-    with zipfile.ZipFile(jars[0]) as z:
-        text = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w for w in text.split() if w)
+from marginflow.functions.stopwords import ENGLISH
 
 
 def tokens(c: Column | str, stop_words: Sequence[str] | None = None) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     toks = F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 1)
-    stop = list(spark_stop_words() if stop_words is None else stop_words)
+    stop = list(ENGLISH if stop_words is None else stop_words)
     if not stop:
         return toks
     return F.filter(toks, lambda t: ~t.isin(stop))

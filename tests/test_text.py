@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from marginflow.functions.text import spark_stop_words
+from marginflow.functions.stopwords import ENGLISH
 from marginflow.operators import text
 
 NAMES = ["Café Chair Deluxe", "the and of", "Binder", "Ring ring Binder", "Large ring binder",
@@ -38,7 +38,7 @@ def test_rollup_first_by_order_and_zero_sales(spark, tx):
 
 
 def test_tokens_and_ngrams(spark, tx):
-    stop = set(spark_stop_words())
+    stop = set(ENGLISH)
     prod = text.product_rollup(tx)
     got = {r["Product Name"]: r.terms for r in text.product_terms(prod).collect()}
     for n in NAMES:
@@ -49,7 +49,7 @@ def test_tokens_and_ngrams(spark, tx):
 
 
 def test_tfidf_matches_brute_force(spark, tx):
-    stop = set(spark_stop_words())
+    stop = set(ENGLISH)
     prod = text.product_rollup(tx)
     weights, vocab = text.tfidf(prod, max_features=6)
     docs = {r["Product Name"]: brute_terms(r["Product Name"], stop) for r in prod.collect()}
