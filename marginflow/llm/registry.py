@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import langid, line_dedup, packing, quality, simhash
+from marginflow.llm import (html_text, langid, line_dedup, lm_scoring, order_minhash, packing, piece_sampling,
+                            quality, simhash, url_filters)
 from marginflow.llm.common import id_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,18 +24,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_json(name: str = "word_bpe_49k.json") -> str:
+def vocabulary_file(name: str) -> bytes:
     import public_tokenizers
-    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+    with open(public_tokenizers.path(name), "rb") as f:
         return f.read()
 
 
+def tokenizer_json(name: str = "word_bpe_49k.json") -> str:
+    return vocabulary_file(name).decode()
+
+
 @query
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens: one row per piece."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_json())
 
 
+URL_RULES = ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
+
+
+@query
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's url."""
+    rules = [url_filters.parse_rule(r) for r in URL_RULES]
+    return url_filters.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and model score of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_crc(F.col("doc_id")) % 7 == 2
+    return lm_scoring.score_documents(docs, docs.where(~held_out)).withColumn("held_out", held_out).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order MinHash fingerprints of every document and its edited text."""
+    return order_minhash.compare_with_edit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every document, and whether it decodes to the text."""
+    return piece_sampling.encode(table(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"),
+                                 keep_ids=False)
+
+
 @query
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its source's boilerplate lines."""
