@@ -19,6 +19,7 @@ import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from marginflow.llm.common import written
 
 CAPACITY = 2048
-#: Entries of the word cache of one Python worker; a full cache is emptied.
+#: Entries of the word cache of one Python worker; a full cache keeps the half it met first.
 CACHE_WORDS = 500_000
 #: Words of letters only that are encoded in one call.
 BLOCK = 400
@@ -66,9 +67,7 @@ class WordEncoder:
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, missing: list[bytes]) -> None:
-        if len(self.ids) + len(missing) > CACHE_WORDS:
-            self.ids.clear()
+    def _learn(self, missing: set[bytes]) -> None:
         stems, new = [], set()
         for w in missing:
             s = w.rstrip(_ASCII_MARKS)
@@ -78,7 +77,7 @@ class WordEncoder:
                 stems.append((w, s, w[len(s):]))
                 new.add(s)
                 new.add(w[len(s):])
-        new -= self.ids.keys()
+        new = new.difference(self.ids)
         letters = [w for w in new if w.isalpha() or (not w.isascii() and w.decode().isalpha())]
         rest = list(new.difference(letters))
         for at in range(0, len(letters), BLOCK):
@@ -104,13 +103,16 @@ class WordEncoder:
                          if b"<|" in raw else raw.lower().split())
         at = 0
         while at < len(split):
-            known, wanted, end = self.ids.keys(), set(), at
-            while end < len(split) and (end == at or len(wanted) < CACHE_WORDS // 4):
-                wanted.update(w for w in split[end] if w not in known)
+            wanted, end = set(), at
+            while end < len(split) and (end == at or len(wanted) < CACHE_WORDS // 8):
+                wanted |= set(split[end]).difference(self.ids)
                 end += 1
+            if len(self.ids) + 2 * len(wanted) > CACHE_WORDS:
+                # what was met first is what is met often; the rest makes room
+                self.ids = dict(islice(self.ids.items(), CACHE_WORDS // 2))
+                wanted = set().union(*split[at:end]).difference(self.ids)
             if wanted:
-                keep = set().union(*split[at:end]) if len(known) + 3 * len(wanted) > CACHE_WORDS else wanted
-                self._learn(list(keep))
+                self._learn(wanted)
             for ws in split[at:end]:
                 yield b"".join(map(self.ids.__getitem__, ws))
             at = end
