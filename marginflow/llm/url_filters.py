@@ -64,7 +64,11 @@ def tokens_of(url: Column) -> Column:
     query = F.regexp_extract(F.coalesce(_after_scheme(url), F.lit("")), r"^[^?#]*\?([^#]*)", 1)
     parts = [("h:", F.split(host_of(url), r"\.")), ("p:", F.split(F.lower(path_of(url)), "/")),
              ("q:", F.regexp_extract_all(query, F.lit(r"(?:^|&)([^&=]+)"), 1))]
-    named = [F.transform(F.filter(a, lambda x: x != ""), lambda x, p=p: F.concat(F.lit(p), x)) for p, a in parts]
+
+    def named_by(kind: str):  # a lambda's second argument would be the index
+        return lambda x: F.concat(F.lit(kind), x)
+
+    named = [F.transform(F.filter(a, lambda x: x != ""), named_by(kind)) for kind, a in parts]
     return F.array_sort(F.array_distinct(F.concat(*named)))
 
 
