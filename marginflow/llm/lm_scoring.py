@@ -354,6 +354,10 @@ def _symbols(head: Head, numbers: np.ndarray) -> np.ndarray:
     return np.where((numbers < 0) | (numbers >= head.size), head.size, numbers)
 
 
+def end_symbol(head: Head) -> int:
+    return min(head.number.get(END, head.size), head.size)
+
+
 def _chunks(texts: list) -> Iterator[list]:
     """Texts in runs of about ``LAYOUT_TOKENS`` tokens (judged by their characters)."""
     held, n = [], 0
@@ -371,8 +375,7 @@ def fit(training: DataFrame, head: Head, id_col: str = "doc_id", text_col: str =
     """The network after one pass of all training documents over all partitions."""
     spark = training.sparkSession
     net = Network(head)
-    end = head.number.get(END, head.size)
-    end = end if end < head.size else head.size
+    end = end_symbol(head)
     rows = training.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("string").alias("id"))
     known = spark.sparkContext.broadcast(head)
     share = WARM_UP_DOCS / max(training.count(), 1)
@@ -437,8 +440,7 @@ def score_documents(docs: DataFrame, training: DataFrame, id_col: str = "doc_id"
     counts = written(count_words(training, text_col), "word-counts")
     head = head_of(counts)
     net = fit(training, head, id_col, text_col)
-    end = head.number.get(END, head.size)
-    end = end if end < head.size else head.size
+    end = end_symbol(head)
     known, model = spark.sparkContext.broadcast(head), spark.sparkContext.broadcast(net)  # HEAD words; VOCABULARY rows
 
     def run(batches):
@@ -451,7 +453,7 @@ def score_documents(docs: DataFrame, training: DataFrame, id_col: str = "doc_id"
                 numbers, sizes, outside = head.encode(some)
                 owner = np.repeat(np.arange(len(some)), sizes)
                 inside = numbers >= 0
-                base = np.bincount(owner[inside], head.base[numbers[inside]], minlength=len(some))
+                base = np.bincount(owner[inside], head.base[numbers[inside]], minlength=len(some)).astype(np.float64)
                 rare = numbers >= head.size
                 lp = score(model.value, _symbols(head, numbers), sizes, end)
                 lp += np.bincount(owner[rare], head.within[numbers[rare]], minlength=len(some))
