@@ -1,174 +1,122 @@
-"""Exact, linearly interpolated percentiles without funnelling a group into one task.
-
-Spark's ``percentile``/``median`` are exact but merge every distinct value of
-a group in one task; ``percentile_approx`` is bounded but not exact. This
-operator combines them in two distributed jobs (three for very large groups):
-
-1. ``count`` and ``percentile_approx`` at ``p -/+ margin`` per group: a
-   bracket [lo, hi] around each wanted order statistic (a few numbers come
-   back); groups too large for the default sketch are sketched again at the
-   balanced size;
-2. one pass that tags every value as below / inside / above its bracket,
-   counts inside values per distinct value (partial aggregation: a value held by
-   a third of all rows is one row), ranks the tagged counts with a window
-   partitioned by (group, p), and keeps only the rows holding the order
-   statistics at floor/ceil of ``p * (n - 1)``.
-
-Ranks count from the smallest value, so a bracket the sketch got wrong leaves
-an order statistic unpicked; that (group, p) is re-run with no bounds, so the
-answer is always exact. The two order statistics are interpolated like
-NumPy/pandas (linear).
-
-The candidate set per (group, p) is about ``8 n / accuracy`` distinct values
-and the sketch about ``accuracy`` entries, so by default the accuracy is
-chosen as sqrt(8 n) (clamped to [1e4, 1e7]): both stay near 3 million at
-n = 1e12 rows and are tiny at a million. Only the picked order statistics
-(and one below/above row per (group, p)) reach the driver; the results are returned as
-literals (or a small DataFrame), which also lets Catalyst push predicates that
-use them (e.g. a quantile crop) into the scan.
+"""Exact, linearly interpolated percentiles by distributed radix selection.
+
+Spark's ``percentile``/``median`` merge every distinct value of a group in one
+task, and a sketch is not exact. Here every value gets an order-preserving
+position made of digits: its sign, binary exponent and first mantissa bits are
+the first digit, the next mantissa bits the following ones. For each wanted rank
+
+1. values are counted by their first digit, and running counts give the digit
+   that holds the rank;
+2. the values with that digit are counted by their next one, and so on;
+3. what shares all digits (values within a relative 2^-36 of each other) is
+   counted value by value.
+
+Every pass is a partial and a final ``groupBy(group, rank, digit)``; a running
+count sees at most 2^16 or so rows for each group and rank, whatever the number
+of rows, map tasks or groups. The wanted digits are written as a table after each pass: a few
+rows are then broadcast to the next pass, many (a lot of groups) are joined by
+key. Groups stay a DataFrame throughout; a NULL group is a group.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MIN_ACCURACY, MAX_ACCURACY = 10_000, 10_000_000
-MAX_GROUPS = 10_000   # per-group brackets travel to the driver and back as a broadcast
-
-
-def balanced_accuracy(n: int) -> int:
-    return int(min(MAX_ACCURACY, max(MIN_ACCURACY, math.sqrt(8.0 * max(n, 1)))))
-
-
-def _lerp(a: float, b: float, t: float) -> float:
-    d = b - a
-    return b - d * (1 - t) if t >= 0.5 else a + d * t
-
-
-def _pass(d: DataFrame, keys: list[str], brackets: dict) -> dict:
-    """brackets: {(group, i): (lo|None, hi|None, k0, k1)} -> {(group, i): {rank: value}}.
-
-    Ranks count from the smallest value, so a lower bound set too high (more
-    than k0 values below it) or an upper bound too low leaves a rank unpicked,
-    which the caller detects and re-runs without bounds."""
-    rows = [(*g, i, lo, hi, k0, k1) for (g, i), (lo, hi, k0, k1) in brackets.items()]
-    fields = [T.StructField(k, d.schema[k].dataType) for k in keys]
-    fields += [T.StructField("_i", T.IntegerType()), T.StructField("_lo", T.DoubleType()),
-               T.StructField("_hi", T.DoubleType()), T.StructField("_k0", T.LongType()),
-               T.StructField("_k1", T.LongType())]
-    b = d.sparkSession.createDataFrame(rows, T.StructType(fields))
-    # (#groups x #ps) rows: a bounded broadcast side
-    x, lo, hi = F.col("_x"), F.col("_lo"), F.col("_hi")
-    tag = F.when(lo.isNotNull() & (x < lo), 0).when(hi.isNotNull() & (x > hi), 2).otherwise(1)
-    tagged = (d.join(F.broadcast(b), keys)
-                .select(*keys, "_i", "_k0", "_k1", tag.alias("_tag"),
-                        F.when(tag == 1, x).alias("_v")))
-    counted = tagged.groupBy(*keys, "_i", "_k0", "_k1", "_tag", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w = (Window.partitionBy(*keys, "_i").orderBy("_tag", "_v")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (counted.withColumn("_end", F.sum("_c").over(w) - 1)
-                     .withColumn("_start", F.col("_end") - F.col("_c") + 1))
-    hit = lambda k: (F.col("_start") <= F.col(k)) & (F.col(k) <= F.col("_end"))
-    keep = ranked.where((F.col("_tag") != 1) | hit("_k0") | hit("_k1"))
-    out: dict = {}
-    for r in keep.collect():
-        picks = out.setdefault((tuple(r[k] for k in keys), r["_i"]), {})
-        if r["_tag"] == 1:
-            for k in ("_k0", "_k1"):
-                if r["_start"] <= r[k] <= r["_end"]:
-                    picks[r[k]] = r["_v"]
-    return out
-
-
-def percentile_rows(df: DataFrame, value: str | Column, ps: Sequence[float],
-                    by: Sequence[str] = (), accuracy: int | None = None) -> list[tuple]:
-    """[(*group, p, value)] for every non-empty group and p (NULL/NaN ignored)."""
-    ps = [float(p) for p in ps]
-    keys = list(by)
+from marginflow.session import written
+
+#: Mantissa bits of the first digit, and of each further digit.
+FIRST_BITS, DIGIT_BITS = 4, 16
+DIGITS = 3
+_EXPONENT_OFFSET = 1100   # above every binary exponent of a double, so that the first digit's sign is the value's
+
+
+def _digits(x: Column) -> list[Column]:
+    """The digits of a double (not NULL or NaN), each ascending with the value."""
+    size = F.abs(x)
+    finite = size < F.lit(float("inf"))
+    exponent = F.when(~finite, F.lit(1024)).when(size > 0, F.floor(F.log2(size))).otherwise(F.lit(0)).cast("long")
+    # in [1, 2) up to the rounding of log2; clipped values are told apart by the last pass
+    mantissa = F.when(finite & (size > 0), size / F.pow(F.lit(2.0), exponent)).otherwise(F.lit(1.0))
+    place = F.when(x < 0, F.lit(2.0) - mantissa).otherwise(mantissa - F.lit(1.0))
+    place = F.greatest(F.lit(0.0), F.least(F.lit(1 - 2.0 ** -53), place))
+    whole = [F.floor(place * F.lit(float(1 << (FIRST_BITS + i * DIGIT_BITS)))) for i in range(DIGITS)]
+    sign = F.when(x > 0, F.lit(1)).when(x < 0, F.lit(-1)).otherwise(F.lit(0))
+    first = F.when(x == 0, F.lit(0)).otherwise(
+        sign * (exponent + _EXPONENT_OFFSET) * (1 << FIRST_BITS) + whole[0])
+    return [first.cast("long")] + [(b - a * (1 << DIGIT_BITS)).cast("long") for a, b in zip(whole, whole[1:])]
+
+
+def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & a[k].eqNullSafe(b[k])
+    return condition
+
+
+def _ranked(counted: DataFrame, within: list[str], by: str) -> DataFrame:
+    """Adds where each row's values start and end among those of its group."""
+    w = Window.partitionBy(*within).orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counted.withColumn("_end", F.sum("_c").over(w)).withColumn("_start", F.col("_end") - F.col("_c"))
+
+
+def exact_percentiles(df: DataFrame, value: str | Column, ps: Sequence[float],
+                      by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, p, value)``: exact linear-interpolation percentiles of every group.
+
+    NULL and NaN values are ignored; a group without other values has no rows."""
+    by, ps = list(by), [float(p) for p in ps]
+    keys = [f"_g{i}" for i in range(len(by))] or ["_g0"]
     x = (F.col(value) if isinstance(value, str) else value).cast("double")
-    d = df.select(*[F.col(k) for k in keys], x.alias("_x"))
-    d = d.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    if not keys:
-        d = d.withColumn("_g", F.lit(0))
-        keys = ["_g"]
-
-    def sketch_with(acc):
-        m = 4.0 / acc
-        probs = [max(0.0, p - m) for p in ps] + [min(1.0, p + m) for p in ps]
-        got = (d.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
-                                    F.percentile_approx("_x", probs, acc).alias("_a"))
-                .limit(MAX_GROUPS + 1).collect())
-        if len(got) > MAX_GROUPS:
-            raise ValueError(f"exact percentiles support at most {MAX_GROUPS} groups; "
-                             "use percentile_approx for high-cardinality groupings")
-        return got
-
-    # count and a default-size sketch in one job; a larger sketch only for big groups
-    acc = accuracy or MIN_ACCURACY
-    rows = sketch_with(acc)
-    if not rows:
-        return []
-    if accuracy is None and balanced_accuracy(max(r["_n"] for r in rows)) > acc:
-        rows = sketch_with(balanced_accuracy(max(r["_n"] for r in rows)))
-    counts = {tuple(r[k] for k in keys): r["_n"] for r in rows}
-    sketch = {tuple(r[k] for k in keys): r["_a"] for r in rows}
-
-    def ranks(n, p):
-        pos = p * (n - 1)
-        return pos, math.floor(pos), math.ceil(pos)
-
-    brackets = {}
-    for g, n in counts.items():
-        for i, p in enumerate(ps):
-            _, k0, k1 = ranks(n, p)
-            a = sketch[g]
-            brackets[(g, i)] = (a[i], a[len(ps) + i], k0, k1)
-    result = _pass(d, keys, brackets)
-
-    def ok(key):
-        picks = result.get(key, {})
-        _, _, k0, k1 = brackets[key]
-        return k0 in picks and k1 in picks
-
-    retry = {key: (None, None, b[2], b[3]) for key, b in brackets.items() if not ok(key)}
-    if retry:                                   # the sketch missed: exact, unbounded re-run
-        result.update(_pass(d, keys, retry))
-
-    out = []
-    for g, n in counts.items():
-        for i, p in enumerate(ps):
-            pos, k0, k1 = ranks(n, p)
-            picks = result[(g, i)]
-            v = _lerp(picks[k0], picks[k1], pos - k0)
-            out.append((*([] if keys == ["_g"] else g), p, v))
-    return out
-
-
-def percentile_values(df: DataFrame, value: str | Column, ps: Sequence[float],
-                      accuracy: int | None = None) -> list[float | None]:
-    got = {p: v for p, v in percentile_rows(df, value, ps, accuracy=accuracy)}
+    groups = [F.col(b).alias(k) for b, k in zip(by, keys)] or [F.lit(0).alias("_g0")]
+    d = df.select(*groups, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    names = [f"_d{i}" for i in range(DIGITS)]
+    d = d.select(*keys, "_x", *[c.alias(n) for c, n in zip(_digits(F.col("_x")), names)])
+
+    # the first pass counts all values, and so gives each group's size and ranks
+    first = _ranked(d.groupBy(*keys, names[0]).agg(F.count(F.lit(1)).alias("_c")), keys, names[0])
+    first = first.withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
+    last = F.col("_n") - 1
+    ranks = F.array_distinct(F.flatten(F.array(*[F.array(F.floor(F.lit(p) * last), F.ceil(F.lit(p) * last)) for p in ps])))
+    target = (first.withColumn("_k", F.explode(ranks)).where((F.col("_k") >= F.col("_start")) & (F.col("_k") < F.col("_end")))
+              .select(*keys, "_n", "_k", (F.col("_k") - F.col("_start")).alias("_left"), names[0]))
+    target = written(target, "percentile-digits")
+
+    for i in range(1, DIGITS + 1):
+        known, by_value = names[:i], i == DIGITS
+        nxt = "_x" if by_value else names[i]
+        hit = d.join(target, _same(d, target, [*keys, *known])).select(
+            *[target[c] for c in (*keys, "_n", "_k", "_left", *known)], d[nxt])
+        counted = hit.groupBy(*keys, "_n", "_k", "_left", *known, nxt).agg(F.count(F.lit(1)).alias("_c"))
+        chosen = (_ranked(counted, [*keys, "_k"], nxt)
+                  .where((F.col("_left") >= F.col("_start")) & (F.col("_left") < F.col("_end"))))
+        keep = ["_x"] if by_value else [(F.col("_left") - F.col("_start")).alias("_left"), *known, nxt]
+        target = written(chosen.select(*keys, "_n", "_k", *keep), "percentile-digits")
+
+    # both order statistics of every p, interpolated
+    picked = target.groupBy(*keys, "_n").agg(F.map_from_entries(F.collect_list(F.struct("_k", "_x"))).alias("_at"))
+    p = F.explode(F.array(*[F.lit(p) for p in ps]))
+    out = picked.select(*keys, "_at", (F.col("_n") - 1).alias("_last"), p.alias("p"))
+    place = F.col("p") * F.col("_last")
+    low, high = F.element_at("_at", F.floor(place)), F.element_at("_at", F.ceil(place))
+    part, gap = place - F.floor(place), high - low
+    between = F.when(low == high, low).when(part >= 0.5, high - gap * (1 - part)).otherwise(low + gap * part)
+    return out.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], "p", between.alias("value"))
+
+
+def percentile_values(df: DataFrame, value: str | Column, ps: Sequence[float]) -> list[float | None]:
+    """Global percentiles, one for each p (None for an empty input)."""
+    got = {r["p"]: r["value"] for r in exact_percentiles(df, value, ps).collect()}   # a row for each p
     return [got.get(float(p)) for p in ps]
 
 
-def exact_percentiles(df: DataFrame, value: str | Column, ps: Sequence[float],
-                      by: Sequence[str] = (), accuracy: int | None = None) -> DataFrame:
-    """Small DataFrame ``(*by, p, value)`` of exact linear-interpolation percentiles."""
-    rows = percentile_rows(df, value, ps, by, accuracy)
-    fields = [T.StructField(k, df.schema[k].dataType) for k in by]
-    fields += [T.StructField("p", T.DoubleType()), T.StructField("value", T.DoubleType())]
-    return df.sparkSession.createDataFrame(rows, T.StructType(fields))
-
-
-def exact_percentile_value(df: DataFrame, value: str | Column, p: float,
-                           accuracy: int | None = None) -> Column:
-    """One global percentile as a literal Column (NULL for an empty input)."""
-    v = percentile_values(df, value, [p], accuracy)[0]
-    return F.lit(v).cast("double")
+def exact_percentile_value(df: DataFrame, value: str | Column, p: float) -> Column:
+    """One global percentile as a literal Column (NULL for an empty input), which
+    also lets Catalyst push predicates that use it into the scan."""
+    return F.lit(percentile_values(df, value, [p])[0]).cast(T.DoubleType())
 
 
 def exact_median(df: DataFrame, value: str | Column, by: Sequence[str] = ()) -> DataFrame:
