@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginflow.constants import CROP_QUANTILE, KPI_SUMMARY_COLUMNS, TOP_N, VALUE_COUNTS_N
@@ -41,6 +41,17 @@ def top_brand_per_vendor(df: DataFrame, n: int = TOP_N) -> DataFrame:
                         ("VendorName", "Brand", "Description")]).limit(n)
 
 
+def ranked_brands(df: DataFrame, max_rank: int | None = None) -> DataFrame:
+    """RANK() of every brand within its vendor by TotalSalesDollars DESC (NULLs last),
+    down to ``max_rank`` (None: all).
+
+    With a limit Spark keeps the best rows of each vendor map-side (WindowGroupLimit)
+    before the shuffle, so a vendor with many rows sends few."""
+    w = Window.partitionBy("VendorName").orderBy(F.desc_nulls_last("TotalSalesDollars"))
+    ranked = df.select("VendorName", "Brand", "Description", "TotalSalesDollars", F.rank().over(w).alias("rnk"))
+    return ranked if max_rank is None else ranked.where(F.col("rnk") <= max_rank)
+
+
 def unsold_gap(df: DataFrame, n: int = TOP_N) -> DataFrame:
     """Pairs bought more than sold (NULL sales drop), largest unsold units first."""
     gap = F.col("TotalPurchaseQuantity") - F.col("TotalSalesQuantity")
@@ -70,14 +81,20 @@ def unpivot_metrics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def column_summary(df: DataFrame, columns: Sequence[str] = KPI_SUMMARY_COLUMNS) -> DataFrame:
-    """mean / median / min / max per column, one row per metric."""
-    long = unpivot_metrics(df, columns)
-    basic = long.groupBy("metric").agg(F.avg("value").alias("mean"), F.min("value").alias("min"),
-                                       F.max("value").alias("max"))
-    med = exact_percentiles(long, "value", [0.5], by=["metric"]).select(
-        "metric", F.col("value").alias("median"))
-    return basic.join(F.broadcast(med), "metric", "left").select("metric", "mean", "median",
-                                                                 "min", "max")
+    """mean / median / min / max per column, one row per metric.
+
+    The three plain figures come from one wide aggregate, whose single row is
+    turned into a row per metric; the medians from one selection over all columns."""
+    x = {c: F.col(c).cast("double") for c in columns}
+    wide = df.agg(*[f(v).alias(f"{n}_{i}") for i, v in enumerate(x.values())
+                    for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))])
+    basic = wide.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("metric"), *[F.col(f"{n}_{i}").alias(n) for n in ("mean", "min", "max")])
+        for i, c in enumerate(columns)])).alias("c")).select("c.*")
+    med = exact_percentiles(unpivot_metrics(df, columns), "value", [0.5], by=["metric"]).select(
+        F.col("metric").alias("_metric"), F.col("value").alias("median"))
+    return (basic.join(med, basic["metric"] == med["_metric"], "left")
+                 .select("metric", "mean", "median", "min", "max"))
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -28,8 +28,6 @@ from marginflow.constants import (FEATURES, HIGH, LOW, MID, N_INIT, PROFILE_COLU
 from marginflow.functions.columns import clip_lower, clip_upper
 from marginflow.functions.quantiles import exact_percentile_value
 
-MAX_CENTROIDS = 10_000
-
 
 def cluster_features(vendor: DataFrame, cap_quantile: float = TURNOVER_CAP_QUANTILE) -> DataFrame:
     cap = exact_percentile_value(vendor, "StockTurnover", cap_quantile)
@@ -63,9 +61,7 @@ def assign_nearest(df: DataFrame, centroids: DataFrame, cols: Sequence[str] = FE
     The k centroids come back as literals and the k distances are unrolled into
     one codegen'd expression: O(n k), no join; ties go to the lower cluster id.
     """
-    rows = centroids.select("Cluster", *cols).limit(MAX_CENTROIDS + 1).collect()
-    if len(rows) > MAX_CENTROIDS:
-        raise ValueError(f"at most {MAX_CENTROIDS} centroids are supported")
+    rows = centroids.select("Cluster", *cols).collect()      # k rows, the caller's k
     if not rows:
         return df.withColumn(out, F.lit(None).cast("int"))
     best = F.array_min(F.array(*[F.struct(_sqdist(cols, r[1:]).alias("d"), F.lit(int(r[0])).alias("id"))
@@ -148,24 +144,17 @@ def vectorize(df: DataFrame, cols: Sequence[str] = FEATURES, out: str = "feature
 
 def kmeans_best_of(df: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
                    features: str = "features", max_iter: int = 300, tol: float = 1e-4,
-                   rows_per_partition: int = 100_000, parallel: int | None = None):
+                   parallel: int | None = None):
     """Fit ``n_init`` KMeans models (seeds seed..seed+n_init-1); return the lowest-cost one.
 
-    The input is reliably checkpointed so the restarts re-read a short lineage
-    from the shared checkpoint folder, and sized to about ``rows_per_partition``
-    rows per partition (a small frame becomes one partition; a large one keeps
-    its parallelism). Restarts are independent jobs, submitted from ``parallel``
-    driver threads so small fits overlap instead of queueing.
+    The input should be a written table or a checkpoint, as every restart reads it
+    again; its partitioning is left as it is. Restarts are independent jobs,
+    submitted from ``parallel`` driver threads so small fits overlap.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark.ml.clustering import KMeans
-    data = df.select(features).checkpoint(eager=True)
-    n = data.count()
-    parts = max(1, min(data.rdd.getNumPartitions(), -(-n // rows_per_partition)))
-    if parts < data.rdd.getNumPartitions():
-        data = data.coalesce(parts)
-    data = data.cache()
+    data = df.select(features).cache()
 
     def fit(s):
         return KMeans(k=k, seed=s, featuresCol=features, maxIter=max_iter, tol=tol).fit(data)
@@ -207,6 +196,35 @@ def kmeans_tiers(vendor: DataFrame, k: int = VENDOR_K, n_init: int = N_INIT, see
 
 # --- silhouette ---------------------------------------------------------------------------
 
+def silhouette_squared(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str = "Cluster") -> DataFrame:
+    """Mean silhouette with squared Euclidean distance: O(n k), another metric than
+    ``silhouette``, for the caller to choose.
+
+    A point's mean squared distance to a cluster follows from the cluster's count,
+    coordinate sums and sum of squared norms, so one aggregate to k rows and one
+    pass over the points suffice. Singletons score 0; fewer than two clusters give NULL.
+    """
+    x = [F.col(c).cast("double") for c in cols]
+    square = sum((v * v for v in x), F.lit(0.0))
+    rows = (df.groupBy(F.col(cluster).alias("id"))
+              .agg(F.count(F.lit(1)).alias("n"), F.sum(square).alias("q"), *[F.sum(v).alias(f"s{i}") for i, v in enumerate(x)])
+              .collect())                                    # k rows
+    if len(rows) < 2:
+        return df.agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("silhouette"))
+
+    def spread(r):  # the summed squared distances from a point to a cluster's members
+        dot = sum((v * F.lit(r[f"s{i}"]) for i, v in enumerate(x)), F.lit(0.0))
+        return F.lit(float(r["n"])) * square + F.lit(r["q"]) - F.lit(2.0) * dot
+
+    own = F.coalesce(*[F.when(F.col(cluster) == r["id"], spread(r) / (r["n"] - 1) if r["n"] > 1 else F.lit(None).cast("double"))
+                       for r in rows])
+    other = F.array_min(F.array(*[F.when(F.col(cluster) != r["id"], spread(r) / r["n"]) for r in rows]))
+    score = F.coalesce((F.col("_b") - F.col("_a")) / F.nullif(F.greatest("_a", "_b"), F.lit(0.0)), F.lit(0.0))
+    points = df.select(own.alias("_a"), other.alias("_b"))
+    return points.agg(F.count(F.lit(1)).alias("n"),
+                      F.avg(F.when(F.col("_a").isNull(), F.lit(0.0)).otherwise(score)).alias("silhouette"))
+
+
 def silhouette(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str = "Cluster",
                key: str = "VendorName", block_size: int = 2048) -> DataFrame:
     """Exact mean silhouette with Euclidean distance (scikit-learn's definition).

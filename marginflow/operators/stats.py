@@ -53,49 +53,31 @@ def welch_ttest(vendor: DataFrame, value: str = "ProfitMargin",
                       (F.col("p_value") < 0.05).alias("significant_at_0_05"))
 
 
-WIDE_COLUMNS = 30
-
-
 def correlation_matrix(df: DataFrame, columns: Sequence[str] = CORR_COLUMNS,
-                       method: str = "auto") -> DataFrame:
+                       digits: int | None = 3, heat_digits: int | None = 2) -> DataFrame:
     """Pearson r for every ordered pair, long form (metric_x, metric_y, corr, heat).
 
-    ``moments`` (default up to 30 columns): covar_pop / (stddev_pop *
-    stddev_pop) in one aggregate; a constant column gives NULL like pandas'
-    NaN instead of an ANSI division error. ``ml`` (wider inputs):
-    ``pyspark.ml.stat.Correlation`` builds the matrix in one distributed pass
-    without k^2 aggregate expressions; NaN (constant column) becomes NULL.
-    ``corr`` is rounded to 3 places as in the report, ``heat`` to 2 as on the
-    heatmap.
+    Each pair uses its own complete rows, like pandas: covariance and both
+    deviations skip a row where either value is NULL or NaN. A constant column
+    gives NULL. One aggregate pass for any number of columns. ``corr`` is rounded
+    to 3 places as in the report, ``heat`` to 2 as on the heatmap; ``None`` keeps
+    r itself.
     """
     cols = list(columns)
-    if method == "ml" or (method == "auto" and len(cols) > WIDE_COLUMNS):
-        return _correlation_ml(df, cols)
-    aggs = [F.stddev_pop(c).alias(f"_s{i}") for i, c in enumerate(cols)]
+    v = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols]
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    aggs += [F.covar_pop(cols[i], cols[j]).alias(f"_c{i}_{j}") for i, j in pairs]
+    aggs = []
+    for i, j in pairs:
+        both = v[i].isNotNull() & v[j].isNotNull()
+        aggs += [F.covar_pop(v[i], v[j]).alias(f"_c{i}_{j}"), F.stddev_pop(F.when(both, v[i])).alias(f"_x{i}_{j}"),
+                 F.stddev_pop(F.when(both, v[j])).alias(f"_y{i}_{j}")]
     m = df.agg(*aggs)
     cells = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            lo, hi = min(i, j), max(i, j)
-            r = F.col(f"_c{lo}_{hi}") / F.nullif(F.col(f"_s{lo}") * F.col(f"_s{hi}"), F.lit(0.0))
-            cells.append(F.struct(F.lit(a).alias("metric_x"), F.lit(b).alias("metric_y"),
-                                  r.alias("r")))
+            p = f"{min(i, j)}_{max(i, j)}"
+            r = F.col(f"_c{p}") / F.nullif(F.col(f"_x{p}") * F.col(f"_y{p}"), F.lit(0.0))
+            cells.append(F.struct(F.lit(a).alias("metric_x"), F.lit(b).alias("metric_y"), r.alias("r")))
+    shown = lambda n: F.col("c.r") if n is None else F.round("c.r", n)
     return (m.select(F.explode(F.array(*cells)).alias("c"))
-             .select("c.metric_x", "c.metric_y", F.round("c.r", 3).alias("corr"),
-                     F.round("c.r", 2).alias("heat")))
-
-
-def _correlation_ml(df: DataFrame, cols: list[str]) -> DataFrame:
-    import math
-
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Correlation
-    vec = (df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna()
-             .select(array_to_vector(F.array(*cols)).alias("v")))
-    m = Correlation.corr(vec, "v").first()[0].toArray()          # k x k, k = len(cols)
-    rows = [(a, b, None if math.isnan(m[i, j]) else float(m[i, j]))
-            for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    out = df.sparkSession.createDataFrame(rows, "metric_x string, metric_y string, r double")
-    return out.select("metric_x", "metric_y", F.round("r", 3).alias("corr"), F.round("r", 2).alias("heat"))
+             .select("c.metric_x", "c.metric_y", shown(digits).alias("corr"), shown(heat_digits).alias("heat")))

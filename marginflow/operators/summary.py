@@ -33,8 +33,8 @@ def freight_summary(vendor_invoice: DataFrame) -> DataFrame:
 
 
 def valid_purchases(purchases: DataFrame) -> DataFrame:
-    """Rows with a positive purchase price; NULL and zero prices drop."""
-    return purchases.where(F.col("PurchasePrice") > 0)
+    """Rows with a positive purchase price; NULL, NaN and zero prices drop."""
+    return purchases.where((F.col("PurchasePrice") > 0) & ~F.isnan("PurchasePrice"))
 
 
 def sales_summary(sales: DataFrame) -> DataFrame:

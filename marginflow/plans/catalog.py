@@ -91,6 +91,21 @@ def _preview(ws):
     return summary.preview(ws.raw()["purchases"], 5)
 
 
+@query("preview_purchase_prices")
+def _preview_prices(ws):
+    return summary.preview(ws.raw()["purchase_prices"], 5)
+
+
+@query("preview_vendor_invoice")
+def _preview_invoice(ws):
+    return summary.preview(ws.raw()["vendor_invoice"], 5)
+
+
+@query("preview_sales")
+def _preview_sales(ws):
+    return summary.preview(ws.raw()["sales"], 5)
+
+
 # --- cleaning ----------------------------------------------------------------------
 
 @query("clean_summary")
@@ -132,6 +147,12 @@ def _top_brand(ws):
     return reports.top_brand_per_vendor(ws.summary())
 
 
+@query("top3_brands_per_vendor")
+def _top3_brands(ws):
+    """The ranked brands of every vendor, down to rank 3."""
+    return reports.ranked_brands(ws.summary(), 3)
+
+
 @query("unsold_gap_top10")
 def _unsold(ws):
     return reports.unsold_gap(ws.summary())
@@ -230,7 +251,7 @@ def _assign(ws):
     return _seeded(ws)[3].select("VendorName", "Cluster")
 
 
-@query("tier_labels")
+@query("tier_labels", digits=2)     # means of money: a 5th digit may sit on a tie
 def _tier_labels(ws):
     return _seeded(ws)[4]
 
@@ -246,6 +267,12 @@ def _silhouette(ws):
     return segment.silhouette(_seeded(ws)[3])
 
 
+@query("silhouette_squared")
+def _silhouette_squared(ws):
+    """The O(n k) silhouette with squared distances, on the same clusters."""
+    return segment.silhouette_squared(_seeded(ws)[3])
+
+
 @query("tier_agreement")
 def _agreement(ws):
     _, _, bands, _, _, tiers = _seeded(ws)

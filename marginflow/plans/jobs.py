@@ -75,15 +75,35 @@ def text_job(transactions: DataFrame, out_dir: str, k: int = 8, n_init: int = 10
     prod_path = f"{out_dir}/product_rollup"
     sinks.write_parquet(text.product_rollup(transactions), prod_path)
     prod = spark.read.parquet(prod_path)
-    weights, _ = text.tfidf(prod)
-    clusters = text.kmeans_text_clusters(prod, k, n_init, seed)
-    return {"products": prod, "clusters": clusters,
-            "summary": text.cluster_summary(prod, clusters),
-            "themes": text.cluster_top_terms(weights, clusters)}
+    weights, vocab = text.tfidf(prod)
+    weights_path = f"{out_dir}/product_tfidf"
+    sinks.write_parquet(weights, weights_path)
+    weights = spark.read.parquet(weights_path)
+    clusters = text.kmeans_text_clusters(prod, k, n_init, seed, weights=weights, vocab=vocab)
+    out = {"products": prod}
+    for name, df in (("clusters", clusters), ("summary", None), ("themes", None)):
+        if name == "summary":
+            df = text.cluster_summary(prod, out["clusters"])
+        elif name == "themes":
+            df = text.cluster_top_terms(weights, out["clusters"])
+        path = f"{out_dir}/text_{name}"
+        sinks.write_parquet(df, path)
+        out[name] = spark.read.parquet(path)
+    return out
 
 
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The e-commerce transactions CSV (ISO-8859-1), with a unique row order for "first"."""
+    """The e-commerce transactions CSV (ISO-8859-1), with a unique row order for "first":
+    by file name, place in the file, then row (Spark itself reads splits by size)."""
+    from pyspark.sql import Window
     from pyspark.sql import functions as F
-    return (files.read_csv(spark, path, schemas.PRODUCTS, encoding="ISO-8859-1")
-            .withColumn("_row_order", F.monotonically_increasing_id()))
+    rows = (files.read_csv(spark, path, schemas.PRODUCTS, encoding="ISO-8859-1")
+            .select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+                    F.monotonically_increasing_id().alias("_id")))
+    # one row a split: the single-task numbering is bounded by the number of splits
+    splits = (rows.select("_file", "_start").distinct()
+              .withColumn("_split", F.row_number().over(Window.orderBy("_file", "_start"))))
+    in_split = F.col("_id") % F.lit(1 << 33)
+    order = F.col("_split").cast("decimal(38,0)") * F.lit(1 << 33).cast("decimal(38,0)") + in_split
+    return (rows.join(splits, ["_file", "_start"])
+            .withColumn("_row_order", order.cast("decimal(38,0)")).drop("_file", "_start", "_id", "_split"))

@@ -84,9 +84,10 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("l_discount").alias("Discount"),
                       F.col("p_type").alias("Category"),
                       F.col("p_brand").alias("Sub-Category"),
-                      # unique row order: used only to define "first"
-                      F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                               "l_extendedprice", "l_discount").alias("_row_order")))
+                      # unique row order, as one number: used only to define "first"
+                      F.expr("(CAST(l_orderkey AS DECIMAL(38, 0)) * 10 + l_linenumber) * CAST(1e21 AS DECIMAL(38, 0))"
+                             " + CAST(l_partkey AS DECIMAL(38, 0)) * 10000000000 + l_suppkey").cast("decimal(38,0)")
+                      .alias("_row_order")))
 
 
 def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,13 +55,23 @@ def test_correlation_matches_numpy_and_constant_is_null(spark):
     assert got[("a", "k")] is None and got[("k", "k")] is None
 
 
-def test_correlation_ml_path_matches_moments(spark):
+def test_correlation_uses_each_pairs_complete_rows(spark):
+    nan = float("nan")
+    rows = [(1.0, 2.0, 1.0), (2.0, 1.0, None), (3.0, 5.0, 2.0), (100.0, None, 7.0), (None, -50.0, nan), (4.0, 4.0, 9.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r.metric_x, r.metric_y): r.corr for r in stats.correlation_matrix(df, ["a", "b", "c"], None).collect()}
+    exp = df.toPandas().corr()                               # pandas: pairwise complete rows
+    for a in "abc":
+        for b in "abc":
+            assert got[(a, b)] == pytest.approx(exp.loc[a, b])
+    assert got[("a", "b")] == pytest.approx(0.707, abs=1e-3)
+
+
+def test_correlation_of_many_columns_is_the_same_answer(spark):
     rng = np.random.default_rng(8)
-    x = rng.normal(size=(50, 4))
-    x[:, 2] = 0.5 * x[:, 0] + x[:, 2]
-    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double, c double, d double")
-    cols = ["a", "b", "c", "d"]
-    m = {(r.metric_x, r.metric_y): r.corr for r in stats.correlation_matrix(df, cols, "moments").collect()}
-    g = {(r.metric_x, r.metric_y): r.corr for r in stats.correlation_matrix(df, cols, "ml").collect()}
-    assert m.keys() == g.keys()
-    assert all(abs(m[k] - g[k]) <= 1e-3 for k in m)
+    x = rng.normal(size=(20, 34))
+    cols = [f"c{i}" for i in range(34)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"{c} double" for c in cols))
+    wide = {(r.metric_x, r.metric_y): r.corr for r in stats.correlation_matrix(df, cols).collect()}
+    few = {(r.metric_x, r.metric_y): r.corr for r in stats.correlation_matrix(df, cols[:3]).collect()}
+    assert all(wide[k] == r for k, r in few.items()) and len(wide) == 34 * 34
