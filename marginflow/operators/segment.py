@@ -185,9 +185,8 @@ def kmeans_tiers(vendor: DataFrame, k: int = VENDOR_K, n_init: int = N_INIT, see
     model = kmeans_best_of(scaled, k, n_init, seed)
     cents = centroids_frame(vendor.sparkSession, model)
     assigned = assign_nearest(scaled, cents)
-    labels = rank_labels(assigned, vendor)
-    out = attach_tiers(assigned, labels).join(F.broadcast(labels.select("Cluster", "TierRank")),
-                                              "Cluster")
+    labels = rank_labels(assigned, vendor).select("Cluster", "TierRank", "PerformanceTier")
+    out = assigned.join(F.broadcast(labels), "Cluster")      # k rows
     raw = feats.select("VendorName", F.col("LogSales").alias("_ls"), F.col("ProfitMargin").alias("_pm"))
     return (out.join(raw, "VendorName")
                .select("VendorName", F.col("_ls").alias("LogSales"), F.col("_pm").alias("ProfitMargin"),

@@ -2,11 +2,10 @@
 
 * products are rolled up first (one document per distinct name), so text work
   scales with the catalogue, not with transactions;
-* TF-IDF is relational: explode n-grams -> term counts per document ->
-  vocabulary = top ``max_features`` terms by corpus count (a distributed top-k,
-  then broadcast: its size is the ``max_features`` parameter) -> smooth idf
-  ln((1+n)/(1+df)) + 1 -> L2 normalisation per document;
-* KMeans runs on dense vectors over the bounded vocabulary;
+* TF-IDF: term counts inside each row -> vocabulary = top ``max_features`` terms
+  by corpus count (a distributed top-k; its size is the ``max_features``
+  parameter) -> smooth idf ln((1+n)/(1+df)) + 1 -> L2 normalisation inside the row;
+* KMeans runs on sparse vectors over the bounded vocabulary;
 * a deterministic seeded assignment (centroids = TF-IDF vectors of the top-k
   products by sales) serves as the SQL-checkable clustering; the centroid of a
   cluster is the mean of its members' vectors, and its theme the top 6 terms.
@@ -16,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginflow.constants import MAX_FEATURES, N_INIT, SEED, TEXT_K, TOP_TERMS
@@ -59,11 +58,16 @@ def product_terms(prod: DataFrame, stop_words: Sequence[str] | None = None) -> D
                        ngrams_1_2(tokens(F.col(f"`{NAME}`"), stop_words)).alias("terms"))
 
 
+def _counted(terms: Column) -> Column:
+    """[(term, tf)] of one document's n-grams, inside the row."""
+    return F.transform(F.array_distinct(terms), lambda t: F.struct(
+        t.alias("term"), F.size(F.filter(terms, lambda x: x == t)).alias("tf")))
+
+
 def term_frequencies(prod: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
-    """(Product Name, term, tf): n-gram counts per document."""
+    """(Product Name, term, tf): n-gram counts per document, without a shuffle."""
     docs = product_terms(prod, stop_words)
-    return (docs.select(F.col(f"`{NAME}`"), F.explode("terms").alias("term"))
-                .groupBy(F.col(f"`{NAME}`"), "term").agg(F.count(F.lit(1)).alias("tf")))
+    return docs.select(F.col(f"`{NAME}`"), F.inline(_counted(F.col("terms"))))
 
 
 def vocabulary(prod: DataFrame, max_features: int = MAX_FEATURES,
@@ -82,13 +86,23 @@ def vocabulary(prod: DataFrame, max_features: int = MAX_FEATURES,
 def tfidf_weights(prod: DataFrame, vocab: DataFrame,
                   stop_words: Sequence[str] | None = None) -> DataFrame:
     """(Product Name, term, idx, weight): tf * idf over the vocabulary, L2-normalised
-    per document. The vocabulary side is broadcast: its size is ``max_features``."""
-    w = (term_frequencies(prod, stop_words).join(F.broadcast(vocab), "term")
-         .withColumn("raw", F.col("tf") * F.col("idf")))
-    norm = Window.partitionBy(F.col(f"`{NAME}`"))     # one document: a few terms
-    return w.select(F.col(f"`{NAME}`"), "term", "idx",
-                    (F.col("raw") / F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(norm)))
-                    .alias("weight"))
+    per document. One row is one document, so counts, weights and norm stay inside
+    the row; the vocabulary (``max_features`` rows) comes back as a literal map."""
+    known = vocab.select("term", "idf", "idx").collect()
+    if not known:
+        return prod.select(F.col(f"`{NAME}`"), F.lit("").alias("term"), F.lit(0).alias("idx"),
+                           F.lit(0.0).alias("weight")).where(F.lit(False))
+    entries = F.create_map(*[x for r in known for x in (
+        F.lit(r["term"]), F.struct(F.lit(r["idf"]).alias("idf"), F.lit(r["idx"]).alias("idx")))])
+    docs = product_terms(prod, stop_words).withColumn(
+        "terms", F.filter("terms", lambda t: F.map_contains_key(entries, t)))
+    raw = F.transform(_counted(F.col("terms")), lambda e: F.struct(
+        e["term"].alias("term"), F.element_at(entries, e["term"])["idx"].alias("idx"),
+        (e["tf"] * F.element_at(entries, e["term"])["idf"]).alias("raw")))
+    weighed = docs.select(F.col(f"`{NAME}`"), raw.alias("raw")).withColumn(
+        "norm", F.sqrt(F.aggregate("raw", F.lit(0.0), lambda a, e: a + e["raw"] * e["raw"])))
+    return (weighed.select(F.col(f"`{NAME}`"), "norm", F.inline("raw"))
+                   .select(F.col(f"`{NAME}`"), "term", "idx", (F.col("raw") / F.col("norm")).alias("weight")))
 
 
 def tfidf(prod: DataFrame, max_features: int = MAX_FEATURES,
@@ -98,30 +112,28 @@ def tfidf(prod: DataFrame, max_features: int = MAX_FEATURES,
     return tfidf_weights(prod, vocab, stop_words), vocab
 
 
-def dense_vectors(prod: DataFrame, weights: DataFrame, vocab_size: int,
-                  out: str = "features") -> DataFrame:
-    """One dense vector per product over the vocabulary (all-zero when no term hits)."""
-    from pyspark.ml.functions import array_to_vector
-    per = (weights.groupBy(F.col(f"`{NAME}`"))
-                  .agg(F.map_from_entries(F.collect_list(F.struct("idx", "weight"))).alias("_m")))
-    arr = F.transform(F.sequence(F.lit(0), F.lit(vocab_size - 1)),
-                      lambda i: F.coalesce(F.element_at("_m", i), F.lit(0.0)))
-    return (prod.select(F.col(f"`{NAME}`")).join(per, NAME, "left")
-                .select(F.col(f"`{NAME}`"), array_to_vector(
-                    F.when(F.col("_m").isNull(), F.array_repeat(F.lit(0.0), vocab_size))
-                     .otherwise(arr)).alias(out)))
+def sparse_vectors(prod: DataFrame, vocab: DataFrame, stop_words: Sequence[str] | None = None,
+                   out: str = "features") -> DataFrame:
+    """One sparse TF-IDF vector per product over the vocabulary (empty when no term
+    hits): term counts, times idf, L2-normalised, all inside the row."""
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
+    rows = vocab.orderBy("idx").collect()                    # max_features rows
+    counts = CountVectorizerModel.from_vocabulary([r["term"] for r in rows], inputCol="terms", outputCol="_tf")
+    weigh = ElementwiseProduct(scalingVec=Vectors.dense([r["idf"] for r in rows]), inputCol="_tf", outputCol="_raw")
+    docs = weigh.transform(counts.transform(product_terms(prod, stop_words)))
+    return Normalizer(p=2.0, inputCol="_raw", outputCol=out).transform(docs).select(F.col(f"`{NAME}`"), out)
 
 
 def kmeans_text_clusters(prod: DataFrame, k: int = TEXT_K, n_init: int = N_INIT, seed: int = SEED,
                          max_features: int = MAX_FEATURES,
                          stop_words: Sequence[str] | None = None,
-                         weights: DataFrame | None = None, vocab: DataFrame | None = None) -> DataFrame:
-    """KMeans over dense TF-IDF vectors; pass precomputed (weights, vocab) to reuse them."""
+                         vocab: DataFrame | None = None) -> DataFrame:
+    """KMeans over sparse TF-IDF vectors; pass a precomputed vocabulary to reuse it."""
     from marginflow.operators.segment import kmeans_best_of
-    if weights is None or vocab is None:
-        weights, vocab = tfidf(prod, max_features, stop_words)
-    vocab_size = vocab.count()
-    vec = dense_vectors(prod, weights, max(vocab_size, 1)).checkpoint(eager=True)
+    if vocab is None:
+        vocab = vocabulary(prod, max_features, stop_words)
+    vec = sparse_vectors(prod, vocab, stop_words).checkpoint(eager=True)
     model = kmeans_best_of(vec, k, n_init, seed)
     return model.transform(vec).select(F.col(f"`{NAME}`"),
                                        F.col("prediction").cast("int").alias("text_cluster"))

@@ -398,8 +398,7 @@ def _text_terms(ws):
 @query("text_clusters")
 def _text_clusters(ws):
     """TF-IDF + KMeans k=8, best of 10 seeds (randomized: rows-only check)."""
-    weights, vocab = ws.tfidf()
-    return text.kmeans_text_clusters(ws.products(), weights=weights, vocab=vocab)
+    return text.kmeans_text_clusters(ws.products(), vocab=ws.tfidf()[1])
 
 
 @query("embedding_clusters")

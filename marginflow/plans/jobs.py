@@ -1,9 +1,9 @@
 """End-to-end jobs: the three runs of the original pipeline as Spark jobs.
 
-* ``build_summary_job``: raw tables -> ``vendor_sales_summary`` table (CTAS,
-  optionally bucketed on (VendorNumber, Brand));
-* ``clean_job``: summary -> reliable clean table + CSV export, with row/NULL
-  metrics observed during the write;
+* ``build_summary_job``: raw tables -> catalog table ``vendor_sales_summary``
+  (CTAS, optionally bucketed on (VendorNumber, Brand));
+* ``clean_job``: summary -> catalog table ``vendor_sales_summary_clean`` + CSV
+  export, with row/NULL metrics observed during the write;
 * ``stats_ml_job``: clean table -> vendor frame with tiers (CSV) + nested JSON
   report, and an agreement check against a stored tier file when given;
 * ``text_job``: transactions -> product clusters, cluster summary and themes.
@@ -26,21 +26,18 @@ def build_summary_job(raw: dict[str, DataFrame], out_dir: str, buckets: int | No
     df = summary.vendor_sales_summary(raw["purchases"], raw["purchase_prices"],
                                       raw["vendor_invoice"], raw["sales"])
     path = f"{out_dir}/vendor_sales_summary"
-    if buckets:
-        sinks.write_table(df, "vendor_sales_summary", path=path, bucket_by=["VendorNumber", "Brand"],
-                          num_buckets=buckets, sort_by=["VendorNumber", "Brand"])
-        return spark.table("vendor_sales_summary")
-    sinks.write_parquet(df, path)
-    return spark.read.parquet(path)
+    keys = ["VendorNumber", "Brand"] if buckets else None
+    sinks.write_table(df, "vendor_sales_summary", path=path, bucket_by=keys, num_buckets=buckets or 0, sort_by=keys)
+    return spark.table("vendor_sales_summary")
 
 
 def clean_job(summary_df: DataFrame, out_dir: str, lenient: bool = False) -> tuple[DataFrame, dict]:
     spark = summary_df.sparkSession
     reliable, obs = clean.observed_clean(summary_df, lenient)
     path = f"{out_dir}/vendor_sales_summary_clean"
-    sinks.write_parquet(reliable, path)                  # metrics ride along with this pass
+    sinks.write_table(reliable, "vendor_sales_summary_clean", path=path)   # metrics ride along with this pass
     metrics = dict(obs.get)
-    table = spark.read.parquet(path)
+    table = spark.table("vendor_sales_summary_clean")
     sinks.write_csv(table, f"{out_dir}/vendor_sales_summary_clean_csv")
     return table, metrics
 
@@ -79,7 +76,7 @@ def text_job(transactions: DataFrame, out_dir: str, k: int = 8, n_init: int = 10
     weights_path = f"{out_dir}/product_tfidf"
     sinks.write_parquet(weights, weights_path)
     weights = spark.read.parquet(weights_path)
-    clusters = text.kmeans_text_clusters(prod, k, n_init, seed, weights=weights, vocab=vocab)
+    clusters = text.kmeans_text_clusters(prod, k, n_init, seed, vocab=vocab)
     out = {"products": prod}
     for name, df in (("clusters", clusters), ("summary", None), ("themes", None)):
         if name == "summary":

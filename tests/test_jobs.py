@@ -93,3 +93,15 @@ def test_bucketed_summary_joins_without_shuffle(spark, tmpdir_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.sql("DROP TABLE IF EXISTS mf_lookup")
         spark.sql("DROP TABLE IF EXISTS vendor_sales_summary")
+
+
+def test_row_order_follows_file_names(spark, tmpdir_path):
+    import pathlib
+    head = "Product Name,Sales,Profit,Discount,Category,Sub-Category\n"
+    d = pathlib.Path(tmpdir_path) / "tx"
+    d.mkdir()
+    (d / "a.csv").write_text(head + "x,1,1,0,first,f\n")                      # smaller, but first by name
+    (d / "b.csv").write_text(head + "".join(f"x,{i},1,0,later,l\n" for i in range(500)))
+    from marginflow.operators import text
+    rows = jobs.read_products_csv(spark, str(d))
+    assert rows.count() == 501 and text.product_rollup(rows).first().Category == "first"

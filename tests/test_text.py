@@ -79,3 +79,14 @@ def test_seeded_clusters_and_summaries(spark, tx):
     assert sum(r.n_products for r in summ) == prod.count()
     top = text.cluster_top_terms(weights, cl, top=2).collect()
     assert all(r.term_rank <= 2 for r in top)
+
+
+def test_rollup_takes_the_first_value_that_is_not_null_and_sums_nothing_to_zero(spark):
+    rows = [("a", 1.0, None, 0.1, None, "S", 1), ("a", 2.0, 3.0, None, "Cat", None, 2), ("a", None, 1.0, 0.3, "Late", "T", 3),
+            ("b", None, None, None, None, None, 4)]
+    tx = spark.createDataFrame(rows, "`Product Name` string, Sales double, Profit double, Discount double, "
+                                     "Category string, `Sub-Category` string, _row_order long")
+    got = {r["Product Name"]: r for r in text.product_rollup(tx).collect()}
+    assert (got["a"].Category, got["a"].Sub_Category) == ("Cat", "S")
+    assert (got["a"].Sales, got["a"].Profit, round(got["a"].Discount, 9)) == (3.0, 4.0, 0.2)
+    assert (got["b"].Sales, got["b"].Profit, got["b"].Discount, got["b"].Category) == (0.0, 0.0, None, None)
