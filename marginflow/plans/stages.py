@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,7 +25,7 @@ _LOCK = threading.Lock()
 
 
 def workspace(spark: SparkSession, sf_dir: str) -> "Workspace":
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"), _state(spark, sf_dir))
     with _LOCK:
         ws = _WORKSPACES.get(key)
         if ws is None:
@@ -32,13 +33,27 @@ def workspace(spark: SparkSession, sf_dir: str) -> "Workspace":
     return ws
 
 
+def _state(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the input files: rewritten data get a workspace of their own."""
+    sc = spark.sparkContext
+    root = sc._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = root.getFileSystem(sc._jsc.hadoopConfiguration())
+    seen = []
+    for table in testdata.BASE_TABLES:
+        path = sc._jvm.org.apache.hadoop.fs.Path(root, f"{table}.parquet")
+        if files.exists(path):
+            seen += [f"{f.getPath()} {f.getLen()} {f.getModificationTime()}" for f in files.listStatus(path)]
+    return hashlib.sha1("\n".join(seen).encode()).hexdigest()
+
+
 class Workspace:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self._tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:10]
         self._written: dict[str, str] = {}
-        self._lock = threading.RLock()      # concurrent callers write each stage once
+        self._lock = threading.Lock()
+        self._stages: dict[str, threading.RLock] = {}
 
     # -- raw inputs (lazy views) -------------------------------------------
     def raw(self) -> dict[str, DataFrame]:
@@ -51,11 +66,14 @@ class Workspace:
                                             r["vendor_invoice"], r["sales"])
 
     def materialize(self, name: str, build) -> DataFrame:
+        """The stage's table, written by the first caller; others wait for that stage only."""
         with self._lock:
+            stage = self._stages.setdefault(name, threading.RLock())
+        with stage:
             path = self._written.get(name)
             if path is None:
-                path = scratch_path(self.spark, self._tag, name)
-                build().write.mode("overwrite").parquet(path)
+                path = scratch_path(self.spark, self._tag, uuid.uuid4().hex[:8], name)
+                build().write.parquet(path)
                 self._written[name] = path
         return self.spark.read.parquet(path)
 

@@ -105,3 +105,15 @@ def test_row_order_follows_file_names(spark, tmpdir_path):
     from marginflow.operators import text
     rows = jobs.read_products_csv(spark, str(d))
     assert rows.count() == 501 and text.product_rollup(rows).first().Category == "first"
+
+
+def test_rewritten_data_is_not_answered_from_old_stages(spark, tmpdir_path):
+    from marginflow.plans.catalog import QUERIES
+    sf = tmpdir_path + "/sf"
+    os.mkdir(sf)
+    for name in testdata.BASE_TABLES:
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(f"{sf}/{name}.parquet")
+    n = QUERIES["vendor_rollup"](spark, sf).count()
+    spark.read.parquet(f"{SF_SMALL}/supplier.parquet").where("s_suppkey < 4").write.mode("overwrite").parquet(
+        f"{sf}/supplier.parquet")
+    assert 0 < QUERIES["vendor_rollup"](spark, sf).count() < n
