@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginflow.llm.common import written
+
 MAX_SHARE = 0.02
 MIN_PAGES = 5
 #: White space that does not tell two lines apart, at either end.
@@ -52,9 +54,10 @@ def clean_lines(docs: DataFrame, max_share: float = MAX_SHARE, min_pages: int =
     of a page cannot be nothing. Null texts and texts of a null host are returned
     as they are; repeated rows each get a row and count as one page; an empty
     table gives no rows; all further columns are kept."""
-    drops = boilerplate(docs, max_share, min_pages, host_col, text_col).select(
+    # written first, so that its size is known when the join is planned: a small table is
+    # broadcast and no text is shuffled; beyond that AQE splits the pages of a hot host
+    drops = written(boilerplate(docs, max_share, min_pages, host_col, text_col), "boilerplate").select(
         F.col("host").alias("__host"), F.col("drop").alias("__drop"))
-    # a few rows a host; a hot host is a skewed key of the page side only, which AQE splits
     joined = docs.join(drops, F.col(host_col) == F.col("__host"), "left")
     text = F.col(text_col)
     gone = lambda line: F.coalesce(F.array_contains("__drop", _key(line)), F.lit(False))
