@@ -23,7 +23,7 @@ CORR_COLUMNS = ["TotalSalesDollars", "GrossProfit", "ProfitMargin", "StockTurnov
 # clustering features, tier labels and the report's description of the method
 FEATURES = ["LogSales", "LogGrossProfit", "ProfitMargin", "StockTurnoverCapped"]
 LOW, MID, HIGH = "Low Performer", "Mid Performer", "High Performer"
-CLUSTER_ALGORITHM = "KMeans (k=3, standardized, log-scaled dollar features)"
+CLUSTER_ALGORITHM = "KMeans (k={k}, standardized, log-scaled dollar features)"
 PROFILE_COLUMNS = ["TotalSalesDollars", "GrossProfit", "ProfitMargin", "StockTurnover"]
 
 # regression drivers and target, and the report's name for the target

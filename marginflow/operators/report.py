@@ -10,11 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginflow.constants import CLUSTER_ALGORITHM, TARGET_LABEL
+from marginflow.constants import CLUSTER_ALGORITHM, TARGET_LABEL, VENDOR_K
 from marginflow.operators import regress, segment, stats
 
 
-def analysis_report(vendor: DataFrame, tiers: DataFrame, scaled: DataFrame) -> DataFrame:
+def analysis_report(vendor: DataFrame, tiers: DataFrame, scaled: DataFrame, k: int = VENDOR_K) -> DataFrame:
     spark = vendor.sparkSession
     t = stats.welch_ttest(vendor)
     ttest = t.select(F.struct(
@@ -47,7 +47,7 @@ def analysis_report(vendor: DataFrame, tiers: DataFrame, scaled: DataFrame) -> D
     return spark.range(1, numPartitions=1).select(
         F.struct(F.struct(ttest.alias("ttest_top_vs_bottom_sales_tier"),
                           corr_map.alias("correlation_matrix")).alias("statistics"),
-                 F.struct(F.lit(CLUSTER_ALGORITHM).alias("algorithm"),
+                 F.struct(F.lit(CLUSTER_ALGORITHM.format(k=k)).alias("algorithm"),
                           F.array(*[F.lit(c) for c in segment.FEATURES]).alias("features_used"),
                           sil_v.alias("silhouette_score"),
                           prof_map.alias("cluster_profile_means"),

@@ -56,7 +56,7 @@ def stats_ml_job(clean_df: DataFrame, out_dir: str, tier_reference: str | None =
     tiers = spark.read.parquet(tiers_path)
     clusters = vendor.join(tiers.select("VendorName", "Cluster", "PerformanceTier"), "VendorName")
     sinks.write_csv(clusters, f"{out_dir}/vendor_performance_clusters_csv")
-    rep = report.analysis_report(vendor, tiers, scaled)
+    rep = report.analysis_report(vendor, tiers, scaled, k)
     sinks.write_json(rep.select("report.*"), f"{out_dir}/analysis_results_json")
     out = {"vendor": vendor, "tiers": tiers, "clusters": clusters, "report": rep}
     if tier_reference:

@@ -25,6 +25,7 @@ def test_pipeline_end_to_end(spark, tmpdir_path):
     assert len(lines) == 1
     doc = json.loads(lines[0])
     assert set(doc) == {"statistics", "clustering", "regression"}
+    assert "k=3" in doc["clustering"]["algorithm"]
     assert sum(doc["clustering"]["vendor_counts"].values()) == 10
 
 
