@@ -51,6 +51,10 @@ OUTSIDE_NAMES = frozenset("""
     toolbar topbar tracking widget
 """.split())
 
+# Parts of such words that are telling wherever they stand.
+OUTSIDE_STEMS = tuple("advert breadcrumb comment cookie disqus footer navbar navigation newsletter popup sidebar sponsor "
+                      "subscri".split())
+
 _MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>\"'<]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
@@ -116,7 +120,10 @@ class _Parser:
         outside = (under.outside or name in OUTSIDE or name == "header" and not under.article
                    or bool(attributes and _HIDDEN.search(attributes)))
         if not outside and name not in ("body", "html", "article", "main"):
-            outside = bool(named & OUTSIDE_NAMES)
+            names = named & OUTSIDE_NAMES
+            if under.article:
+                names = names - {"header"}  # an article's own heading
+            outside = bool(names) or any(x in w for w in named for x in OUTSIDE_STEMS)
         inline = name not in BLOCK
         if inline and outside and not under.outside:
             self.flush()  # a marked piece inside a block is a block of its own

@@ -30,6 +30,7 @@ def test_query_against_the_articles(spark):
     (f"<article>a<!-- <p>no</p> --><b>b</b><div class='ad-box'>{PROSE}</div><div id=comments><p>{PROSE}</p></div>c", "ab\nc"),
     ("<article><p>a <span class=\"share links\">no</span> b</p><form><p>no</p></form><style>no</style></article>", "a\nb"),
     ("<ARTICLE><P>Up<P>per</ARTICLE>", "Up\nper"),
+    (f"<article><div class=entry-header><h1>T</h1></div><p>x<ol class='commentList'><li>{PROSE}</ol><p id=userComments>{PROSE}", "T\nx"),
     ("<article><p>unclosed <b>bold <i>and</b> on</p><p hidden>no</p><p>2 < 3 & 4</p></article>", "unclosed bold and on\n2 < 3 & 4"),
 ])
 def test_pages(page, text):
