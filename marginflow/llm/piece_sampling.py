@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import islice
 from math import exp, log
 
 import numpy as np
@@ -28,8 +29,10 @@ from pyspark.sql import functions as F
 MARK = "▁"
 RANK_OFFSET = 2.7
 ALPHA = 1.0
-#: Distinct parts whose lattices a worker keeps; they are dropped when there are more.
-CACHE_PARTS = 150_000
+#: Distinct parts whose lattices a worker keeps; they shrink to the half met first when there are more.
+CACHE_PARTS = 250_000
+#: Bits of the filters that spare most lookups of a substring.
+FILTER_LOG2 = 21
 #: Occurrences that are sampled at once.
 OCCURRENCES = 400_000
 
@@ -40,9 +43,8 @@ class Lattices:
     """The filtered lattices of all parts seen, in flat arrays.
 
     Node numbers run over all parts, one for each place between characters. The
-    pieces that end at node j are the edges whose keys, j plus their cumulative
-    share, lie in (j, j + 1], so one binary search draws a piece for any number
-    of nodes at once."""
+    pieces that end at a node are consecutive edges with their cumulative shares,
+    longest piece first; a draw steps along them, mostly no further than the first."""
 
     def __init__(self, model: bytes, alpha: float = ALPHA):
         from sentencepiece import SentencePieceProcessor
@@ -70,15 +72,37 @@ class Lattices:
             own.sort()
             self.by_length.append((np.array([x[0] for x in own], dtype=np.uint64),
                                    np.array([x[1] for x in own], dtype=np.int32), np.array([x[2] for x in own])))
+        #: by some bits of a hash: whether a piece may have it, and whether a longer piece may begin so
+        self.may_be, self.may_go_on = (np.zeros(1 << FILTER_LOG2, dtype=bool) for _ in range(2))
+        for text in self.pieces:
+            h = 0
+            for i, c in enumerate(text, 1):
+                h = (h ^ ord(c)) * int(_MIX) & 0xFFFFFFFFFFFFFFFF
+                (self.may_be if i == len(text) else self.may_go_on)[h >> (64 - FILTER_LOG2)] = True
         self.clear()
 
     def clear(self) -> None:
         self.end: dict[str, int] = {}
-        self.keys = np.zeros(0)
-        self.back = np.zeros(0, dtype=np.int64)
+        #: parts, nodes and edges before each call of ``learn``
+        self.marks: list[tuple[int, int, int]] = []
+        self.share = np.zeros(0, dtype=np.float32)
+        self.first_edge = np.zeros(0, dtype=np.int32)
+        self.back = np.zeros(0, dtype=np.int32)
         self.piece = np.zeros(0, dtype=np.int32)
         self.is_start = np.zeros(0, dtype=bool)
 
+    def shrink(self, parts: int) -> None:
+        """Keeps at most so many parts: those met first, which are met often."""
+        while self.marks and self.marks[-1][0] > parts:
+            self.marks.pop()
+        if not self.marks or self.marks[-1][0] == 0:
+            self.clear()
+            return
+        n, nodes, edges = self.marks.pop()
+        self.end = dict(islice(self.end.items(), n))
+        self.first_edge, self.is_start = self.first_edge[:nodes].copy(), self.is_start[:nodes].copy()
+        self.share, self.back, self.piece = (x[:edges].copy() for x in (self.share, self.back, self.piece))
+
     def _edges(self, points: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, ...]:
         """(first place, length, piece, weight) of every piece in the characters
         ``points``, of which ``left`` remain in the part at each."""
@@ -89,18 +113,21 @@ class Lattices:
             alive = alive[left[alive] >= size]
             if not len(alive):
                 break
-            h[alive] = (h[alive] ^ points[alive + size - 1]) * _MIX
-            if not len(hashes):
-                continue
-            at = np.minimum(np.searchsorted(hashes, h[alive]), len(hashes) - 1)
-            hit = hashes[at] == h[alive]
-            place = alive[hit]
-            out.append((place, np.full(len(place), size), ids[at[hit]], weights[at[hit]]))
-            if size == 1:  # characters without a piece are written as bytes, coded as -(code point) - 1
-                place = alive[~hit]
-                c = points[place].astype(np.int64)
-                width = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
-                out.append((place, np.ones(len(place), dtype=int), (-c - 1).astype(np.int32), self.byte_weight * width))
+            own = (h[alive] ^ points[alive + size - 1]) * _MIX
+            h[alive] = own
+            bits = (own >> np.uint64(64 - FILTER_LOG2)).astype(np.int64)
+            if len(hashes):
+                likely = np.flatnonzero(self.may_be[bits])
+                found = np.minimum(np.searchsorted(hashes, own[likely]), len(hashes) - 1)
+                hit = hashes[found] == own[likely]
+                place, found = alive[likely[hit]], found[hit]
+                out.append((place, np.full(len(place), size), ids[found], weights[found]))
+                if size == 1:  # characters without a piece are written as bytes, coded as -(code point) - 1
+                    place = np.delete(alive, likely[hit])
+                    c = points[place].astype(np.int64)
+                    width = 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)
+                    out.append((place, np.ones(len(place), dtype=int), (-c - 1).astype(np.int32), self.byte_weight * width))
+            alive = alive[self.may_go_on[bits]]
         return tuple(np.concatenate(x) for x in zip(*out))
 
     def learn(self, parts: list[str]) -> None:
@@ -114,13 +141,17 @@ class Lattices:
         origin = begin + part[begin]  # a part of n characters has n + 1 nodes
         node = origin + size
         layer = begin + size - first[part[begin]]
-        order = np.lexsort((node, layer))
-        origin, node, piece, weight, layer = (x[order] for x in (origin, node, piece, weight, layer))
-        total = np.zeros(len(points) + len(parts))
-        share = np.empty(len(node))
+        nodes = len(points) + len(parts)
+        by_node = np.argsort(node * 64 - size)
+        origin, node, piece, weight, layer = (x[by_node] for x in (origin, node, piece, weight, layer))
+        small = layer.max() < 1 << 15  # short keys are sorted in linear time
+        order = np.argsort(layer.astype(np.int16) if small else layer, kind="stable")
+        from_, to_, weight, layer = (x[order] for x in (origin, node, weight, layer))
+        total = np.zeros(nodes)
+        share = np.empty(len(node), dtype=np.float32)
         cuts = np.append(np.flatnonzero(np.append(True, layer[1:] != layer[:-1])), len(layer))
         for a, b in zip(cuts[:-1], cuts[1:]):
-            w, to = total[origin[a:b]] + weight[a:b], node[a:b]
+            w, to = total[from_[a:b]] + weight[a:b], to_[a:b]
             heads = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
             run = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, b - a)))
             most = np.maximum.reduceat(w, heads)
@@ -131,14 +162,16 @@ class Lattices:
             before = (so_far - w)[heads]
             w = (so_far - before[run]) / sums[run]
             w[np.append(heads[1:], b - a) - 1] = 1.0
-            share[a:b] = np.clip(w, 0, 1)
-        by_node = np.argsort(node, kind="stable")
-        self.keys = np.concatenate([self.keys, (base + node + share)[by_node]])
-        self.back = np.concatenate([self.back, (base + origin)[by_node]])
-        self.piece = np.concatenate([self.piece, piece[by_node]])
+            share[order[a:b]] = w
+        self.first_edge = np.concatenate([self.first_edge, (len(self.share) + np.searchsorted(
+            node, np.arange(nodes))).astype(np.int32)])
+        self.share = np.concatenate([self.share, share])
+        self.back = np.concatenate([self.back, (base + origin).astype(np.int32)])
+        self.piece = np.concatenate([self.piece, piece])
         starts = np.zeros(len(total), dtype=bool)
         starts[first + np.arange(len(parts))] = True
         self.is_start = np.concatenate([self.is_start, starts])
+        self.marks.append((len(self.end), base, self.first_edge[base]))
         self.end.update(zip(parts, (base + first + n + np.arange(len(parts))).tolist()))
 
     def in_bytes(self, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,7 +191,7 @@ class Lattices:
 
     def sample(self, ends: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of all occurrences, one after the other, and how many each has."""
-        node, alive = ends.copy(), np.arange(len(ends))
+        node, alive = ends.astype(np.int64), np.arange(len(ends))
         count = np.zeros(len(ends), dtype=np.int64)
         drawn = []
         step = 0
@@ -166,8 +199,12 @@ class Lattices:
             alive = alive[~self.is_start[node[alive]]]
             if not len(alive):
                 break
-            edge = np.searchsorted(self.keys, node[alive] + _uniform(seeds[alive], step), side="right")
-            edge = np.minimum(edge, len(self.keys) - 1)
+            draw = _uniform(seeds[alive], step)
+            edge = self.first_edge[node[alive]].astype(np.int64)
+            over = np.flatnonzero(self.share[edge] <= draw)  # the last share of a node is 1
+            while len(over):
+                edge[over] += 1
+                over = over[self.share[edge[over]] <= draw[over]]
             drawn.append((alive, self.piece[edge]))
             node[alive] = self.back[edge]
             count[alive] += 1
@@ -221,8 +258,8 @@ def sample_ids(lat: Lattices, texts: list[str | None], seeds: list[int]) -> list
             at += 1
         new = set().union(*found).difference(lat.end)
         if new and len(lat.end) + len(new) > CACHE_PARTS:
-            lat.clear()
-            new = set().union(*found)
+            lat.shrink(CACHE_PARTS // 2)
+            new = set().union(*found).difference(lat.end)
         if new:
             lat.learn(list(new))
         ends, sizes = [lat.end[p] for parts in found for p in parts], [len(parts) for parts in found]
