@@ -2,26 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from marginflow.session import scratch_path
+from marginflow.session import written
+
+__all__ = ["SPACE", "written", "id_crc", "let", "words"]
 
 #: Java regular expression of the white space that separates words.
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared checkpoint folder, read back: the lineage
-    ends there, and lost executors cost no recomputation of what led to it."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def id_crc(c: Column) -> Column:
     """crc32 of an id as text; a null id counts as the empty text."""
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
