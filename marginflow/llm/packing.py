@@ -19,7 +19,7 @@ import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +32,8 @@ from marginflow.llm.common import written
 CAPACITY = 2048
 #: Entries of the word cache of one Python worker; a full cache keeps the half it met first.
 CACHE_WORDS = 500_000
+#: Words (about) that are looked up before the unknown ones are encoded together.
+WINDOW_WORDS = 500_000
 #: Words of letters only that are encoded in one call.
 BLOCK = 400
 #: How many next-smaller lengths are tried at each depth of one filling.
@@ -95,26 +97,29 @@ class WordEncoder:
         known.update([(w, known[s] + known[marks]) for w, s, marks in stems])
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text; a null text has none."""
-        split = []
-        for t in texts:
-            raw = (t or "").encode()
-            split.append([w if b"<|" in w else w.lower() for w in raw.split()]
-                         if b"<|" in raw else raw.lower().split())
+        """The ids of each text; a null text has none. Texts are split some at a time."""
         at = 0
-        while at < len(split):
-            wanted, end = set(), at
-            while end < len(split) and (end == at or len(wanted) < CACHE_WORDS // 8):
-                wanted |= set(split[end]).difference(self.ids)
+        while at < len(texts):
+            get, rows, wanted, words, end = self.ids.get, [], set(), 0, at
+            while end < len(texts) and (end == at or len(wanted) < CACHE_WORDS // 8 and words < WINDOW_WORDS):
+                raw = (texts[end] or "").encode()
+                ws = ([w if b"<|" in w else w.lower() for w in raw.split()] if b"<|" in raw else raw.lower().split())
+                parts = list(map(get, ws, repeat(b"")))
+                holes = [] if all(parts) else [(i, ws[i]) for i, p in enumerate(parts) if not p]
+                wanted.update([w for _, w in holes])
+                rows.append((parts, holes))
+                words += len(ws)
                 end += 1
+            wanted = wanted.difference(self.ids)  # a known word may have no ids
             if len(self.ids) + 2 * len(wanted) > CACHE_WORDS:
                 # what was met first is what is met often; the rest makes room
                 self.ids = dict(islice(self.ids.items(), CACHE_WORDS // 2))
-                wanted = set().union(*split[at:end]).difference(self.ids)
             if wanted:
                 self._learn(wanted)
-            for ws in split[at:end]:
-                yield b"".join(map(self.ids.__getitem__, ws))
+            for parts, holes in rows:
+                for i, w in holes:
+                    parts[i] = self.ids.get(w, b"")
+                yield b"".join(parts)
             at = end
 
 
