@@ -32,7 +32,7 @@ MIN_RELATIVE = 0.35
 UNDETERMINED = "und"
 MAX_LANGUAGES = 64
 #: Code points that are turned into n-grams at once.
-BLOCK = 2_000_000
+BLOCK = 1_000_000
 
 _LETTER = regex.compile(r"\p{L}")
 _folds: list[np.ndarray] = []
