@@ -22,6 +22,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -34,17 +35,19 @@ from marginflow.llm.common import written
 
 #: What ends a document; no word holds white space.
 END = b"\n"
-HEAD = 65_536
+HEAD = 131_072
+#: Steps of the grid of counts for each doubling.
+GRID = 32
 #: Longer words are never part of the head, which bounds its size in bytes.
 HEAD_WORD_BYTES = 64
 VOCABULARY = 2048
-CLASSES = 48
+CLASSES = 32
 HIDDEN = 16
 WINDOW = 32
-STREAMS = 256
+STREAMS = 512
 #: Documents (about) that the common starting model is fitted to.
 WARM_UP_DOCS = 600
-RATE = 0.01
+RATE = 0.02
 CLIP = 1.0
 #: Words that a counting task holds before it hands them on.
 COUNT_WORDS = 400_000
@@ -53,7 +56,7 @@ FAN_IN = 32
 #: Model values in one row of a replica.
 SLICE = 4096
 #: Tokens that are laid out in streams at once.
-LAYOUT_TOKENS = 1_500_000
+LAYOUT_TOKENS = 4_000_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -103,29 +106,57 @@ class Head:
         self.unknown_total, self.unknown_types = self.total - inside, self.types - self.size
         self.within = np.log10((self.counts + 1) / (self.unknown_total + self.unknown_types + 1))
 
-    def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray, list[Counter]]:
-        """Head numbers of all tokens (-1: outside), tokens a text, and the words outside of each."""
+    def encode(self, texts: list, collect: bool = True) -> tuple[np.ndarray, np.ndarray, list[Counter]]:
+        """Head numbers of all tokens (-1: outside), tokens a text, and, with ``collect``,
+        the words outside of each."""
         numbers, sizes, outside = [], [], []
         get = self.number.get
         for t in texts:
             ws = tokens(t)
-            own = [get(w, -1) for w in ws]
-            outside.append(Counter([w for w, i in zip(ws, own) if i < 0]))
-            numbers.append(np.array(own, dtype=np.int32))
+            own = np.fromiter(map(get, ws, repeat(-1)), dtype=np.int32, count=len(ws))
+            if collect:
+                outside.append(Counter([ws[i] for i in np.flatnonzero(own < 0).tolist()]))
+            numbers.append(own)
             sizes.append(len(ws))
         return (np.concatenate(numbers) if numbers else np.zeros(0, dtype=np.int32)), np.array(sizes), outside
 
 
 def head_of(counts: DataFrame, size: int = HEAD, vocabulary: int = VOCABULARY) -> Head:
+    """The words above the lowest count that at most ``size`` of them reach, among counts
+    of a fixed grid: what a task sends to the driver is bounded."""
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    rows = (counts.where(F.octet_length("word") <= HEAD_WORD_BYTES).orderBy(F.desc("n"), "word")
-            .limit(size).collect())  # at most `size` words of bounded length
+    short = counts.where(F.octet_length("word") <= HEAD_WORD_BYTES)
+    level = F.floor(F.log2("n") * GRID)
+    by_level = short.groupBy(level.alias("level")).count().collect()  # at most GRID * 63 rows
+    least, taken = None, 0
+    for r in sorted(by_level, key=lambda r: -r["level"]):
+        if taken + r["count"] > size:
+            break
+        least, taken = r["level"], taken + r["count"]
+    rows = short.where(level >= least).collect() if least is not None else []  # at most `size` words of bounded length
+    rows.sort(key=lambda r: (-r["n"], bytes(r["word"])))
     return Head([bytes(r["word"]) for r in rows], np.array([r["n"] for r in rows], dtype=np.int64),
                 total["n"] or 0, total["v"], min(vocabulary, len(rows)))
 
 
 # --- the model ----------------------------------------------------------------------
 
+def _log_softmax(e: np.ndarray, picked: np.ndarray, gradient: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Log probability of the picked column of each row, and its gradient to the scores ``e``
+    (which are overwritten). Scores start from log frequencies; capped, they cannot overflow."""
+    np.minimum(e, 60, out=e)
+    rows = np.arange(len(e))
+    out = e[rows, picked]
+    np.exp(e, out=e)
+    total = e @ np.ones(e.shape[1], dtype=e.dtype)
+    out -= np.log(total)
+    if not gradient:
+        return out, None
+    e *= (-1 / total)[:, None]
+    e[rows, picked] += 1
+    return out, e
+
+
 class Network:
     """A GRU with a class-factored softmax. Symbol ``size`` stands for all other words."""
 
@@ -168,17 +199,25 @@ class Network:
         p, n = self.p, self.hidden
         x = p["embed"][inputs]
         gx = x @ p["wx"] + p["b"]
-        out = np.empty((*inputs.shape, n), dtype=np.float32)
+        out = np.empty((*inputs.shape, n), dtype=x.dtype)
+        state = state.copy()
         for t in range(len(inputs)):
-            state = np.where(starts[t][:, None], np.float32(0), state)
+            state[starts[t]] = 0
             gh = state @ p["wh"]
-            zr = 1 / (1 + np.exp(-(gx[t, :, :2 * n] + gh[:, :2 * n])))
+            zr = gx[t, :, :2 * n] + gh[:, :2 * n]
+            np.negative(zr, out=zr)  # the logistic function, in place
+            np.exp(zr, out=zr)
+            zr += 1
+            np.reciprocal(zr, out=zr)
             z, r = zr[:, :n], zr[:, n:]
-            new = np.tanh(gx[t, :, 2 * n:] + r * gh[:, 2 * n:])
+            new = r * gh[:, 2 * n:]
+            new += gx[t, :, 2 * n:]
+            np.tanh(new, out=new)
             if keep is not None:
                 keep.append((state, z, r, new, gh[:, 2 * n:]))
-            state = new + z * (state - new)
-            out[t] = state
+            state = np.multiply(z, state - new, out=out[t])
+            state += new
+            state = state.copy()  # the next step's start may clear some of it
         return out, state, x
 
     def log_probabilities(self, h: np.ndarray, targets: np.ndarray, grad: dict | None = None) -> np.ndarray:
@@ -186,58 +225,53 @@ class Network:
         With ``grad``, the gradients of their sum are added to it, that of ``h`` as "h"."""
         p = self.p
         cls = self.class_of[targets]
-        e = h @ p["wc"] + p["bc"]
-        e -= e.max(axis=1, keepdims=True)
-        picked = e[np.arange(len(e)), cls]
-        np.exp(e, out=e)
-        total = e.sum(axis=1)
-        out = picked - np.log(total)
+        out, d = _log_softmax(h @ p["wc"] + p["bc"], cls, grad is not None)
         if grad is not None:
-            d = -e / total[:, None]
-            d[np.arange(len(d)), cls] += 1
             grad["wc"] += h.T @ d
-            grad["bc"] += d.sum(axis=0)
+            grad["bc"] += np.ones(len(d), dtype=d.dtype) @ d
             grad["h"] = d @ p["wc"].T
         order = np.argsort(cls, kind="stable")
         ends = np.searchsorted(cls[order], np.arange(len(self.members) + 1))
+        at, sorted_h = self.place[targets[order]], h[order]
         for c in range(len(self.members)):
-            rows = order[ends[c]:ends[c + 1]]
-            if not len(rows) or len(self.members[c]) == 1:
+            own = slice(ends[c], ends[c + 1])
+            if ends[c] == ends[c + 1] or len(self.members[c]) == 1:
                 continue
             s = slice(self.first[c], self.first[c + 1])
-            hc, at = h[rows], self.place[targets[rows]]
-            e = hc @ p["ww"][s].T + p["bw"][s]
-            e -= e.max(axis=1, keepdims=True)
-            picked = e[np.arange(len(e)), at]
-            np.exp(e, out=e)
-            total = e.sum(axis=1)
-            out[rows] += picked - np.log(total)
+            rows, hc = order[own], sorted_h[own]
+            lp, d = _log_softmax(hc @ p["ww"][s].T + p["bw"][s], at[own], grad is not None)
+            out[rows] += lp
             if grad is not None:
-                d = -e / total[:, None]
-                d[np.arange(len(d)), at] += 1
                 grad["ww"][s] += d.T @ hc
-                grad["bw"][s] += d.sum(axis=0)
+                grad["bw"][s] += np.ones(len(d), dtype=d.dtype) @ d
                 grad["h"][rows] += d @ p["ww"][s]
         return out
 
     def backward(self, inputs, starts, kept, x, dh, grad) -> None:
         """Adds the gradients of a window from those of its states; it ends at the window's start."""
         p, n = self.p, self.hidden
-        dgx = np.empty((*inputs.shape, 3 * n), dtype=np.float32)
+        dgx = np.empty((*inputs.shape, 3 * n), dtype=x.dtype)
+        dgh = np.empty_like(dgx)
         after = np.zeros_like(dh[0])
+        recurrent = np.ascontiguousarray(p["wh"].T)
         for t in range(len(inputs) - 1, -1, -1):
             before, z, r, new, candidate = kept[t]
             d = dh[t] + after
-            dnew = d * (1 - z) * (1 - new * new)
-            dz = d * (before - new) * z * (1 - z)
-            dr = dnew * candidate * r * (1 - r)
-            dgx[t] = np.concatenate([dz, dr, dnew], axis=1)
-            dgh = np.concatenate([dz, dr, dnew * r], axis=1)
-            grad["wh"] += before.T @ dgh
-            after = np.where(starts[t][:, None], np.float32(0), d * z + dgh @ p["wh"].T)
+            d_z = d * z
+            d -= d_z                    # d (1 - z)
+            own, through = dgx[t], dgh[t]
+            np.multiply(d, 1 - new * new, out=own[:, 2 * n:])
+            np.multiply(before - new, d * z, out=own[:, :n])
+            np.multiply(own[:, 2 * n:] * candidate, r * (1 - r), out=own[:, n:2 * n])
+            through[:] = own
+            through[:, 2 * n:] *= r
+            after = through @ recurrent
+            after += d_z
+            after[starts[t]] = 0
+        grad["wh"] += np.concatenate([k[0] for k in kept]).T @ dgh.reshape(-1, 3 * n)
         flat = dgx.reshape(-1, 3 * n)
         grad["wx"] += x.reshape(-1, n).T @ flat
-        grad["b"] += flat.sum(axis=0)
+        grad["b"] += np.ones(len(flat), dtype=flat.dtype) @ flat
         dx = flat @ p["wx"].T
         order = np.argsort(inputs.ravel(), kind="stable")
         symbols = inputs.ravel()[order]
@@ -283,8 +317,8 @@ def laid_out(symbols: np.ndarray, sizes: np.ndarray, end: int, streams: int = ST
     order = streams_of(sizes, streams)
     steps = max(int(sizes[o].sum()) for o in order)
     shape = (len(order), steps)
-    targets, inputs = np.zeros(shape, dtype=np.int64), np.full(shape, end, dtype=np.int64)
-    owners, starts = np.full(shape, -1, dtype=np.int64), np.zeros(shape, dtype=bool)
+    targets, inputs = np.zeros(shape, dtype=symbols.dtype), np.full(shape, end, dtype=symbols.dtype)
+    owners, starts = np.full(shape, -1, dtype=np.int32), np.zeros(shape, dtype=bool)
     for s, own in enumerate(order):
         if not own:
             continue
@@ -301,7 +335,7 @@ def laid_out(symbols: np.ndarray, sizes: np.ndarray, end: int, streams: int = ST
 def folded(symbols: np.ndarray, sizes: np.ndarray, end: int, streams: int = STREAMS):
     """(inputs, targets, starts) as (steps, streams) arrays: all documents end to end,
     folded into equal streams. A document that a fold cuts goes on with a new state."""
-    inputs = np.append(end, symbols[:-1])
+    inputs = np.append(symbols.dtype.type(end), symbols[:-1])
     starts = np.zeros(len(symbols), dtype=bool)
     first = np.cumsum(sizes) - sizes
     inputs[first], starts[first] = end, True
@@ -351,7 +385,7 @@ def score(net: Network, symbols: np.ndarray, sizes: np.ndarray, end: int) -> np.
 # --- on Spark -----------------------------------------------------------------------
 
 def _symbols(head: Head, numbers: np.ndarray) -> np.ndarray:
-    return np.where((numbers < 0) | (numbers >= head.size), head.size, numbers)
+    return np.where((numbers < 0) | (numbers >= head.size), head.size, numbers).astype(np.int32)
 
 
 def end_symbol(head: Head) -> int:
@@ -389,7 +423,7 @@ def fit(training: DataFrame, head: Head, id_col: str = "doc_id", text_col: str =
             trained = 0
             for batch in batches:
                 for texts in _chunks(batch.column(0).to_pylist()):
-                    numbers, sizes, _ = known.value.encode(texts)
+                    numbers, sizes, _ = known.value.encode(texts, collect=False)
                     train(own, optimiser, _symbols(known.value, numbers), sizes, end)
                     trained += len(numbers)
             if trained:
@@ -402,7 +436,9 @@ def fit(training: DataFrame, head: Head, id_col: str = "doc_id", text_col: str =
         return run
 
     schema = "part long, slice long, weight double, values binary"
-    warm = rows.where(draw < share).select("text").coalesce(1).mapInArrow(replica(net.flat()), schema).collect()
+    # filtered in parallel; then a bounded sample, in a fixed order, for one task
+    warm = (rows.where(draw < share).repartition(1).sortWithinPartitions("id", "text").select("text")
+            .mapInArrow(replica(net.flat()), schema).collect())
     if warm:
         net.load(_joined(warm))
     averaged = written(rows.select("text").mapInArrow(replica(net.flat()), schema), "replicas")
