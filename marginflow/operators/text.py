@@ -29,14 +29,15 @@ def product_rollup(tx: DataFrame, order_col: str = "_row_order") -> DataFrame:
     """Per product: total sales and profit, mean discount, first category/sub-category.
 
     "first" is the first value that is not NULL, by ``order_col`` (a unique number
-    that gives the row order). Sums of nothing are 0. Raw rows are hash-aggregated
+    that gives the row order). Sums of nothing are 0; the mean discount is an exact
+    decimal mean, so its digits do not depend on the partitioning. Raw rows are hash-aggregated
     by name and both categories; the few rows that remain of a product are then
     combined, so no raw row is sorted.
     """
     n = F.col(f"`{NAME}`")
     parts = (tx.where(n.isNotNull()).groupBy(n.alias(NAME), "Category", F.col("`Sub-Category`").alias("Sub_Category"))
                .agg(F.sum("Sales").alias("Sales"), F.sum("Profit").alias("Profit"),
-                    F.sum("Discount").alias("_discount"), F.count("Discount").alias("_discounts"),
+                    F.sum(F.col("Discount").cast("decimal(38,6)")).alias("_discount"), F.count("Discount").alias("_discounts"),
                     F.min(order_col).alias("_first")))
 
     def first(c):
@@ -44,7 +45,8 @@ def product_rollup(tx: DataFrame, order_col: str = "_row_order") -> DataFrame:
 
     prod = parts.groupBy(F.col(f"`{NAME}`")).agg(
         F.coalesce(F.sum("Sales"), F.lit(0.0)).alias("Sales"), F.coalesce(F.sum("Profit"), F.lit(0.0)).alias("Profit"),
-        (F.sum("_discount") / F.nullif(F.sum("_discounts"), F.lit(0))).alias("Discount"),
+        (F.sum("_discount").cast("decimal(24,6)") / F.nullif(F.sum("_discounts"), F.lit(0)).cast("decimal(12,0)"))
+        .cast("double").alias("Discount"),
         first("Category"), first("Sub_Category"))
     return prod.withColumn("Margin_Pct", safe_div("Profit", "Sales") * 100)
 
