@@ -314,6 +314,8 @@ def laid_out(symbols: np.ndarray, sizes: np.ndarray, end: int, streams: int = ST
 
     The input of a place is the symbol before its target, the end at a document's start."""
     at = np.cumsum(sizes) - sizes
+    # no more streams than the longest document lets fill: the rest would be empty places
+    streams = max(1, min(streams, int(sizes.sum()) // int(sizes.max())))
     order = streams_of(sizes, streams)
     steps = max(int(sizes[o].sum()) for o in order)
     shape = (len(order), steps)
