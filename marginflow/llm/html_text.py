@@ -36,6 +36,9 @@ STOP_WORDS = frozenset("""
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("script style noscript template textarea title iframe svg math select button object canvas "
                     "audio video head".split())
+#: Of these: what holds no markup, so that it ends at its close tag only, and what may close itself.
+RAW = frozenset("script style textarea title".split())
+FOREIGN = frozenset("svg math".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table "
                   "tbody td tfoot th thead tr ul".split())
@@ -145,9 +148,45 @@ class _Parser:
             del self.stack[at]
 
 
+def _raw_end(page: str, name: str, at: int) -> int:
+    """Where an element ends that holds no markup; unclosed, it takes the rest, a head its tag alone."""
+    end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
+    return end.end() if end is not None else at if name == "head" else len(page)
+
+
+def _ends(page: str) -> dict[int, int]:
+    """Where the skipped elements end, by the place after their opening tag. One that
+    is still open where an element around it closes, or at the end, is left out."""
+    ends: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    held: dict[str, int] = {}
+    at = 0
+    while (m := _MARKUP.search(page, at)) is not None:
+        at = m.end()
+        slash, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        name = (name or "").lower()
+        if name in RAW:
+            at = at if slash else _raw_end(page, name, at)
+        elif name not in SKIPPED and name not in BLOCK or name in VOID or name == "head":
+            continue
+        elif not slash:
+            if not (name in FOREIGN and attributes.endswith("/")):
+                stack.append((name, at))
+                held[name] = held.get(name, 0) + 1
+        elif held.get(name):
+            while True:
+                last, start = stack.pop()
+                held[last] -= 1
+                if last == name:
+                    break
+            if name in SKIPPED:
+                ends[start] = at
+    return ends
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of text of a page, in order, without scripts, styles and comments."""
-    parser, at = _Parser(), 0
+    parser, at, ends = _Parser(), 0, None
     while (m := _MARKUP.search(page, at)) is not None:
         parser.text(page[at:m.start()])
         at = m.end()
@@ -162,11 +201,11 @@ def blocks_of(page: str) -> list[Block]:
         elif name == "hr":
             parser.flush()
         elif name in SKIPPED:
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
-            if end is not None:
-                at = end.end()
-            elif name != "head":
-                at = len(page)
+            if name in RAW or name == "head":
+                at = _raw_end(page, name, at)
+            elif not (name in FOREIGN and attributes.endswith("/")):
+                ends = _ends(page) if ends is None else ends
+                at = ends.get(at, at)
         elif name not in VOID and not attributes.endswith("/"):
             parser.open(name, attributes)
         elif name in BLOCK:

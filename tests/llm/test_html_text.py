@@ -37,6 +37,21 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<article>a<svg width='1'/>b<math/>c</article>", "abc"),
+    ("<article>a<svg><svg/><g><svg>no</svg></g>no</svg>b</article>", "ab"),
+    *[(f"<nav><{x}>Menu</nav><article><p>one</p><{x}><p>two</p></article>", "one\ntwo")
+      for x in "button select object video audio canvas noscript iframe template svg".split()],
+    ("<article><p>one <button>two</p><p>three</p><button>no</button><p>four</p></article>", "one two\nthree\nfour"),
+    ("<article>a<video src=x><p>no</p></video>b<object><object>no</object>no</object>c</article>", "abc"),
+    ("<article>a<canvas><!-- </canvas> --><script>'</canvas>'</script>no</canvas>b</article>", "ab"),
+    ("<article>a<textarea>b</article>", "a"), ("<article>a<script>b</article>", "a"),
+])
+def test_skipped_elements_take_no_more_than_their_own(page, text):
+    assert html_text.main_text(page) == text
+    assert html_text.main_text(page + "<svg>" * 20_000 + "</div>" * 20_000) == text  # in linear time
+
+
 def test_two_passes_without_an_article():
     page = (f"<div id=menu><a href=x>Home</a> <a href=y>About</a></div><h1>Title</h1><p>{PROSE}</p><p>Short.</p><p>{PROSE}</p>"
             f"<p><a href=1>link one</a> <a href=2>link two</a> <a href=3>link three</a></p><p>Lone tail</p>"
