@@ -1,10 +1,13 @@
 """Main text of web pages by two passes over their blocks.
 
-The markup is cut into blocks of text. The first pass decides a block by where
-it stands (menus, footers, forms, adverts, comments and the like are out; what
-an article element holds is in) and otherwise by its link density, length and
-stop-word density. Short blocks, and those of middling density, stay undecided;
-the second pass gives them the label of their nearest decided neighbours.
+The markup is cut into blocks of text. Menus, footers, forms, adverts, comments
+and the like are out by where they stand. The first pass decides every other
+block by its link density, length and stop-word density; short blocks, and those
+of middling density, stay undecided. An article or main element is evidence on
+the undecided blocks in it: they are in, unless it is an article without one
+good block and there is more good text beside it (a teaser). The second pass
+gives the others the label of their nearest decided neighbours on their side of
+the element's border.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -63,6 +67,7 @@ _MARKUP = re.compile(
     r"|<(/?)([A-Za-z][^\s/>\"'<]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([A-Za-z][^\s/>\"'<]*)([^>]*)>", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_MAIN = re.compile(r"\b(?:id|role)\s*=\s*[\"']?main(?=[\"'\s]|$)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -72,7 +77,9 @@ class Block:
     text: str
     link_chars: int
     outside: bool
-    article: bool
+    #: the nearest article or main element around it, by number (0: none), and whether that is a main one
+    frame: int
+    main: bool
     heading: bool
     label: str = ""
 
@@ -81,7 +88,7 @@ class Block:
 class _Open:
     name: str
     outside: bool
-    article: bool
+    frame: int
 
 
 @dataclass
@@ -90,14 +97,16 @@ class _Parser:
     stack: list[_Open] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     links: list[str] = field(default_factory=list)
+    #: whether each frame is a main element; the first stands for the page
+    mains: list[bool] = field(default_factory=lambda: [False])
 
     def flush(self) -> None:
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
-            top = self.stack[-1] if self.stack else _Open("", False, False)
+            top = self.stack[-1] if self.stack else _Open("", False, 0)
             linked = " ".join(html.unescape("".join(self.links)).split())
             heading = any(len(x.name) == 2 and x.name[0] == "h" and x.name[1].isdigit() for x in self.stack)
-            self.blocks.append(Block(text, len(linked), top.outside, top.article, heading))
+            self.blocks.append(Block(text, len(linked), top.outside, top.frame, self.mains[top.frame], heading))
         self.parts, self.links = [], []
 
     def text(self, s: str) -> None:
@@ -116,21 +125,24 @@ class _Parser:
                 self.stack.pop()
             if self.stack and (self.stack[-1].name == "p" or self.stack[-1].name in ENDS_ITSELF.get(name, ())):
                 self.stack.pop()
-        under = self.stack[-1] if self.stack else _Open("", False, False)
+        under = self.stack[-1] if self.stack else _Open("", False, 0)
         named = {w for m in _NAMES.finditer(attributes) for w in
                  re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower())} if attributes else set()
-        article = under.article or name in ("article", "main") or "main" in named and name in BLOCK
-        outside = (under.outside or name in OUTSIDE or name == "header" and not under.article
+        frame = under.frame
+        if name in ("article", "main") or "main" in named and name in BLOCK:
+            frame = len(self.mains)
+            self.mains.append(name == "main" or bool(_MAIN.search(attributes)))
+        outside = (under.outside or name in OUTSIDE or name == "header" and not under.frame
                    or bool(attributes and _HIDDEN.search(attributes)))
         if not outside and name not in ("body", "html", "article", "main"):
             names = named & OUTSIDE_NAMES
-            if under.article:
+            if under.frame:
                 names = names - {"header"}  # an article's own heading
             outside = bool(names) or any(x in w for w in named for x in OUTSIDE_STEMS)
         inline = name not in BLOCK
         if inline and outside and not under.outside:
             self.flush()  # a marked piece inside a block is a block of its own
-        self.stack.append(_Open(name, outside, article))
+        self.stack.append(_Open(name, outside, frame))
 
     def close(self, name: str) -> None:
         if name in BLOCK:
@@ -217,32 +229,62 @@ def blocks_of(page: str) -> list[Block]:
 
 def classify(blocks: list[Block]) -> None:
     """Sets each block's label to ``good`` or ``bad``."""
-    framed = any(b.article and not b.outside for b in blocks)
     for b in blocks:
-        ws = _WORD.findall(b.text.lower())
-        stops = sum(w in STOP_WORDS for w in ws) / max(len(ws), 1)
-        n, links = len(b.text), b.link_chars / len(b.text)
-        if b.outside or framed and not b.article:
-            b.label = "bad"
-        elif framed:
-            b.label = "good"
-        elif links > MAX_LINK_DENSITY or "©" in b.text:
-            b.label = "bad"
-        elif n < SHORT_CHARS:
-            b.label = "bad" if links > 0 and not b.heading else "short"
-        elif stops >= HIGH_STOP_DENSITY:
-            b.label = "good"
-        else:
-            b.label = "near" if stops >= LOW_STOP_DENSITY or n > LONG_CHARS and not links else "bad"
-    for undecided in ("near", "short"):  # the longer ones first, so that they count as decided
-        labels = [b.label for b in blocks]
-        decided = [i for i, x in enumerate(labels) if x in ("good", "bad")]
-        for i, b in enumerate(blocks):
-            if b.label == undecided:
-                j = bisect_left(decided, i)
-                before = decided[j - 1] if j else None
-                after = decided[j] if j < len(decided) else None
-                b.label = _inherited(b, i, before, after, labels)
+        b.label = "bad" if b.outside else _by_words(b)
+    good, undecided = Counter(), Counter()  # characters by frame
+    for b in blocks:
+        if b.label == "good":
+            good[b.frame] += len(b.text)
+        elif b.label != "bad":
+            undecided[b.frame] += len(b.text)
+    stated = any(b.main and not b.outside for b in blocks)
+    if stated or good.total() > 2 * good[0]:  # then text beside the frames must speak for itself
+        for b in blocks:
+            if not b.frame and b.label == "good" and len(b.text) <= LONG_CHARS:
+                b.label = "near"
+                good[0] -= len(b.text)
+    total = good.total()
+    framed = any(b.frame and not b.outside for b in blocks)
+    for b in blocks:
+        if b.label in ("near", "short"):
+            if b.frame and (b.main or good[b.frame] or undecided[b.frame] >= total):
+                b.label = "good"
+            elif framed and not b.frame and not good[0]:
+                b.label = "bad"
+    _inherit(blocks)
+
+
+def _by_words(b: Block) -> str:
+    """Good, bad, or undecided: near or short. What a frame holds is bad only for its links."""
+    ws = _WORD.findall(b.text.lower())
+    stops = sum(w in STOP_WORDS for w in ws) / max(len(ws), 1)
+    n, links = len(b.text), b.link_chars / len(b.text)
+    if b.frame and b.heading:
+        return "short"  # often a link to the article itself
+    if links > MAX_LINK_DENSITY or "©" in b.text and not b.frame:
+        return "bad"
+    if n < SHORT_CHARS:
+        return "bad" if links > 0 and not b.heading and not b.frame else "short"
+    if stops >= HIGH_STOP_DENSITY:
+        return "good"
+    return "near" if b.frame or stops >= LOW_STOP_DENSITY or n > LONG_CHARS and not links else "bad"
+
+
+def _inherit(blocks: list[Block]) -> None:
+    """Decides the undecided blocks of each frame by the others of that frame."""
+    sides: dict[int, list[Block]] = {}
+    for b in blocks:
+        sides.setdefault(b.frame, []).append(b)
+    for own in sides.values():
+        for undecided in ("near", "short"):  # the longer ones first, so that they count as decided
+            labels = [b.label for b in own]
+            decided = [i for i, x in enumerate(labels) if x in ("good", "bad")]
+            for i, b in enumerate(own):
+                if b.label == undecided:
+                    j = bisect_left(decided, i)
+                    before = decided[j - 1] if j else None
+                    after = decided[j] if j < len(decided) else None
+                    b.label = _inherited(b, i, before, after, labels)
 
 
 def _inherited(b: Block, i: int, before: int | None, after: int | None, labels: list[str]) -> str:

@@ -62,6 +62,28 @@ def test_two_passes_without_an_article():
     assert words[0].label == "bad"  # nothing decided around it
 
 
+CARD = "<article class=card><h3><a href=x>Another story</a></h3><p>What it says.</p></article>"
+LINKS = "<ul><li><a href=1>one more page</a></li><li><a href=2>and another page</a></li></ul>"
+LONG = f"{PROSE} {PROSE}"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"{CARD}<div><h1>Title</h1><p>{PROSE}</p><p>Short.</p><p>{PROSE}</p></div>{CARD}", f"Title\n{PROSE}\nShort.\n{PROSE}"),
+    (f"<table><tr><td>{PROSE}<td>{PROSE}</table>{CARD}", f"{PROSE}\n{PROSE}"),
+    (f"<article><h1>A</h1><p>{PROSE}</p></article><article><h1>B</h1><p>{PROSE}</p><p>End.</p></article>{CARD}", f"A\n{PROSE}\nB\n{PROSE}\nEnd."),
+    (f"<article><p>{PROSE}</p>{LINKS}<p>{PROSE}</p></article>{LINKS}", f"{PROSE}\n{PROSE}"),
+    (f"<article><h2><a href=x>Linked title</a></h2><p>See <a href=y>it</a> all.</p><p>{PROSE}</p><p>zz</p></article>",
+     f"Linked title\nSee it all.\n{PROSE}\nzz"),
+    (f"<article><p>{LONG}</p></article><div>More</div><div>{LONG}</div><p>{PROSE}</p>", f"{LONG}\nMore\n{LONG}\n{PROSE}"),
+    (f"<article><p>{LONG}</p><p>{LONG}</p></article><div>Related</div><p>{PROSE}</p>", f"{LONG}\n{LONG}"),
+    (f"<main><p>{PROSE}</p>{LINKS}{CARD}<p>Last.</p></main><div>{PROSE}</div>", f"{PROSE}\nLast."),
+    (f"<div role=main><p>few words</p></div><p>{PROSE}</p>", "few words"),
+    ("<article><p>zzz yyy</p></article><p>xxx</p>", "zzz yyy"),
+])
+def test_an_article_element_is_evidence_only(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_edge_rows(spark):
     rows = [(1, None, None, "a"), (2, "u", "<p>", "b"), (2, "u", "<p>", "b"), (None, "u", "<article>" + "<p>x" * 20_000, "c"),
             (4, "u", "<" * 3_000 + "a \"" * 3_000, "d")]
