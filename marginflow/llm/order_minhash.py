@@ -7,6 +7,10 @@ and hashed as a tuple. Two texts agree in a signature only if they share the
 minimal k-mers and have them in the same order, so the share of equal signatures
 falls with the edit distance, where a plain MinHash would not see a change of
 order. (One hash split into ranges stands in for one permutation a signature.)
+
+A range of fewer hashes is filled up from those that follow it, the first after
+the last: a signature is of the first ``PICKS`` from the start of its range, so
+it holds that many whatever the text's length, or all that the text has.
 """
 
 from __future__ import annotations
@@ -59,24 +63,36 @@ def _bucket(u: Column) -> Column:
     return F.shiftrightunsigned(u, 64 - BUCKETS_LOG2).cast("int")
 
 
-def signatures(text: Column, k: int = K, picks: int = PICKS) -> Column:
-    """``BUCKETS`` signatures of a text, as 8 hexadecimal digits each (see ``EMPTY``)."""
-    def chosen(us):  # the smallest of each range, in text order
+def signatures(text: Column, k: int = K, picks: int = PICKS, fill: bool = False) -> Column:
+    """``BUCKETS`` signatures of a text, as 8 hexadecimal digits each (see ``EMPTY``);
+    with ``fill``, only a text without words has empty ones."""
+    ranges = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
+
+    def chosen(us, then):  # then(the smallest of each range in ascending order, the same in text order)
         def by_range(s):
             small = F.filter(s, lambda x, j: (j < picks) | (_bucket(x) != _bucket(F.get(s, j - picks))))
             return let(small, lambda m: let(
-                F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)),
-                            lambda b: F.array_max(F.filter(m, lambda x: _bucket(x) == b))),
-                lambda most: F.filter(us, lambda x: x <= F.get(most, _bucket(x)))))
+                F.transform(ranges, lambda b: F.array_max(F.filter(m, lambda x: _bucket(x) == b))),
+                lambda most: let(F.filter(us, lambda x: x <= F.get(most, _bucket(x))), lambda z: then(m, z))))
         return let(F.sort_array(us), by_range)
 
-    def tuples(z):
-        return F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: let(
-            F.filter(z, lambda x: _bucket(x) == b),
-            lambda t: F.when(F.size(t) == 0, F.lit(EMPTY)).otherwise(
+    def filled(m, z, b):  # the first from the start of range b, in text order; ascending starts with the upper half
+        half = BUCKETS // 2
+        place = F.when(b < half, b).otherwise(b - BUCKETS)
+        before = F.size(F.filter(m, lambda x: F.shiftright(x, 64 - BUCKETS_LOG2) < place))
+        return let(F.slice(F.concat(m, m), before + 1, picks),
+                   lambda own: F.filter(z, lambda x: F.array_contains(own, x)))
+
+    def tuples(m, z):
+        def own(b):
+            within = F.filter(z, lambda x: _bucket(x) == b)
+            return within if not fill else let(within, lambda t: F.when(
+                F.size(t) < F.least(F.lit(picks), F.size(z)), filled(m, z, b)).otherwise(t))
+        return F.transform(ranges, lambda b: let(
+            own(b), lambda t: F.when(F.size(t) == 0, F.lit(EMPTY)).otherwise(
                 F.lower(F.substring(F.lpad(F.hex(F.xxhash64(t)), 16, "0"), 9, 8)))))
 
-    return let(numbered(kmer_hashes(words(text), k)), lambda us: let(chosen(us), tuples))
+    return let(numbered(kmer_hashes(words(text), k)), lambda us: chosen(us, tuples))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -126,7 +142,7 @@ def next_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                  F.when(F.col("copied_to").isNotNull(),
                         F.struct(F.lit(True).alias("copy"), F.col("copied_to").alias("group")))))).alias("place"))
              .select("doc_id", "text", "key", "place.copy", F.col("place.group").alias("group"))
-             .repartition("group").withColumn("sigs", signatures(F.col("text"))))
+             .repartition("group").withColumn("sigs", signatures(F.col("text"), fill=True)))
     order = Window.partitionBy("group").orderBy("copy", "key", "text")
     return (dealt.withColumn("next_text", F.lead("text").over(order)).withColumn("next_sigs", F.lead("sigs").over(order))
             .where(~F.col("copy")).select("doc_id", "text", "sigs", "next_text", "next_sigs"))
@@ -140,7 +156,7 @@ def compare_with_edit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     n, cut = F.length("text"), F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
     both = next_documents(docs, id_col, text_col).withColumn("edited", edited)
-    both = both.withColumn("edited_sigs", signatures(F.col("edited")))
+    both = both.withColumn("edited_sigs", signatures(F.col("edited"), fill=True))
     return both.select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.array_join("sigs", "").alias("fingerprint"), F.array_join("edited_sigs", "").alias("edited_fingerprint"),

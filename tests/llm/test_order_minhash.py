@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -81,6 +82,45 @@ def test_order_matters(spark):
     assert near < 0.6  # as a set they are about 0.7 alike
 
 
+def plain_filled(us, picks=order_minhash.PICKS):
+    """The first hashes from the start of each range, going round, in text order."""
+    out, width = [], 64 - order_minhash.BUCKETS_LOG2
+    for b in range(order_minhash.BUCKETS):
+        ahead = sorted(((u - (b << width)) % 2**64, i) for i, u in enumerate(us))[:picks]
+        out.append([us[i] for i in sorted(i for _, i in ahead)])
+    return out
+
+
+def test_filled_ranges_against_plain_python(spark):
+    texts = ["", "one", "two words", "a b c d", "a a a a a a"] + [" ".join(str(i) for i in range(n)) for n in (9, 15, 30, 60, 90, 500)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    rows = frame.withColumn("u", order_minhash.numbered(order_minhash.kmer_hashes(order_minhash.words(F.col("text"))))).withColumn(
+        "s", order_minhash.signatures(F.col("text"), fill=True)).withColumn("bare", order_minhash.signatures(F.col("text"))).collect()
+    flat = []
+    for r in rows:
+        own = plain_filled(r["u"])
+        assert all(len(t) == min(order_minhash.PICKS, len(r["u"])) for t in own)
+        flat += [(r["id"], b, t) for b, t in enumerate(own) if t]
+    hashed = {(h["i"], h["b"]): h["h"] for h in spark.createDataFrame(flat, "i int, b int, t array<long>").withColumn(
+        "h", F.lower(F.substring(F.lpad(F.hex(F.xxhash64("t")), 16, "0"), 9, 8))).collect()}
+    for r in rows:
+        assert r["s"] == [hashed.get((r["id"], b), order_minhash.EMPTY) for b in range(order_minhash.BUCKETS)]
+    assert rows[-1]["s"] == rows[-1]["bare"] and rows[7]["s"] != rows[7]["bare"]  # a long text needs no filling
+
+
+def test_order_matters_in_short_texts(spark):
+    draw, rows = random.Random(5), []
+    for i in range(80):
+        n = 15 + 5 * (i % 10)
+        ws = [f"w{draw.randrange(10**6)}" for _ in range(n)]
+        moved = [w for at in reversed(range(0, n, 5)) for w in ws[at:at + 5]]  # three k-mers of five stay
+        rows += [(2 * i, " ".join(ws)), (2 * i + 1, " ".join(moved))]
+    got = {r["doc_id"]: r["near_next"] for r in order_minhash.compare_with_edit(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    shortest, all_ = [got[2 * i] for i in range(80) if i % 10 < 4], [got[2 * i] for i in range(80)]
+    assert sum(shortest) / len(shortest) < 0.25 and sum(all_) / len(all_) < 0.2  # as sets they are about 0.45 alike
+
+
 def test_edge_rows(spark, edge_docs, no_docs):  # noqa: F811
     rows = order_minhash.compare_with_edit(edge_docs).collect()
     assert len(rows) == edge_docs.count()
