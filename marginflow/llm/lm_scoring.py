@@ -3,8 +3,10 @@
 * Word counts cover every training token: a Spark aggregation to a written table.
 * The model is a GRU over the most frequent ``VOCABULARY`` words; its softmax is
   factored: first a word's class, then the word in its class. All other words
-  share one symbol, and one of them has probability (c + 1) / (N' + V' + 1) of
-  it, from its count c and the N' tokens and V' types outside the vocabulary.
+  fall into bands by rank, each a symbol of input and output: a band holds as many
+  ranks as all before it, and the last one also the words outside the head. A word
+  of count c has probability c / N' of its band of N' tokens; in the last, with V'
+  types, (c + 1) / (N' + V' + 1).
 * Training starts from one model, fitted to a small sample; then every task
   trains a replica by truncated backpropagation over all the training documents
   of its partition, and the replicas are averaged, a bounded number at a time.
@@ -102,9 +104,24 @@ class Head:
     def __post_init__(self):
         self.number = {w: i for i, w in enumerate(self.words)}
         self.base = np.log10((self.counts + 1) / (self.total + self.types + 1))
+        ranks = np.arange(self.size, len(self.words))
+        band = np.log2(ranks / max(self.size, 1)).astype(np.int64)
+        last = int(band.max(initial=0))
+        #: symbols by head number, with that of words outside (-1) at the end
+        self.symbol_of = np.concatenate([np.arange(self.size), self.size + band, [self.size + last]]).astype(np.int32)
         inside = int(self.counts[:self.size].sum())
-        self.unknown_total, self.unknown_types = self.total - inside, self.types - self.size
-        self.within = np.log10((self.counts + 1) / (self.unknown_total + self.unknown_types + 1))
+        #: tokens of each band, and types of the last
+        self.band_totals = np.bincount(band, self.counts[self.size:], minlength=last + 1).astype(np.int64)
+        self.band_totals[last] = self.total - inside - self.band_totals[:last].sum()
+        self.last_types = self.types - self.size - int((band < last).sum())
+        own = np.append(np.zeros(self.size, dtype=np.int64), band)
+        self.within = np.where(own < last, np.log10(self.counts / np.maximum(self.band_totals, 1)[own]),
+                               np.log10((self.counts + 1) / self.last_total))
+
+    @property
+    def last_total(self) -> int:
+        """What the counts in the last band, each plus one, and one unseen word come to."""
+        return int(self.band_totals[-1]) + self.last_types + 1
 
     def encode(self, texts: list, collect: bool = True) -> tuple[np.ndarray, np.ndarray, list[Counter]]:
         """Head numbers of all tokens (-1: outside), tokens a text, and, with ``collect``,
@@ -158,11 +175,11 @@ def _log_softmax(e: np.ndarray, picked: np.ndarray, gradient: bool) -> tuple[np.
 
 
 class Network:
-    """A GRU with a class-factored softmax. Symbol ``size`` stands for all other words."""
+    """A GRU with a class-factored softmax. Symbols from ``size`` on stand for the bands of other words."""
 
     def __init__(self, head: Head, hidden: int = HIDDEN, classes: int = CLASSES, seed: int = 7):
         self.size, self.hidden = head.size, hidden
-        mass = np.append(head.counts[:head.size], max(head.unknown_total, 1)).astype(float)
+        mass = np.append(head.counts[:head.size], np.maximum(head.band_totals, 1)).astype(float)
         order = np.argsort(-mass, kind="stable")
         share = np.cumsum(np.sqrt(mass[order]))
         by_order = np.minimum((share / share[-1] * classes).astype(int), classes - 1)
@@ -387,11 +404,11 @@ def score(net: Network, symbols: np.ndarray, sizes: np.ndarray, end: int) -> np.
 # --- on Spark -----------------------------------------------------------------------
 
 def _symbols(head: Head, numbers: np.ndarray) -> np.ndarray:
-    return np.where((numbers < 0) | (numbers >= head.size), head.size, numbers).astype(np.int32)
+    return head.symbol_of[numbers]
 
 
 def end_symbol(head: Head) -> int:
-    return min(head.number.get(END, head.size), head.size)
+    return int(head.symbol_of[head.number.get(END, -1)])
 
 
 def _chunks(texts: list) -> Iterator[list]:
@@ -515,7 +532,7 @@ def score_documents(docs: DataFrame, training: DataFrame, id_col: str = "doc_id"
     tail = scored.select("key", F.explode(F.arrays_zip("words", "times")).alias("t")).select(
         "key", F.col("t.words").alias("word"), F.col("t.times").alias("times"))
     found = tail.join(counts, "word", "left").withColumn("c", F.coalesce("n", F.lit(0)))
-    base_total, tail_total = head.total + head.types + 1, head.unknown_total + head.unknown_types + 1
+    base_total, tail_total = head.total + head.types + 1, head.last_total
     sums = found.groupBy("key").agg(
         F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("tail_known"),
         F.sum(F.col("times") * F.log10((F.col("c") + 1) / F.lit(float(base_total)))).alias("tail_base"),

@@ -53,6 +53,21 @@ def test_probabilities_sum_to_one(small):
     assert np.allclose(total, 1, atol=1e-5)
 
 
+def test_other_words_are_split_by_rank():
+    counts = {f"w{i}": 400 // (i + 1) + 1 for i in range(60)} | {"\n": 500}
+    head = small_head(counts, 40, 4)
+    by_rank = head.symbol_of.tolist()
+    assert by_rank == [0, 1, 2, 3, *[4] * 4, *[5] * 8, *[6] * 16, *[7] * 8, 7]  # the last: words outside the head
+    net = lm_scoring.Network(head, hidden=4, classes=3)
+    assert len(net.p["embed"]) == len(net.p["ww"]) == 8
+    h = np.random.default_rng(1).standard_normal((1, 4)).astype(np.float32)
+    p = [math.exp(net.log_probabilities(h, np.array([s]))[0]) for s in range(8)]
+    known = sum(p[s] * (10 ** head.within[i] if s >= 4 else 1) for i, s in enumerate(by_rank[:-1]))
+    outside = sum(n + 1 for n in sorted(counts.values())[:21]) + 1  # 21 types outside the head, and an unseen word
+    assert abs(known + p[7] * outside / head.last_total - 1) < 1e-5
+    assert lm_scoring._symbols(head, np.array([0, 5, 39, -1])).tolist() == [0, 4, 7, 7]
+
+
 def test_gradients_against_differences(small):
     head, net, texts = small
     numbers, sizes, _ = head.encode(texts[:4])
