@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginflow.llm import (html_text, langid, line_dedup, lm_scoring, order_minhash, packing, piece_sampling,
-                            quality, simhash, url_filters)
+from marginflow.llm import (chat_format, collocations, html_text, langid, line_dedup, lm_scoring, order_minhash,
+                            packing, piece_sampling, quality, simhash, turn_repair, url_filters)
 from marginflow.llm.common import id_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,92 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.judge(docs, model)
+
+
+#: The conversation that shows that a template's own strings survive as text.
+CONFLICT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, as read back from their formatted text."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", CONFLICT), (-7, 1, "assistant", CONFLICT)], rows.schema)
+    return chat_format.read_back(chat_format.format_conversations(rows.unionByName(extra)), arranged=True)
+
+
+_CONTROL = r"\[/?(?:SYS|INST|ROLE)\]|\[TEXT\]|</?s>"
+ORACLE["op11_chat_formatting"] = f"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{CONFLICT}' UNION ALL SELECT -7, 1, 'assistant', '{CONFLICT}'),
+t AS (
+  SELECT *, length(text) + len(regexp_extract_all(text, '{_CONTROL}'))
+         + CASE role WHEN 'system' THEN 13 WHEN 'user' THEN 15 WHEN 'assistant' THEN 9
+           ELSE 23 + length(role) + len(regexp_extract_all(role, '{_CONTROL}')) END AS chars
+  FROM r)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+                         ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id"""
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2,000 best collocations of two to four words."""
+    return collocations.top_collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ORACLE["op12_phrase_collocations"] = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM pieces),
+g AS (SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+      FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS m))),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY lang, m, phrase),
+total AS (SELECT lang, sum(f) AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f
+         WHERE m > 1 AND f >= {collocations.MIN_COUNT}),
+cut AS (SELECT lang, m, phrase, a, k, array_to_string(ws[1:k], ' ') AS x, array_to_string(ws[k + 1:], ' ') AS y
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
+scored AS (
+  SELECT cut.*, p.f AS l, q.f AS r, CAST(({collocations.SCALE}::HUGEINT * a) // (p.f + q.f) AS BIGINT) AS score
+  FROM cut JOIN f p ON p.lang = cut.lang AND p.phrase = cut.x JOIN f q ON q.lang = cut.lang AND q.phrase = cut.y),
+least AS (SELECT * FROM scored
+          QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+part AS (SELECT lang, a, array_to_string(ws[i:i + j - 1], ' ') AS phrase
+         FROM (SELECT *, unnest(range(1, m - j + 2)) AS i
+               FROM (SELECT *, unnest(range(2, m)) AS j FROM cand WHERE m > 2))),
+cover AS (SELECT lang, phrase, max(a) AS cover FROM part GROUP BY lang, phrase),
+kept AS (SELECT least.* FROM least LEFT JOIN cover USING (lang, phrase)
+         WHERE cover IS NULL OR 100::HUGEINT * cover < {collocations.COVERED}::HUGEINT * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN total USING (lang)
+WHERE rank <= {collocations.TOP}"""
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with the damage that op13's contract deals by crc32; ``live`` is
+    false for a dropped row."""
+    blank = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"),
+                   F.coalesce(F.col("turn").cast("string"), blank))
+    kind = F.crc32(key.cast("binary")) % 20
+    text = F.coalesce("text", blank)
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.coalesce("role", blank)).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (kind != 0).alias("live"),
+        F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faults of every damaged conversation, and its cheapest repair."""
+    return turn_repair.repair_conversations(damaged(table(spark, sf_dir, "conversations")), live=F.col("live"))
