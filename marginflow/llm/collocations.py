@@ -9,7 +9,7 @@ A phrase is as frequent as its rarest part at most. So words are counted first,
 bigrams of frequent words, then trigrams of frequent bigrams; each level leaves a
 bitmap of its frequent fingerprints, of a fixed size, that may hold more than these.
 A last pass counts what all bitmaps let through, with a pointer to one occurrence and
-a second, independent fingerprint. Only frequent phrases are materialised, by their
+half of a second, independent fingerprint. Only frequent phrases are materialised, by their
 pointers; what a pointer finds is hashed again and compared. A fingerprint whose second
 ones differ stands for several phrases: these are counted by their text.
 """
@@ -34,7 +34,11 @@ COVERED = 80
 TOP = 2000
 SCALE = 2_000_000
 #: Bytes of text that are hashed at once, and entries that a task holds before it adds them up.
-WINDOW, ENTRIES = 1 << 21, 1 << 21
+WINDOW, ENTRIES = 1 << 20, 1 << 21
+#: Input partitions that a task reads: what they share is added up before the shuffle.
+SPLITS = 3
+#: Bits of a fingerprint, beside its range, by which the levels below the last pass count.
+LEVEL_BITS = 24
 #: log2 of the bits of a level's bitmap. More bits let fewer rare n-grams through; results do not depend on it.
 FILTER_BITS = 26
 #: Bytes of text for each range of fingerprints; a range's entries are added up in memory.
@@ -44,8 +48,8 @@ _BREAKS, _BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _SEPARATOR = re.compile(rb"[.,;:!?\n\x0b\x0c\r \t]")
 _TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
-_ENTRY = np.dtype([("fp", "u8"), ("low", "u8"), ("high", "u8"), ("count", "i8"), ("n", "i8"),
-                   ("key", "i8"), ("at", "i8"), ("size", "i8")])
+_ENTRY = np.dtype([("fp", "u8"), ("low", "u4"), ("high", "u4"), ("count", "i8"), ("n", "u1"),
+                   ("key", "i8"), ("at", "u4"), ("size", "u4")])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -223,10 +227,19 @@ def _pairs_added(fps: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nd
     return fp[first], np.add.reduceat(count, first)
 
 
+def _planes(a: np.ndarray) -> bytes:
+    """The first bytes of all items, then the second ones, and so on: sorted or small numbers compress well."""
+    return a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes()
+
+
+def _of_planes(data: bytes, kind: np.dtype) -> np.ndarray:
+    kind = np.dtype(kind)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
 def _dealt(fps: np.ndarray, ranges: int) -> Iterator[tuple[int, slice]]:
-    """(range, slice) of sorted fingerprints; ``ranges`` is a power of two."""
-    bits = ranges.bit_length() - 1
-    of = (fps >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(fps), np.int64)
+    """(range, slice) of sorted fingerprints; ``ranges`` is a power of two above 1."""
+    of = (fps >> np.uint64(65 - ranges.bit_length())).astype(np.int64)
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(of)) + 1, [len(fps)]])
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         if a < b:
@@ -259,17 +272,23 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict
 
 def _level(docs: DataFrame, hashes: _Hashes, level: int, below, ranges: int, min_count: int) -> np.ndarray:
     """The bitmap of the fingerprints of ``level``-grams that occur ``min_count`` times or
-    more. Each range fills its own stretch of the bitmap, which is all the driver gets."""
+    more, and of others that begin like them: only the first bits are counted by. Each
+    range fills its own stretch of the bitmap, which is all the driver gets."""
+    bits = ranges.bit_length() - 1
+    cut = np.uint64(64 - bits - LEVEL_BITS)
+    small = np.dtype("u1" if min_count < 256 else "u4")
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = None if below is None else np.frombuffer(below.value, np.uint8)
         known, fps, counts = {}, [], []
 
         def flush() -> Iterator[pa.RecordBatch]:
             fp, n = _pairs_added(fps, counts)
-            n = np.minimum(n, min_count).astype(np.uint32)
-            for r, s in _dealt(fp, ranges):
+            n = np.minimum(n, min_count).astype(small)
+            low = (fp & np.uint64((1 << LEVEL_BITS) - 1)).astype(np.uint32)
+            for r, s in _dealt(fp << cut, ranges):
                 yield pa.RecordBatch.from_pydict({"range": pa.array([r], pa.int32()),
-                                                  "fps": pa.array([fp[s].tobytes()], pa.binary()),
+                                                  "fps": pa.array([_planes(low[s])], pa.binary()),
                                                   "counts": pa.array([n[s].tobytes()], pa.binary())})
 
         for batch in batches:
@@ -278,13 +297,13 @@ def _level(docs: DataFrame, hashes: _Hashes, level: int, below, ranges: int, min
                 seeds = langs[rows][w.doc]
                 words = hashes.first.words(w.data, w.starts, w.ends)
                 _, found = _candidates(hashes, w, seeds, level, bitmap, words)
-                fp, n = np.unique(found, return_counts=True)
+                fp, n = np.unique(found >> cut, return_counts=True)
                 fps.append(fp)
                 counts.append(n)
-                if sum(map(len, fps)) > ENTRIES:
+                if sum(map(len, fps)) > 2 * ENTRIES:
                     fp, n = _pairs_added(fps, counts)
                     fps, counts = [fp], [n]
-                    if len(fp) > ENTRIES // 2:
+                    if len(fp) > ENTRIES:
                         yield from flush()
                         fps, counts = [], []
         if fps:
@@ -292,11 +311,10 @@ def _level(docs: DataFrame, hashes: _Hashes, level: int, below, ranges: int, min
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r, rows in _grouped(batches):
-            fp, n = _pairs_added([np.frombuffer(x["fps"], np.uint64) for x in rows],
-                                 [np.frombuffer(x["counts"], np.uint32).astype(np.int64) for x in rows])
-            at = np.unique((fp[n >= min_count] >> np.uint64(64 - FILTER_BITS)).astype(np.int64))
+            fp, n = _pairs_added([_of_planes(x["fps"], "u4") for x in rows],
+                                 [np.frombuffer(x["counts"], small).astype(np.int64) for x in rows])
             stretch = np.zeros((1 << FILTER_BITS) // ranges, np.uint8)
-            stretch[at - r * len(stretch)] = 1
+            stretch[fp[n >= min_count] >> np.uint32(LEVEL_BITS + bits - FILTER_BITS)] = 1
             yield pa.RecordBatch.from_pydict({"range": pa.array([r], pa.int32()),
                                               "bits": pa.array([np.packbits(stretch, bitorder="little").tobytes()])})
 
@@ -349,7 +367,7 @@ def _occurrences(docs: DataFrame, hashes: _Hashes, bitmaps, ranges: int, min_cou
                         continue
                     order = np.argsort(fp)
                     i, fp = i[order], fp[order]
-                    check = hashes.second.ngrams(second, n, check_seeds)[i]
+                    check = (hashes.second.ngrams(second, n, check_seeds)[i] >> np.uint64(32)).astype(np.uint32)
                     first = np.flatnonzero(np.concatenate([[True], fp[1:] != fp[:-1]]))
                     one = i[first]
                     entries = np.empty(len(first), _ENTRY)
@@ -359,16 +377,16 @@ def _occurrences(docs: DataFrame, hashes: _Hashes, bitmaps, ranges: int, min_cou
                     entries["at"] = w.starts[one] + w.shift[w.doc[one]]
                     entries["size"] = w.ends[one + n - 1] - w.starts[one]
                     held.append(entries)
-                if sum(map(len, held)) > ENTRIES // 2:
+                if sum(map(len, held)) > ENTRIES:
                     held = [_added(held)]
-                    if len(held[0]) > ENTRIES // 4:
+                    if len(held[0]) > ENTRIES // 2:
                         for r, s in _dealt(held[0]["fp"], ranges):
-                            yield rows_of([r], [held[0][s].tobytes()], [None], [0])
+                            yield rows_of([r], [_planes(held[0][s])], [None], [0])
                         held = []
         if held:
             entries = _added(held)
             for r, s in _dealt(entries["fp"], ranges):
-                yield rows_of([r], [entries[s].tobytes()], [None], [0])
+                yield rows_of([r], [_planes(entries[s])], [None], [0])
         if totals:
             at = [known[x] % ranges for x in totals]
             yield rows_of(at, [None] * len(at), list(totals), list(totals.values()))
@@ -388,13 +406,14 @@ def _occurrences(docs: DataFrame, hashes: _Hashes, bitmaps, ranges: int, min_cou
             if totals:
                 nothing = [None] * len(totals)
                 yield table([[0] * len(totals), *6 * [nothing], list(totals), list(totals.values())])
-            blobs = [np.frombuffer(x["entries"], _ENTRY) for x in rows if x["entries"] is not None]
+            blobs = [_of_planes(x["entries"], _ENTRY) for x in rows if x["entries"] is not None]
             if blobs:
                 e = _added(blobs)
                 e = e[e["count"] >= min_count]
                 nothing = [None] * len(e)
-                yield table([e["n"].astype(np.int32), e["fp"].view(np.int64), e["count"], e["key"], e["at"], e["size"],
-                             e["low"] == e["high"], nothing, nothing])
+                fp = np.ascontiguousarray(e["fp"]).view(np.int64)
+                yield table([e["n"].astype(np.int32), fp, e["count"], e["key"], e["at"].astype(np.int64),
+                             e["size"].astype(np.int64), e["low"] == e["high"], nothing, nothing])
 
     blobs = docs.select("lang", "text", "key").mapInArrow(count, "range int, entries binary, lang string, words long")
     return _by_range(blobs).mapInArrow(frequent, _FOUND)
@@ -494,6 +513,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, lang_col: str
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = 1 << min((max(8 * partitions, size // RANGE_BYTES) - 1).bit_length(), FILTER_BITS - 3)
+    docs = docs.coalesce(-(-docs.rdd.getNumPartitions() // SPLITS))
     hashes, bitmaps = _hashes(bits), []
     for level in range(1, LONGEST):
         bitmap = _level(docs, hashes, level, bitmaps[-1] if bitmaps else None, ranges, min_count)
@@ -549,7 +569,7 @@ def top_collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP
                    | (F.lit(100).cast("decimal(3,0)") * F.col("cover").cast("decimal(19,0)")
                       < F.lit(covered).cast("decimal(10,0)") * F.col("a").cast("decimal(19,0)"))))
     order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    best = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return best.join(words, "lang").select(
-        "lang", "rank", "phrase", "a", "cut.l", "cut.r", F.col("words").alias("n"),
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "cut.l", "cut.r", F.col("words").alias("n"),
         F.col("cut.score").cast("long").alias("score"))
