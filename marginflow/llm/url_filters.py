@@ -3,8 +3,9 @@
 Given (host, path) rules decide the urls they fit. Those urls are labelled by
 that, and FP-growth mines the token combinations that go with a label; rules
 pruned by support and confidence, and by shorter rules that say the same,
-decide the other urls. A mined rule is filed under its rarest token, so a url
-is only compared with the rules that its own tokens lead to.
+decide the other urls. Tokens that are always together are mined as one. A mined
+rule is filed under its rarest token, so a url is only compared with the rules
+that its own tokens lead to.
 """
 
 from __future__ import annotations
@@ -86,33 +87,74 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
         "struct<size:int,name:string,verdict:string>")
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
-               min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(antecedent, verdict, confidence, support, rarest) from rows (tokens, verdict).
+def token_classes(labelled: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """(token, class): the frequent tokens of rows (id, tokens), those that occur in the
+    same rows under one name, the least of them.
+
+    Tokens of a class are in the same combinations with the same counts, so one
+    stands for all while rules are mined: a site's dozen query names, always together,
+    would otherwise make a rule of each of their subsets."""
+    held = labelled.select("id", F.explode("tokens").alias("token"))
+    sets = held.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(id))").alias("x"),
+                                     F.expr("bit_xor(xxhash64(id, 1))").alias("y"))
+    sets = written(sets.where(F.col("n") >= F.lit(min_support) * labelled.count()), "url-tokens")
+    names = sets.groupBy("n", "x", "y").agg(F.min("token").alias("class"))
+    return sets.join(names, ["n", "x", "y"]).select("token", "class")
+
+
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+               classes: DataFrame | None = None) -> DataFrame:
+    """(antecedent, verdict, confidence, support, rarest) from rows (tokens, verdict); with
+    ``classes`` from rows (id, tokens, verdict), and the antecedents are classes.
 
     A rule is dropped if a part of its tokens alone gives the same verdict with
-    at least its confidence."""
-    baskets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(_LABEL), "verdict"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    is_label = F.startswith(F.col("consequent")[0], F.lit(_LABEL))
-    rules = written(model.associationRules.where(is_label).select(
-        F.array_sort("antecedent").alias("antecedent"),
-        F.substring(F.col("consequent")[0], len(_LABEL) + 1, 100).alias("verdict"), "confidence", "support"), "url-rules")
-    often = (model.freqItemsets.where((F.size("items") == 1) & ~F.startswith(F.col("items")[0], F.lit(_LABEL)))
-             .select(F.col("items")[0].alias("token"), "freq"))
-    by_token = rules.select("antecedent", "verdict", F.explode("antecedent").alias("token"))
-    # shorter rules with the same verdict, found through their own rarest token
-    filed = (by_token.join(often, "token").groupBy("antecedent", "verdict")
-             .agg(F.min(F.struct("freq", "token"))["token"].alias("rarest")))
-    rules = written(rules.join(filed, ["antecedent", "verdict"]), "url-rules-filed")
-    shorter = rules.select(F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("part_confidence"),
-                           F.col("rarest").alias("token"))
-    implied = (by_token.join(rules.select("antecedent", "verdict", "confidence"), ["antecedent", "verdict"])
-               .join(shorter, ["token", "verdict"])
-               .where((F.size("part") < F.size("antecedent")) & (F.size(F.array_except("part", "antecedent")) == 0)
-                      & (F.col("part_confidence") >= F.col("confidence")))
-               .select("antecedent", "verdict").distinct())
-    return rules.join(implied, ["antecedent", "verdict"], "left_anti")
+    at least its confidence. Parts are compared level by level: a combination inherits the best
+    confidence from those of one token fewer, which are all frequent too."""
+    items = F.col("tokens")
+    if classes is not None:
+        held = labelled.select("id", F.explode("tokens").alias("token")).join(classes, "token")
+        sets = held.groupBy("id").agg(F.collect_set("class").alias("classes"))
+        labelled = labelled.join(sets, "id", "left")
+        items = F.coalesce("classes", F.array().cast("array<string>"))
+    baskets = labelled.select(F.concat(items, F.array(F.concat(F.lit(_LABEL), "verdict"))).alias("items"))
+    found = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets).freqItemsets
+    label = F.filter("items", lambda x: F.startswith(x, F.lit(_LABEL)))
+    antecedent = F.array_sort(F.filter("items", lambda x: ~F.startswith(x, F.lit(_LABEL))))
+    found = written(found.select(antecedent.alias("antecedent"), F.get(label, F.lit(0)).alias("label"), "freq")
+                    .where(F.size("antecedent") > 0), "url-itemsets")
+    bare = found.where(F.col("label").isNull()).select("antecedent", F.col("freq").alias("n"))
+    total = baskets.count()
+    sets = written(found.where(F.col("label").isNotNull()).join(bare, "antecedent").select(
+        "antecedent", F.substring("label", len(_LABEL) + 1, 100).alias("verdict"),
+        (F.col("freq") / F.col("n")).alias("confidence"), (F.col("freq") / F.lit(total)).alias("support")), "url-rules")
+
+    longest = sets.agg(F.max(F.size("antecedent"))).first()[0] or 0
+    own = F.when(F.col("confidence") >= min_confidence, F.col("confidence"))
+    none = F.lit(None).cast("double")
+    kept, below = [], None
+    for size in range(1, longest + 1):
+        level = sets.where(F.size("antecedent") == size)
+        if below is None:
+            level = level.withColumn("part", none)
+        else:
+            parts = level.select("antecedent", "verdict", F.explode("antecedent").alias("token"))
+            parts = parts.withColumn("shorter", F.array_remove("antecedent", F.col("token")))
+            best = below.select(F.col("antecedent").alias("shorter"), "verdict", "best")
+            best = parts.join(best, ["shorter", "verdict"]).groupBy("antecedent", "verdict").agg(F.max("best").alias("part"))
+            level = level.join(best, ["antecedent", "verdict"], "left")
+        level = written(level.withColumn("best", F.greatest(own, "part")), "url-rules-level")
+        kept.append(level.where(own.isNotNull() & (F.col("part").isNull() | (F.col("part") < F.col("confidence")))))
+        below = level
+    if not kept:
+        return sets.withColumn("rarest", F.lit(None).cast("string"))
+    rules = kept[0]
+    for level in kept[1:]:
+        rules = rules.unionByName(level)
+    rules = rules.drop("part", "best")
+    often = bare.where(F.size("antecedent") == 1).select(F.col("antecedent")[0].alias("token"), "n")
+    filed = (rules.select("antecedent", "verdict", F.explode("antecedent").alias("token")).join(often, "token")
+             .groupBy("antecedent", "verdict").agg(F.min(F.struct("n", "token"))["token"].alias("rarest")))
+    return rules.join(filed, ["antecedent", "verdict"])
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], min_support: float = MIN_SUPPORT,
@@ -130,16 +172,22 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], min_support: float = MIN
         "__url", fitting_rule(host_of(F.col("__url")), path_of(F.col("__url")), rules)["verdict"].alias("verdict"),
         tokens_of(F.col("__url")).alias("tokens"))
     urls = written(urls, "urls")
-    labelled = urls.where(F.col("verdict").isNotNull())
+    labelled = urls.where(F.col("verdict").isNotNull()).withColumnRenamed("__url", "id")
     open_ = urls.where(F.col("verdict").isNull())
     if labelled.isEmpty():
         verdicts = open_.select("__url", F.lit(default).alias("__mined"))
     else:
-        index = mine_rules(labelled, min_support, min_confidence).select(
-            F.col("rarest").alias("token"), "antecedent", F.col("verdict").alias("says"), "confidence", "support")
-        verdicts = (open_.select("__url", "tokens", F.explode("tokens").alias("token")).join(index, "token")
-                    .where(F.size(F.array_except("antecedent", "tokens")) == 0)
-                    .groupBy("__url").agg(F.max(F.struct("confidence", F.size("antecedent"), "support", "antecedent",
+        classes = written(token_classes(labelled, min_support), "url-token-classes")
+        index = written(mine_rules(labelled, min_support, min_confidence, classes).select(
+            F.col("rarest").alias("class"), "antecedent", F.col("verdict").alias("says"), "confidence", "support"), "url-index")
+        # a url's classes, each with the last of its tokens there
+        held = (open_.select("__url", F.explode("tokens").alias("token")).join(classes, "token")
+                .groupBy("__url", "class").agg(F.max("token").alias("token")))
+        owned = held.groupBy("__url").agg(F.map_from_entries(F.collect_list(F.struct("class", "token"))).alias("owned"))
+        tokens = F.array_sort(F.transform("antecedent", lambda c: F.element_at("owned", c)))
+        verdicts = (owned.select("__url", "owned", F.explode(F.map_keys("owned")).alias("class")).join(index, "class")
+                    .where(F.forall("antecedent", lambda c: F.map_contains_key("owned", c)))
+                    .groupBy("__url").agg(F.max(F.struct("confidence", F.size("antecedent"), "support", tokens,
                                                          "says"))["says"].alias("__mined")))
     host, path = host_of(url), path_of(url)
     fit = fitting_rule(host, path, rules)

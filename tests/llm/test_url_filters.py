@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -93,3 +94,40 @@ def test_rules_are_pruned(spark):
 def test_unknown_verdict_is_an_error():
     with pytest.raises(ValueError):
         url_filters.parse_rule("maybe example.org/")
+
+
+def shared_names(k, drop=0):
+    """Urls of two sites; one site's urls share k query names (all but ``drop`` of them)."""
+    out = []
+    for i in range(300):
+        names = "&".join(f"utm{j}=1" for j in range(k) if not (drop and (i * 7 + j) % k < drop))
+        out.append(f"http://{'example.org/es' if i % 3 else 'x.org'}/p{i % 7}?{names}&n{i % 5}=2")
+    return out + [f"http://other.net/p{i % 7}?utm{i % k}=1" for i in range(20)] + [f"http://other.net/q{i}?n{i}=1" for i in range(9)]
+
+
+def judged(spark, urls, **kwargs):
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string").repartition(4)
+    return {r["url"]: r["verdict"] for r in url_filters.judge_urls(frame, RULES, **kwargs).collect()}
+
+
+@pytest.mark.parametrize("k,drop", [(3, 0), (4, 1), (5, 2)])
+def test_tokens_that_go_together_against_brute_force(spark, k, drop):
+    urls = shared_names(k, drop)
+    for confidence in (0.6, 0.9):
+        want = mined(set(urls), 0.05, confidence)
+        got = judged(spark, urls, min_support=0.05, min_confidence=confidence)
+        assert {u: got[u] for u in want} == want
+
+
+@pytest.mark.parametrize("k,drop", [(16, 0), (11, 1)])
+def test_many_shared_names(spark, k, drop):
+    urls = shared_names(k, drop)
+    began = time.time()
+    got = judged(spark, urls)
+    assert time.time() - began < 60 and got.keys() == set(urls)
+
+
+def test_clashing_columns(spark):
+    frame = spark.createDataFrame([("http://x.org/a", 1, "a", "b")], "url string, id int, class string, tokens string")
+    row = url_filters.judge_urls(frame, RULES).first()
+    assert (row["id"], row["class"], row["tokens"], row["verdict"]) == (1, "a", "b", "allow")
