@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marginflow.session import written
 
-__all__ = ["SPACE", "written", "id_crc", "let", "words"]
+__all__ = ["SPACE", "written", "id_crc", "join_hot", "let", "words"]
+
+#: A key is hot if it has more than one in so many of all rows.
+HOT_SHARE = 1000
 
 #: Java regular expression of the white space that separates words.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -26,3 +29,14 @@ def let(value: Column, body) -> Column:
 def words(text: Column) -> Column:
     """The white-space separated words of a text (null: none), JVM-side."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+
+
+def join_hot(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """``rows JOIN lookup USING key`` for written ``rows`` and a ``lookup`` of one row a key
+    (not null). The rows of hot keys, at most ``HOT_SHARE`` keys, are joined by a broadcast of these
+    keys' rows, so that no task of the other rows' join gets more than a small share of them."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    hot = written(counts.where(F.col("__n") * HOT_SHARE > rows.count()).select(key), "hot-keys")
+    hot_rows = written(lookup.join(F.broadcast(hot), key, "left_semi"), "hot-lookup")
+    cold = rows.join(F.broadcast(hot), key, "left_anti")
+    return rows.join(F.broadcast(hot_rows), key).unionByName(cold.join(lookup, key))

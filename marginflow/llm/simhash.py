@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginflow.llm.common import written
+from marginflow.llm.common import join_hot, written
 
 BLOCKS = (11, 11, 11, 11, 10, 10)
 SEED = 42
@@ -277,18 +277,20 @@ def near_links(distinct: DataFrame, bits: int = 4, chunk: int = CHUNK) -> DataFr
 
 
 def connected(edges: DataFrame) -> DataFrame:
-    """(node, root): every node of the edges, with one node that stands for its component.
+    """(node, root): every node of the edges, with the smallest node of its component.
 
-    Each round moves a node to its smallest neighbour and relabels the edges; the
-    graph shrinks from round to round, and the moves are composed from the last
-    round back. Each round is a written table."""
+    Each round moves a node to the neighbour (or itself) of least hash, by a hash of that round's own, and
+    relabels the edges; so the graph shrinks by a share of its nodes a round, chains in any order
+    included, and the moves are composed from the last round back. Each round is a written table."""
     edges = written(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                     .where("a <> b").distinct(), "edges")
     moves = []
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        move = written(both.groupBy("a").agg(F.min("b").alias("m"))
-                       .select(F.col("a").alias("node"), F.least("a", "m").alias("to")), "moves")
+        turn = F.lit(len(moves))
+        move = written(both.groupBy("a").agg(F.min_by("b", F.xxhash64("b", turn)).alias("m"))
+                       .select(F.col("a").alias("node"), F.when(F.xxhash64("m", turn) < F.xxhash64("a", turn), F.col("m"))
+                               .otherwise(F.col("a")).alias("to")), "moves")
         moves.append(move)
         a = move.select(F.col("node").alias("a"), F.col("to").alias("ta"))
         b = move.select(F.col("node").alias("b"), F.col("to").alias("tb"))
@@ -300,7 +302,9 @@ def connected(edges: DataFrame) -> DataFrame:
     for move in reversed(moves[:-1]):
         later = roots.select(F.col("node").alias("to"), F.col("root").alias("later"))
         roots = move.join(later, "to", "left").select("node", F.coalesce("later", "to").alias("root"))
-    return roots
+    roots = written(roots, "roots")
+    least = roots.groupBy("root").agg(F.min("node").alias("least"))
+    return join_hot(roots, least, "root").select("node", F.col("least").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, id_col: str = "doc_id",
@@ -318,9 +322,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, id_col: st
     least = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
     roots = written(connected(near_links(least.select("fp"), bits)), "roots")
     rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = written(rooted, "rooted-fingerprints")
     smallest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    # a hot fingerprint or component is a skewed key of the many side only; AQE splits it
-    return fps.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp")
+    component = written(join_hot(rooted, smallest, "root").select("fp", "component_id"), "components")
+    return join_hot(fps, component, "fp")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, id_col: str = "doc_id",

@@ -83,6 +83,24 @@ def test_components_of_a_long_path(spark):
     assert simhash.connected(edges.where("false")).count() == 0
 
 
+def test_rounds_grow_with_the_logarithm_of_a_path(spark, monkeypatch):
+    names, write = [], simhash.written
+    monkeypatch.setattr(simhash, "written", lambda df, name: (names.append(name), write(df.coalesce(1), name))[1])
+    edges = spark.range(1999).selectExpr("id AS a", "id + 1 AS b")
+    root = {r["node"]: r["root"] for r in simhash.connected(edges).collect()}
+    assert root == {i: 0 for i in range(2000)}
+    assert names.count("moves") < 25
+
+
+def test_hot_keys_are_joined_apart(spark):
+    from marginflow.llm.common import join_hot
+    rows = simhash.written(spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id) AS k", "id AS v"), "rows")
+    lookup = simhash.written(spark.range(3000).selectExpr("id AS k", "id * 2 AS w").where("k <> 8"), "lookup")
+    got = sorted((r["k"], r["v"], r["w"]) for r in join_hot(rows, lookup, "k").collect())
+    want = [(7 if v % 3 == 0 else v, v) for v in range(3000)]
+    assert got == sorted((k, v, 2 * k) for k, v in want if k != 8)
+
+
 def test_edge_rows(edge_docs, no_docs):
     rows = simhash.near_duplicates(edge_docs).collect()
     assert len(rows) == edge_docs.count()
