@@ -4,8 +4,8 @@
   95th percentile (a literal from the distributed percentile; no join);
 * scaling: (x - mean) / population std, std 0 -> 1, from one aggregate row
   whose moments come back as literals;
-* KMeans: ``pyspark.ml`` fitted ``n_init`` times with consecutive seeds on a
-  reliably checkpointed frame; the lowest training cost (inertia) wins;
+* KMeans: ``n_init`` restarts fitted together (``operators/kmeans.py``); the lowest
+  inertia wins;
 * nearest centroid: the k centroids come back as literals and each row takes
   ``array_min`` of k unrolled (distance, cluster) structs: O(n k), no join,
   ties go to the lower cluster id;
@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from marginflow.constants import (FEATURES, HIGH, LOW, MID, N_INIT, PROFILE_COLUMNS, SEED, TOP_N,
                                   TURNOVER_CAP_QUANTILE, VENDOR_K)
 from marginflow.functions.columns import clip_lower, clip_upper
-from marginflow.functions.quantiles import exact_percentile_value
+from marginflow.functions.quantiles import exact_percentile_value, percentile_values
+from marginflow.operators.kmeans import kmeans
 
 
 def cluster_features(vendor: DataFrame, cap_quantile: float = TURNOVER_CAP_QUANTILE) -> DataFrame:
@@ -76,8 +77,8 @@ def band_centroids(bands: DataFrame, cols: Sequence[str] = FEATURES) -> DataFram
 
 
 def seeded_bands(scaled: DataFrame, by: str = "LogSales", k: int = VENDOR_K) -> DataFrame:
-    cuts = [exact_percentile_value(scaled, by, i / k) for i in range(1, k)]
-    band = sum((F.when(F.col(by) >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+    cuts = percentile_values(scaled, by, [i / k for i in range(1, k)])
+    band = sum((F.when(F.col(by) >= F.lit(c).cast("double"), 1).otherwise(0) for c in cuts), F.lit(0))
     return scaled.withColumn("Band", band.cast("int"))
 
 
@@ -137,39 +138,8 @@ def tier_mismatches(pipeline: DataFrame, reference: DataFrame, n: int = TOP_N) -
 
 # --- KMeans --------------------------------------------------------------------------------
 
-def vectorize(df: DataFrame, cols: Sequence[str] = FEATURES, out: str = "features") -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-    return df.withColumn(out, array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])))
-
-
-def kmeans_best_of(df: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED,
-                   features: str = "features", max_iter: int = 300, tol: float = 1e-4,
-                   parallel: int | None = None):
-    """Fit ``n_init`` KMeans models (seeds seed..seed+n_init-1); return the lowest-cost one.
-
-    The input should be a written table or a checkpoint, as every restart reads it
-    again; its partitioning is left as it is. Restarts are independent jobs,
-    submitted from ``parallel`` driver threads so small fits overlap.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark.ml.clustering import KMeans
-    data = df.select(features).cache()
-
-    def fit(s):
-        return KMeans(k=k, seed=s, featuresCol=features, maxIter=max_iter, tol=tol).fit(data)
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, min(parallel or n_init, n_init))) as pool:
-            models = list(pool.map(fit, range(seed, seed + n_init)))
-    finally:
-        data.unpersist()
-    # ties keep the earliest seed, like a sequential loop
-    return min(models, key=lambda m: m.summary.trainingCost)
-
-
-def centroids_frame(spark, model, cols: Sequence[str] = FEATURES) -> DataFrame:
-    rows = [(i, *[float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
+def centroids_frame(spark, centres: np.ndarray, cols: Sequence[str] = FEATURES) -> DataFrame:
+    rows = [(i, *[float(v) for v in c]) for i, c in enumerate(centres)]
     return spark.createDataFrame(rows, ["Cluster", *cols])
 
 
@@ -181,9 +151,9 @@ def kmeans_tiers(vendor: DataFrame, k: int = VENDOR_K, n_init: int = N_INIT, see
     output is stable across restarts that find the same partition.
     """
     feats = features if features is not None else cluster_features(vendor)
-    scaled = vectorize(scaled if scaled is not None else standardize(feats)).checkpoint(eager=True)
-    model = kmeans_best_of(scaled, k, n_init, seed)
-    cents = centroids_frame(vendor.sparkSession, model)
+    scaled = scaled if scaled is not None else standardize(feats)
+    found = kmeans(scaled, F.array(*FEATURES), k, n_init, seed, key="VendorName")
+    cents = centroids_frame(vendor.sparkSession, found.centres if found else np.zeros((0, len(FEATURES))))
     assigned = assign_nearest(scaled, cents)
     labels = rank_labels(assigned, vendor).select("Cluster", "TierRank", "PerformanceTier")
     out = assigned.join(F.broadcast(labels), "Cluster")      # k rows

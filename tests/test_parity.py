@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marginflow.operators import segment, stats
+from marginflow.operators.kmeans import kmeans
 
 CSV = os.environ.get("PARITY_VENDOR_CSV", "")
 pytestmark = pytest.mark.skipif(not (CSV and os.path.exists(CSV)), reason="PARITY_VENDOR_CSV not set")
@@ -56,6 +57,6 @@ def test_kmeans_tiers_reproduce_published_tiers(vendor):
     agree = (tiers.join(vendor.select("VendorName", F.col("PerformanceTier").alias("published")), "VendorName")
                   .where(F.col("PerformanceTier") == F.col("published")).count())
     assert agree >= 115
-    model = segment.kmeans_best_of(segment.vectorize(segment.standardize(segment.cluster_features(base))),
-                                   3, 10, 42)
-    assert model.summary.trainingCost <= 1.01 * 149.256
+    scaled = segment.standardize(segment.cluster_features(base))
+    found = kmeans(scaled, F.array(*segment.FEATURES), 3, 10, 42, key="VendorName")
+    assert found.inertia <= 1.01 * 149.256

@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from marginflow.operators import segment
+from marginflow.operators.kmeans import kmeans
+from marginflow.operators.silhouette_tree import silhouette_tree
 
 COLS = ["f0", "f1"]
 
@@ -75,7 +77,22 @@ def test_tier_agreement(spark):
 def test_more_restarts_never_raise_inertia(spark):
     rng = np.random.default_rng(2)
     x = np.vstack([rng.normal(c, 1.0, size=(40, 2)) for c in (0, 4, 8)])
-    df = segment.vectorize(spark.createDataFrame([tuple(map(float, r)) for r in x], "f0 double, f1 double"), COLS)
-    one = segment.kmeans_best_of(df, 3, n_init=1, seed=42).summary.trainingCost
-    ten = segment.kmeans_best_of(df, 3, n_init=5, seed=42).summary.trainingCost
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "f0 double, f1 double")
+    one = kmeans(df, F.array(*COLS), 3, n_init=1, seed=42).inertia
+    ten = kmeans(df, F.array(*COLS), 3, n_init=5, seed=42).inertia
     assert ten <= one + 1e-9
+
+
+@pytest.mark.parametrize("relative,leaf", [(0.0, 16), (0.02, 8), (0.1, 64)])
+def test_silhouette_tree_is_within_its_error(spark, relative, leaf):
+    rng = np.random.default_rng(12)
+    x = np.vstack([rng.normal(c, 0.8, size=(n, 2)) for c, n in [(0, 150), (4, 120), (9, 60), (30, 1)]])
+    labels = np.array([0] * 150 + [1] * 120 + [2] * 60 + [3])
+    rows = [(int(l), float(a), float(b)) for l, (a, b) in zip(labels, x)]
+    df = spark.createDataFrame(rows + [(None, 0.0, 0.0), (1, None, 0.0), (1, float("nan"), 0.0)],
+                               "Cluster int, f0 double, f1 double").repartition(3)
+    got = silhouette_tree(df, COLS, relative=relative, leaf=leaf, fan=3).first()
+    assert got.n == 331 and got.error <= 2.5 * relative + 1e-9
+    assert abs(got.silhouette - brute_silhouette(x, labels)) <= got.error + 1e-9
+    one = silhouette_tree(df.where("Cluster = 1"), COLS).first()
+    assert one.silhouette is None and one.error is None
