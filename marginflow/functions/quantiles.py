@@ -15,12 +15,14 @@ Every pass is a partial and a final ``groupBy(group, rank, digit)``; a running
 count sees at most 2^16 or so rows for each group and rank, whatever the number
 of rows, map tasks or groups. The wanted digits are written as a table after each pass: a few
 rows are then broadcast to the next pass, many (a lot of groups) are joined by
-key. Groups stay a DataFrame throughout; a NULL group is a group.
+key. Groups stay a DataFrame throughout; a NULL group is a group. Calls without
+groups need neither tables nor joins: see ``percentiles_of``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,9 +71,12 @@ def exact_percentiles(df: DataFrame, value: str | Column, ps: Sequence[float],
 
     NULL and NaN values are ignored; a group without other values has no rows."""
     by, ps = list(by), [float(p) for p in ps]
-    keys = [f"_g{i}" for i in range(len(by))] or ["_g0"]
+    if not by:
+        found = [(p, v) for p, v in zip(ps, percentile_values(df, value, ps)) if v is not None]
+        return df.sparkSession.createDataFrame(found, "p double, value double")
+    keys = [f"_g{i}" for i in range(len(by))]
     x = (F.col(value) if isinstance(value, str) else value).cast("double")
-    groups = [F.col(b).alias(k) for b, k in zip(by, keys)] or [F.lit(0).alias("_g0")]
+    groups = [F.col(b).alias(k) for b, k in zip(by, keys)]
     d = df.select(*groups, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     names = [f"_d{i}" for i in range(DIGITS)]
     d = d.select(*keys, "_x", *[c.alias(n) for c, n in zip(_digits(F.col("_x")), names)])
@@ -107,10 +112,91 @@ def exact_percentiles(df: DataFrame, value: str | Column, ps: Sequence[float],
     return out.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], "p", between.alias("value"))
 
 
+def percentiles_of(df: DataFrame, wanted: Mapping[str, tuple[str | Column, Sequence[float]]]) -> dict[str, list[float | None]]:
+    """Global percentiles of several columns at once: ``{name: (value, ps)}`` to
+    ``{name: [percentile, ...]}`` (None where a column has no values).
+
+    A call without groups looks for two ranks at most for each p, so the digits that hold
+    them come back to the driver and are predicates of the next pass: a pass is one
+    scan of all columns and one aggregate, with no table and no join. What comes back is at most
+    2^16 or so counts for each rank, however many rows there are; the last pass, by
+    value, gives back the ranks' own rows only."""
+    names = list(wanted)
+    values = [(F.col(v) if isinstance(v, str) else v).cast("double") for v, _ in wanted.values()]
+    d = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), v.alias("_x")) for i, v in enumerate(values)])).alias("_s"))
+    d = d.select("_s.*").where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    digits = [f"_d{i}" for i in range(DIGITS)]
+    d = d.select("_m", "_x", *[c.alias(n) for c, n in zip(_digits(F.col("_x")), digits)])
+
+    # ranks still looked for: (column, digits known) -> {rank: what is left of it among the values with these digits}
+    total: dict[int, int] = {}
+    open_ranks: dict[tuple, dict[int, int]] = {}
+    for depth in range(DIGITS):
+        rows = d
+        if depth:
+            rows = d.where(_any_prefix(open_ranks, digits))
+        counted: dict[tuple, list] = {}
+        for r in rows.groupBy("_m", *digits[:depth + 1]).agg(F.count(F.lit(1)).alias("_c")).collect():
+            counted.setdefault(tuple(r[:-2]), []).append((r[-2], r[-1]))
+        if not depth:
+            for (m,), cells in counted.items():
+                n = total[m] = sum(c for _, c in cells)
+                last = n - 1
+                open_ranks[m,] = {k: k for p in wanted[names[m]][1] for k in (math.floor(p * last), math.ceil(p * last))}
+        found: dict[tuple, dict[int, int]] = {}
+        for prefix, ranks in open_ranks.items():
+            start = 0
+            for digit, c in sorted(counted[prefix]):
+                for k, left in ranks.items():
+                    if start <= left < start + c:
+                        found.setdefault((*prefix, digit), {})[k] = left - start
+                start += c
+        open_ranks = found
+
+    at: dict[tuple[int, int], float] = {}
+    if open_ranks:
+        counted = d.where(_any_prefix(open_ranks, digits)).groupBy("_m", *digits, "_x").agg(F.count(F.lit(1)).alias("_c"))
+        ranked = _ranked(counted, ["_m", *digits], "_x")
+        hit = F.lit(False)
+        for prefix, ranks in open_ranks.items():
+            for left in set(ranks.values()):
+                hit = hit | (_is_prefix(prefix, digits) & (F.lit(left) >= F.col("_start")) & (F.lit(left) < F.col("_end")))
+        for r in ranked.where(hit).collect():
+            for k, left in open_ranks[tuple(r[c] for c in ("_m", *digits))].items():
+                if r["_start"] <= left < r["_end"]:
+                    at[r["_m"], k] = r["_x"]
+
+    out: dict[str, list[float | None]] = {}
+    for m, name in enumerate(names):
+        out[name] = [_between(at, m, p * (total[m] - 1)) if m in total else None for p in map(float, wanted[name][1])]
+    return out
+
+
+def _is_prefix(prefix: tuple, digits: list[str]) -> Column:
+    same = F.col("_m") == F.lit(prefix[0])
+    for name, digit in zip(digits, prefix[1:]):
+        same = same & (F.col(name) == F.lit(digit))
+    return same
+
+
+def _any_prefix(prefixes: Iterable[tuple], digits: list[str]) -> Column:
+    hit = F.lit(False)
+    for prefix in prefixes:
+        hit = hit | _is_prefix(prefix, digits)
+    return hit
+
+
+def _between(at: dict[tuple[int, int], float], m: int, place: float) -> float:
+    low, high = at[m, math.floor(place)], at[m, math.ceil(place)]
+    part, gap = place - math.floor(place), high - low
+    if low == high:
+        return low
+    return high - gap * (1 - part) if part >= 0.5 else low + gap * part
+
+
 def percentile_values(df: DataFrame, value: str | Column, ps: Sequence[float]) -> list[float | None]:
     """Global percentiles, one for each p (None for an empty input)."""
-    got = {r["p"]: r["value"] for r in exact_percentiles(df, value, ps).collect()}   # a row for each p
-    return [got.get(float(p)) for p in ps]
+    return percentiles_of(df, {"value": (value, ps)})["value"]
 
 
 def exact_percentile_value(df: DataFrame, value: str | Column, p: float) -> Column:

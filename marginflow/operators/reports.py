@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginflow.constants import CROP_QUANTILE, KPI_SUMMARY_COLUMNS, TOP_N, VALUE_COUNTS_N
-from marginflow.functions.quantiles import exact_percentiles, exact_percentile_value
+from marginflow.functions.quantiles import exact_percentile_value, percentile_values, percentiles_of
 
 
 
@@ -75,26 +75,18 @@ def value_counts(df: DataFrame, column: str, n: int = VALUE_COUNTS_N) -> DataFra
               .orderBy(F.desc("count"), F.asc(column)).limit(n))
 
 
-def unpivot_metrics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
-        [], list(columns), "metric", "value")
-
-
 def column_summary(df: DataFrame, columns: Sequence[str] = KPI_SUMMARY_COLUMNS) -> DataFrame:
     """mean / median / min / max per column, one row per metric.
 
     The three plain figures come from one wide aggregate, whose single row is
     turned into a row per metric; the medians from one selection over all columns."""
     x = {c: F.col(c).cast("double") for c in columns}
+    medians = percentiles_of(df, {c: (v, [0.5]) for c, v in x.items()})
     wide = df.agg(*[f(v).alias(f"{n}_{i}") for i, v in enumerate(x.values())
                     for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))])
-    basic = wide.select(F.explode(F.array(*[F.struct(
-        F.lit(c).alias("metric"), *[F.col(f"{n}_{i}").alias(n) for n in ("mean", "min", "max")])
-        for i, c in enumerate(columns)])).alias("c")).select("c.*")
-    med = exact_percentiles(unpivot_metrics(df, columns), "value", [0.5], by=["metric"]).select(
-        F.col("metric").alias("_metric"), F.col("value").alias("median"))
-    return (basic.join(med, basic["metric"] == med["_metric"], "left")
-                 .select("metric", "mean", "median", "min", "max"))
+    return wide.select(F.explode(F.array(*[F.struct(
+        F.lit(c).alias("metric"), F.col(f"mean_{i}").alias("mean"), F.lit(medians[c][0]).cast("double").alias("median"),
+        F.col(f"min_{i}").alias("min"), F.col(f"max_{i}").alias("max")) for i, c in enumerate(columns)])).alias("c")).select("c.*")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -106,7 +98,9 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def quantiles(df: DataFrame, column: str, ps: Sequence[float]) -> DataFrame:
-    return exact_percentiles(df, column, ps).select(F.lit(column).alias("metric"), "p", "value")
+    """(metric, p, value) for each p; no rows where the column has no values."""
+    found = [(column, float(p), v) for p, v in zip(ps, percentile_values(df, column, ps)) if v is not None]
+    return df.sparkSession.createDataFrame(found, "metric string, p double, value double")
 
 
 def quantile_crop(df: DataFrame, x: str, y: str, q: float = CROP_QUANTILE,

@@ -3,7 +3,7 @@
 import numpy as np
 from hypothesis import given, settings, strategies as st
 
-from marginflow.functions.quantiles import exact_percentiles
+from marginflow.functions.quantiles import exact_percentiles, percentiles_of
 
 PS = [0.0, 0.05, 0.25, 0.5, 0.95, 0.98, 1.0]
 
@@ -61,3 +61,14 @@ def test_no_exchange_carries_all_values_to_one_task(spark):
     with contextlib.redirect_stdout(buf):
         exact_percentiles(df, "x", [0.5], by=["g"]).explain()
     assert "SinglePartition" not in buf.getvalue()
+
+
+def test_several_columns_at_once(spark):
+    rng = np.random.default_rng(5)
+    a, b = np.round(rng.lognormal(0, 3, 800), 4), rng.integers(-3, 3, 800).astype(float)
+    rows = [(float(x), float(y) if i % 7 else None, None) for i, (x, y) in enumerate(zip(a, b))]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(3)
+    got = percentiles_of(df, {"a": ("a", PS), "b": (df["b"] * 2, [0.5, 0.1]), "none": ("c", [0.5])})
+    kept = np.array([y for i, y in enumerate(b) if i % 7])
+    assert np.allclose(got["a"], np.percentile(a, [p * 100 for p in PS]), rtol=1e-12)
+    assert np.allclose(got["b"], np.percentile(2 * kept, [50, 10])) and got["none"] == [None]
