@@ -5,7 +5,7 @@
 * TF-IDF: term counts inside each row -> vocabulary = top ``max_features`` terms
   by corpus count (a distributed top-k; its size is the ``max_features``
   parameter) -> smooth idf ln((1+n)/(1+df)) + 1 -> L2 normalisation inside the row;
-* KMeans runs on sparse vectors over the bounded vocabulary;
+* KMeans runs on vectors over the bounded vocabulary;
 * a deterministic seeded assignment (centroids = TF-IDF vectors of the top-k
   products by sales) serves as the SQL-checkable clustering; the centroid of a
   cluster is the mean of its members' vectors, and its theme the top 6 terms.
@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 
 from marginflow.constants import MAX_FEATURES, N_INIT, SEED, TEXT_K, TOP_TERMS
 from marginflow.functions.columns import safe_div
+from marginflow.functions.heavy import top_candidates
 from marginflow.functions.text import ngrams_1_2, tokens
+from marginflow.operators.kmeans import kmeans, nearest_centre, renumbered
+from marginflow.session import written
 
 NAME = "Product Name"
 
@@ -61,9 +64,12 @@ def product_terms(prod: DataFrame, stop_words: Sequence[str] | None = None) -> D
 
 
 def _counted(terms: Column) -> Column:
-    """[(term, tf)] of one document's n-grams, inside the row."""
-    return F.transform(F.array_distinct(terms), lambda t: F.struct(
-        t.alias("term"), F.size(F.filter(terms, lambda x: x == t)).alias("tf")))
+    """[(term, tf)] of one document's n-grams, inside the row: the runs of the sorted terms."""
+    ordered = F.array_sort(terms)
+    starts = F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+    ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(ordered)))
+    runs = F.zip_with(starts, ends, lambda a, b: F.struct(F.get(ordered, a).alias("term"), (b - a).alias("tf")))
+    return F.when(F.size(terms) > 0, runs).otherwise(F.array().cast("array<struct<term:string,tf:int>>"))
 
 
 def term_frequencies(prod: DataFrame, stop_words: Sequence[str] | None = None) -> DataFrame:
@@ -76,7 +82,9 @@ def vocabulary(prod: DataFrame, max_features: int = MAX_FEATURES,
                stop_words: Sequence[str] | None = None) -> DataFrame:
     """(term, idf, idx): the top ``max_features`` terms by corpus count (ties by
     term), smooth idf over all documents, and an alphabetical feature index."""
-    tf = term_frequencies(prod, stop_words)
+    # only terms that can be among the top are shuffled and counted
+    terms = product_terms(prod, stop_words)
+    tf = term_frequencies(prod, stop_words).join(top_candidates(terms, "terms", max_features), "term", "left_semi")
     top = (tf.groupBy("term").agg(F.sum("tf").alias("ctf"), F.count(F.lit(1)).alias("df"))
              .orderBy(F.desc("ctf"), "term").limit(max_features))
     n_docs = prod.agg(F.count(F.lit(1))).scalar()
@@ -131,14 +139,20 @@ def kmeans_text_clusters(prod: DataFrame, k: int = TEXT_K, n_init: int = N_INIT,
                          max_features: int = MAX_FEATURES,
                          stop_words: Sequence[str] | None = None,
                          vocab: DataFrame | None = None) -> DataFrame:
-    """KMeans over sparse TF-IDF vectors; pass a precomputed vocabulary to reuse it."""
-    from marginflow.operators.segment import kmeans_best_of
+    """KMeans over TF-IDF vectors; pass a precomputed vocabulary to reuse it.
+
+    Clusters are numbered by the least product name in them."""
     if vocab is None:
         vocab = vocabulary(prod, max_features, stop_words)
-    vec = sparse_vectors(prod, vocab, stop_words).checkpoint(eager=True)
-    model = kmeans_best_of(vec, k, n_init, seed)
-    return model.transform(vec).select(F.col(f"`{NAME}`"),
-                                       F.col("prediction").cast("int").alias("text_cluster"))
+    return _clustered(sparse_vectors(prod, vocab, stop_words), NAME, "features", "text_cluster", k, n_init, seed)
+
+
+def _clustered(vectors: DataFrame, key: str, features: str, out: str, k: int, n_init: int, seed: int) -> DataFrame:
+    vectors = written(vectors, "vectors")
+    found = kmeans(vectors, features, k, n_init, seed, key=F.col(f"`{key}`"))
+    if found is None:
+        return vectors.select(F.col(f"`{key}`"), F.lit(None).cast("int").alias(out))
+    return renumbered(nearest_centre(vectors, found.centres, features, out), out, key)
 
 
 def seeded_text_clusters(prod: DataFrame, weights: DataFrame, k: int = TEXT_K) -> DataFrame:
@@ -200,10 +214,7 @@ def cluster_top_terms(weights: DataFrame, clusters: DataFrame, top: int = TOP_TE
 
 def embedding_clusters(emb: DataFrame, k: int = TEXT_K, n_init: int = N_INIT, seed: int = SEED,
                        id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """KMeans on stored embedding vectors (the dense-vector variant of text clustering)."""
-    from pyspark.ml.functions import array_to_vector
-    from marginflow.operators.segment import kmeans_best_of
-    vec = emb.select(id_col, array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
-    vec = vec.checkpoint(eager=True)
-    model = kmeans_best_of(vec, k, n_init, seed)
-    return model.transform(vec).select(id_col, F.col("prediction").cast("int").alias("cluster"))
+    """KMeans on stored embedding vectors (the dense-vector variant of text clustering);
+    clusters are numbered by the least id in them."""
+    vectors = emb.select(id_col, F.col(vec_col).cast("array<double>").alias("features"))
+    return _clustered(vectors, id_col, "features", "cluster", k, n_init, seed)
