@@ -2,6 +2,7 @@
 
     python -m marginflow build --out DIR (--testdata SF_DIR | --purchases P --purchase-prices P
                                           --vendor-invoice P --sales P) [--tier-reference CSV]
+    python -m marginflow refresh --out DIR --batch NAME (--testdata SF_DIR | --purchases P ...)
     python -m marginflow text --out DIR (--testdata SF_DIR | --products-csv CSV)
     python -m marginflow query NAME --testdata SF_DIR [--show N]
 
@@ -18,7 +19,7 @@ import sys
 from marginflow.session import build_session
 
 
-def _raw_tables(spark, args):
+def _raw_tables(spark, args, partial: bool = False):
     if args.testdata:
         from marginflow.sources import testdata
         return testdata.raw_tables(spark, args.testdata)
@@ -28,21 +29,24 @@ def _raw_tables(spark, args):
              "vendor_invoice": (args.vendor_invoice, schemas.VENDOR_INVOICE),
              "sales": (args.sales, schemas.SALES)}
     missing = [k for k, (p, _) in paths.items() if not p]
-    if missing:
+    if missing and not partial:
         raise SystemExit(f"missing raw table paths: {', '.join(missing)} (or pass --testdata)")
-    return {k: files.read_parquet(spark, p, s) for k, (p, s) in paths.items()}
+    return {k: files.read_parquet(spark, p, s) for k, (p, s) in paths.items() if p}
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
     ap = argparse.ArgumentParser(prog="marginflow")
     sub = ap.add_subparsers(dest="cmd", required=True)
     p = sub.add_parser("build", help="raw tables -> summary -> clean -> stats/ML outputs")
-    p.add_argument("--out", required=True)
-    p.add_argument("--testdata")
-    for name in ("purchases", "purchase-prices", "vendor-invoice", "sales"):
-        p.add_argument(f"--{name}")
+    r = sub.add_parser("refresh", help="new raw rows -> summary, from stored partial sums")
+    for s in (p, r):
+        s.add_argument("--out", required=True)
+        s.add_argument("--testdata")
+        for name in ("purchases", "purchase-prices", "vendor-invoice", "sales"):
+            s.add_argument(f"--{name}")
+        s.add_argument("--buckets", type=int, default=None)
     p.add_argument("--tier-reference")
-    p.add_argument("--buckets", type=int, default=None)
+    r.add_argument("--batch", required=True, help="name of the batch; a name counts once")
     t = sub.add_parser("text", help="transactions -> product text clusters")
     t.add_argument("--out", required=True)
     t.add_argument("--testdata")
@@ -51,7 +55,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     q.add_argument("name")
     q.add_argument("--testdata", required=True)
     q.add_argument("--show", type=int, default=20)
-    for s in (p, t, q):
+    for s in (p, r, t, q):
         s.add_argument("--master", default="local[*]")
     args = ap.parse_args(argv)
 
@@ -65,6 +69,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         if "agreement" in out:
             result["tier_agreement"] = out["agreement"].first().asDict()
         print(json.dumps(result))
+    elif args.cmd == "refresh":
+        table = jobs.refresh_summary_job(spark, args.batch, _raw_tables(spark, args, partial=True), args.out, args.buckets)
+        print(json.dumps({"batch": args.batch, "rows": table.count()}))
     elif args.cmd == "text":
         if args.testdata:
             from marginflow.sources import testdata

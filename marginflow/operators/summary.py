@@ -60,19 +60,27 @@ def _times(m: Column, c: str) -> Column:
     return (F.col(c) * m).alias(c)
 
 
+def purchase_sums(purchases: DataFrame) -> DataFrame:
+    """Quantity and dollars of valid purchases per (vendor, name, brand, description)."""
+    return (valid_purchases(purchases)
+            .groupBy("VendorNumber", "VendorName", "Brand", "Description")
+            .agg(F.sum("Quantity").alias("TotalPurchaseQuantity"),
+                 F.sum("Dollars").alias("TotalPurchaseDollars")))
+
+
 def purchase_summary(purchases: DataFrame, purchase_prices: DataFrame) -> DataFrame:
     """Purchase sums per (vendor, name, brand, description, volume, prices).
 
     Same rows and totals as ``purchases JOIN purchase_prices USING (Brand)``
     grouped by those seven columns, computed by aggregating purchases first.
     """
-    p = (valid_purchases(purchases)
-         .groupBy("VendorNumber", "VendorName", "Brand", "Description")
-         .agg(F.sum("Quantity").alias("TotalPurchaseQuantity"),
-              F.sum("Dollars").alias("TotalPurchaseDollars")))
-    pp = price_multiplicity(purchase_prices)
+    return priced(purchase_sums(purchases), price_multiplicity(purchase_prices))
+
+
+def priced(sums: DataFrame, prices: DataFrame) -> DataFrame:
+    """Purchase sums with each price row of their brand, times its multiplicity."""
     m = F.col("_m")
-    return (p.join(pp, "Brand")
+    return (sums.join(prices, "Brand")
              .select("VendorNumber", "VendorName", "Brand", "Description", "Volume",
                      F.col("Price").alias("ActualPrice"), "PurchasePrice",
                      _times(m, "TotalPurchaseQuantity"), _times(m, "TotalPurchaseDollars")))
@@ -100,9 +108,15 @@ def purchase_summary_standalone(purchases: DataFrame, purchase_prices: DataFrame
 def vendor_sales_summary(purchases: DataFrame, purchase_prices: DataFrame,
                          vendor_invoice: DataFrame, sales: DataFrame) -> DataFrame:
     """One row per purchased (vendor, brand, ...) with sales and freight attached."""
-    ps = purchase_summary(purchases, purchase_prices)
-    ss = sales_summary(sales).withColumnRenamed("Brand", "_sb")
-    fs = freight_summary(vendor_invoice).withColumnRenamed("VendorNumber", "_fv")
+    return combine(purchase_sums(purchases), price_multiplicity(purchase_prices),
+                   freight_summary(vendor_invoice), sales_summary(sales))
+
+
+def combine(sums: DataFrame, prices: DataFrame, freight: DataFrame, sold: DataFrame) -> DataFrame:
+    """The summary from the four aggregates that it is made of."""
+    ps = priced(sums, prices)
+    ss = sold.withColumnRenamed("Brand", "_sb")
+    fs = freight.withColumnRenamed("VendorNumber", "_fv")
     joined = (ps.join(ss, (ps.VendorNumber == ss.VendorNo) & (ps.Brand == ss._sb), "left")
                 .join(fs, F.col("VendorNumber") == F.col("_fv"), "left"))
     return joined.select(*SUMMARY_COLUMNS)

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from marginflow.constants import KPI_COLUMNS
 from marginflow.functions.columns import clip_upper, round_doubles
 from marginflow.functions.quantiles import exact_percentile_value
-from marginflow.operators import (clean, explore, regress, report, reports, segment, stats,
-                                  summary, text)
+from marginflow.operators import (clean, explore, refresh, regress, report, reports, segment, silhouette_tree, sketches,
+                                  stats, summary, text)
 from marginflow.plans.stages import workspace
 from marginflow.session import scratch_path
 from marginflow.sources import files, schemas, sinks, testdata
@@ -53,6 +53,20 @@ def _vss(ws):
     return ws.summary()
 
 
+@query("incremental_summary")
+def _incremental(ws):
+    """The same summary from stored partial sums of three batches of the raw rows, the
+    last of them added after the first two were put together."""
+    state = refresh.SummaryState(ws.spark, scratch_path(ws.spark, ws._tag, f"summary-state-{uuid.uuid4().hex[:8]}"))
+    raw = ws.raw()
+    for batch in range(3):
+        if batch == 2:
+            state.compact()
+        state.apply(f"batch-{batch}", {name: df.where(F.pmod(F.xxhash64(*df.columns), F.lit(3)) == batch)
+                                       for name, df in raw.items()})
+    return state.summary()
+
+
 @query("freight_summary")
 def _freight(ws):
     return summary.freight_summary(ws.raw()["vendor_invoice"])
@@ -168,6 +182,42 @@ def _distinct(ws):
     return reports.distinct_counts(ws.reliable())
 
 
+@query("distinct_sketches")
+def _distinct_sketches(ws):
+    """Stored distinct-count sketches of four parts of the rows: whether their union agrees with that
+    of another split, and with the exact count, within four standard deviations."""
+    rows, names = ws.reliable(), ["VendorName", "Brand"]
+
+    def union(parts):
+        dealt = rows.withColumn("part", F.pmod(F.xxhash64(*rows.columns), F.lit(parts)))
+        stored = ws.materialize(f"distinct_sketches_{parts}", lambda: sketches.distinct_sketches(dealt, names, ["part"]))
+        return sketches.distinct_estimates(sketches.merge_distinct(stored))
+
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in names]).select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("exact")) for c in names])).alias("e")).select("e.*")
+    other = union(7).withColumnRenamed("distinct", "other")
+    most = 4 * sketches.distinct_error() * F.col("exact")
+    return union(4).join(other, "metric").join(exact, "metric").select(
+        "metric", "exact", (F.abs(F.col("distinct") - F.col("other")) <= most).alias("splits_agree"),
+        (F.abs(F.col("distinct") - F.col("exact")) <= most).alias("within_error"))
+
+
+@query("quantile_sketches")
+def _quantile_sketches(ws):
+    """Stored quantile sketches of four parts of the rows, merged: whether the rank of each
+    quantile is within twice the stated error of the wanted one."""
+    rows, names, ps = ws.reliable(), ["StockTurnover", "GrossProfit"], [0.05, 0.5, 0.95, 0.98]
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(4)).alias("part")
+    stored = ws.materialize("quantile_sketches", lambda: sketches.quantile_sketches(rows.withColumn("part", part), names, ["part"]))
+    merged = ws.materialize("merged_quantiles", lambda: sketches.sketch_quantiles(sketches.merge_quantiles(stored), ps))
+    value = F.coalesce(*[F.when(F.col("metric") == c, F.col(c)) for c in names])
+    ranks = rows.select(*names).join(F.broadcast(merged), F.lit(True)).groupBy("metric", "p", "n").agg(   # eight rows
+        F.avg((value < F.col("value")).cast("double")).alias("below"), F.avg((value <= F.col("value")).cast("double")).alias("upto"))
+    error = 2 * sketches.rank_error()
+    return ranks.select("metric", "p", F.col("n").cast("long").alias("n"),
+                        ((F.col("below") - error <= F.col("p")) & (F.col("p") <= F.col("upto") + error)).alias("within_error"))
+
+
 @query("vendor_row_counts_top5")
 def _value_counts(ws):
     return reports.value_counts(ws.reliable(), "VendorName", 5)
@@ -267,6 +317,17 @@ def _silhouette(ws):
     return segment.silhouette(_seeded(ws)[3])
 
 
+@query("silhouette_tree")
+def _silhouette_tree(ws):
+    """The Euclidean silhouette from the tree of balls: whether the exact one is within its error, and the
+    error within twice the relative error of the mean distances."""
+    points = _seeded(ws)[3]
+    found, exact = silhouette_tree.silhouette_tree(points, relative=0.01), segment.silhouette(points)
+    off = F.abs(F.col("silhouette") - exact.select("silhouette").scalar())
+    return found.select("n", (off <= F.col("error") + 1e-9).alias("within_error"),
+                        (F.col("error") <= 0.02).alias("error_kept"))
+
+
 @query("silhouette_squared")
 def _silhouette_squared(ws):
     """The O(n k) silhouette with squared distances, on the same clusters."""

@@ -2,6 +2,7 @@
 
 * ``build_summary_job``: raw tables -> catalog table ``vendor_sales_summary``
   (CTAS, optionally bucketed on (VendorNumber, Brand));
+* ``refresh_summary_job``: a batch of new raw rows -> the same table, from stored partial sums;
 * ``clean_job``: summary -> catalog table ``vendor_sales_summary_clean`` + CSV
   export, with row/NULL metrics observed during the write;
 * ``stats_ml_job``: clean table -> vendor frame with tiers (CSV) + nested JSON
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marginflow.operators import clean, report, rollup, segment, summary, text
+from marginflow.operators import clean, refresh, report, rollup, segment, summary, text
 from marginflow.sources import files, schemas, sinks
 
 
@@ -31,6 +32,20 @@ def build_summary_job(raw: dict[str, DataFrame], out_dir: str, buckets: int | No
     return spark.table("vendor_sales_summary")
 
 
+def refresh_summary_job(spark: SparkSession, batch: str, raw: dict[str, DataFrame], out_dir: str,
+                        buckets: int | None = None, compact_after: int = 20) -> DataFrame:
+    """New raw rows -> stored partial sums -> the same catalog table, without reading old raw
+    rows. A batch that counts already is not added again; after ``compact_after`` batches
+    the stored sums are put together."""
+    state = refresh.SummaryState(spark, f"{out_dir}/summary_state")
+    if state.apply(batch, raw) and len(state.batches()) % compact_after == 0:
+        state.compact()
+    keys = ["VendorNumber", "Brand"] if buckets else None
+    sinks.write_table(state.summary(), "vendor_sales_summary", path=f"{out_dir}/vendor_sales_summary",
+                      bucket_by=keys, num_buckets=buckets or 0, sort_by=keys)
+    return spark.table("vendor_sales_summary")
+
+
 def clean_job(summary_df: DataFrame, out_dir: str, lenient: bool = False) -> tuple[DataFrame, dict]:
     spark = summary_df.sparkSession
     reliable, obs = clean.observed_clean(summary_df, lenient)
