@@ -1,7 +1,8 @@
 """Main text of web pages by two passes over their blocks.
 
-The markup is cut into blocks of text. Menus, footers, forms, adverts, comments
-and the like are out by where they stand. The first pass decides every other
+The markup is cut into blocks of text, in one linear scan. Menus, footers, forms, adverts, comments
+and the like are out by where they stand, unless that would take most of the page's good
+text: then the name of a container says nothing. The first pass decides every other
 block by its link density, length and stop-word density; short blocks, and those
 of middling density, stay undecided. An article or main element is evidence on
 the undecided blocks in it: they are in, unless it is an article without one
@@ -46,7 +47,8 @@ FOREIGN = frozenset("svg math".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table "
                   "tbody td tfoot th thead tr ul".split())
-OUTSIDE = frozenset("nav footer aside form menu dialog".split())
+#: Never part of the article, whatever they hold; a form may be wrapped around a whole page.
+OUTSIDE = frozenset("nav footer aside menu dialog".split())
 ENDS_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
                "th": {"td", "th"}}
 # Words of class, id and role that name what is not the article.
@@ -62,21 +64,80 @@ OUTSIDE_NAMES = frozenset("""
 OUTSIDE_STEMS = tuple("advert breadcrumb comment cookie disqus footer navbar navigation newsletter popup sidebar sponsor "
                       "subscri".split())
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([A-Za-z][^\s/>\"'<]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([A-Za-z][^\s/>\"'<]*)([^>]*)>", re.S)
+# Of these words and stems, those that name a part of the page and not what it is about.
+PLAIN_PARTS = ("breadcrumb comment consent cookie disqus footer gdpr menu nav replies respond sidebar").split()
+
+_COMMENT = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+_NAME = re.compile(r"<(/?)([A-Za-z][^\s/>\"'<]*)")
+_SPECIAL = re.compile(r"[>\"']")
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _MAIN = re.compile(r"\b(?:id|role)\s*=\s*[\"']?main(?=[\"'\s]|$)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+class _Scanner:
+    """The tags and comments of a page. Each is found in time that is linear in what it takes, and
+    whatever is learned on the way about what lies ahead is kept."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last_end = page.rfind(">")
+        #: quotes and ends from which no unquoted end lies ahead
+        self.dead: set[int] = set()
+        self.no_close: set[str] = set()
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """(start, end, slash, name, attributes) of the next tag, or with an empty name of the next comment."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith(("<!", "<?"), at):
+                return at, _COMMENT.match(page, at).end(), "", "", ""
+            if at > self.last_end:
+                return self._comment_after(at)
+            m = _NAME.match(page, at)
+            if m is not None:
+                end = self._end(m.end())
+                return at, end + 1, m[1], m[2].lower(), page[m.end():end]
+            at += 1
+        return None
+
+    def _comment_after(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """Where no tag ends any more, a comment may still take the rest."""
+        found = [i for i in (self.page.find("<!", at), self.page.find("<?", at)) if i >= 0]
+        return (min(found), len(self.page), "", "", "") if found else None
+
+    def _end(self, at: int) -> int:
+        """The ``>`` that ends a tag: the first outside quotes, or if there is none the first."""
+        start, passed = at, []
+        while (m := _SPECIAL.search(self.page, at)) is not None and m.start() not in self.dead:
+            if m[0] == ">":
+                return m.start()
+            passed.append(m.start())
+            closing = self.page.find(m[0], m.end())
+            if closing < 0:
+                break
+            at = closing + 1
+        self.dead.update(passed)
+        return self.page.find(">", start)
+
+    def raw_end(self, name: str, at: int) -> int:
+        """Where an element ends that holds no markup; unclosed, it takes the rest, a head its tag alone."""
+        if name not in self.no_close:
+            end = re.compile(rf"</{name}(?=[\s/>])", re.I).search(self.page, at)
+            close = -1 if end is None else self.page.find(">", end.end())
+            if close >= 0:
+                return close + 1
+            self.no_close.add(name)
+        return at if name == "head" else len(self.page)
+
+
 @dataclass
 class Block:
     text: str
     link_chars: int
-    outside: bool
+    #: the innermost container around it that is marked as not the article, by number (0: none)
+    region: int
     #: the nearest article or main element around it, by number (0: none), and whether that is a main one
     frame: int
     main: bool
@@ -84,11 +145,27 @@ class Block:
     label: str = ""
 
 
+@dataclass
+class Region:
+    """A marked container: the one around it, how sure the mark is (0: a word that may mean
+    something else, 1: the name of a part, 2: an element that is never the article), and whether it holds
+    a main element or a first heading."""
+    parent: int
+    sure: int
+    main: bool = False
+
+
 @dataclass
 class _Open:
     name: str
-    outside: bool
+    region: int
+    marked: bool
     frame: int
+    closed: bool = False
+
+
+def _is_heading(name: str) -> bool:
+    return len(name) == 2 and name[0] == "h" and name[1].isdigit()
 
 
 @dataclass
@@ -99,86 +176,120 @@ class _Parser:
     links: list[str] = field(default_factory=list)
     #: whether each frame is a main element; the first stands for the page
     mains: list[bool] = field(default_factory=lambda: [False])
+    regions: list[Region] = field(default_factory=lambda: [Region(0, 0)])
+    #: the open elements of each name, and how many headings are open
+    named: dict[str, list[_Open]] = field(default_factory=dict)
+    headings: int = 0
+
+    def top(self) -> _Open:
+        return self.stack[-1] if self.stack else _Open("", 0, False, 0)
 
     def flush(self) -> None:
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
-            top = self.stack[-1] if self.stack else _Open("", False, 0)
+            top = self.top()
             linked = " ".join(html.unescape("".join(self.links)).split())
-            heading = any(len(x.name) == 2 and x.name[0] == "h" and x.name[1].isdigit() for x in self.stack)
-            self.blocks.append(Block(text, len(linked), top.outside, top.frame, self.mains[top.frame], heading))
+            self.blocks.append(Block(text, len(linked), top.region, top.frame, self.mains[top.frame], self.headings > 0))
         self.parts, self.links = [], []
 
     def text(self, s: str) -> None:
         if not s:
             return
         self.parts.append(s)
-        if any(x.name == "a" for x in self.stack):
+        if self.named.get("a"):
             self.links.append(s)
 
+    def _drop(self, x: _Open) -> None:
+        """An element is no longer open; it leaves the stack when it is on top."""
+        x.closed = True
+        self.headings -= _is_heading(x.name)
+        mine = self.named[x.name]
+        if mine[-1] is x:
+            mine.pop()
+        else:
+            mine.remove(x)
+
+    def pop(self) -> None:
+        x = self.stack.pop()
+        if not x.closed:
+            self._drop(x)
+        while self.stack and self.stack[-1].closed:
+            self.stack.pop()
+
     def open(self, name: str, attributes: str) -> None:
         if name in BLOCK:
             self.flush()
             while self.stack and self.stack[-1].name not in BLOCK and self.stack[-1].name != "a":
-                if self.stack[-1].outside and not (len(self.stack) > 1 and self.stack[-2].outside):
+                if self.stack[-1].marked:
                     break
-                self.stack.pop()
+                self.pop()
             if self.stack and (self.stack[-1].name == "p" or self.stack[-1].name in ENDS_ITSELF.get(name, ())):
-                self.stack.pop()
-        under = self.stack[-1] if self.stack else _Open("", False, 0)
+                self.pop()
+        under = self.top()
         named = {w for m in _NAMES.finditer(attributes) for w in
                  re.split(r"[\s_-]+", (m[1] or m[2] or m[3] or "").lower())} if attributes else set()
         frame = under.frame
         if name in ("article", "main") or "main" in named and name in BLOCK:
             frame = len(self.mains)
             self.mains.append(name == "main" or bool(_MAIN.search(attributes)))
-        outside = (under.outside or name in OUTSIDE or name == "header" and not under.frame
-                   or bool(attributes and _HIDDEN.search(attributes)))
-        if not outside and name not in ("body", "html", "article", "main"):
-            names = named & OUTSIDE_NAMES
-            if under.frame:
-                names = names - {"header"}  # an article's own heading
-            outside = bool(names) or any(x in w for w in named for x in OUTSIDE_STEMS)
-        inline = name not in BLOCK
-        if inline and outside and not under.outside:
+            self.regions[under.region].main |= self.mains[-1]
+        if name == "h1":
+            self.regions[under.region].main = True
+        sure = _mark(name, attributes, named, under.frame)
+        region = under.region
+        if sure is not None:
+            region = len(self.regions)
+            self.regions.append(Region(under.region, sure))
+        if name not in BLOCK and sure is not None:
             self.flush()  # a marked piece inside a block is a block of its own
-        self.stack.append(_Open(name, outside, frame))
+        x = _Open(name, region, sure is not None, frame)
+        self.stack.append(x)
+        self.named.setdefault(name, []).append(x)
+        self.headings += _is_heading(name)
 
     def close(self, name: str) -> None:
         if name in BLOCK:
             self.flush()
-        at = len(self.stack) - 1
-        while at >= 0 and self.stack[at].name != name:
-            at -= 1
-        if at < 0:
+        if not self.named.get(name):
             return
+        x = self.named[name][-1]
         if name in BLOCK:
-            del self.stack[at:]
+            while not x.closed:
+                self.pop()
         else:
-            if self.stack[at].outside and not (at and self.stack[at - 1].outside):
+            if x.marked:
                 self.flush()
-            del self.stack[at]
+            self._drop(x)
+            while self.stack and self.stack[-1].closed:
+                self.stack.pop()
 
 
-def _raw_end(page: str, name: str, at: int) -> int:
-    """Where an element ends that holds no markup; unclosed, it takes the rest, a head its tag alone."""
-    end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(page, at)
-    return end.end() if end is not None else at if name == "head" else len(page)
+def _mark(name: str, attributes: str, named: set[str], frame: int) -> int | None:
+    """How surely an element is not the article; None if nothing says so."""
+    if name in OUTSIDE or attributes and _HIDDEN.search(attributes):
+        return 2
+    if name in ("body", "html", "article", "main"):
+        return None
+    words = named & OUTSIDE_NAMES
+    if frame:
+        words = words - {"header"}  # an article's own heading
+    words |= {w for w in named if any(x in w for x in OUTSIDE_STEMS)}
+    if any(w.startswith(x) or x in w and x in OUTSIDE_STEMS for w in words for x in PLAIN_PARTS):
+        return 1
+    return 0 if words or name == "form" or name == "header" and not frame else None
 
 
-def _ends(page: str) -> dict[int, int]:
+def _ends(scan: _Scanner) -> dict[int, int]:
     """Where the skipped elements end, by the place after their opening tag. One that
     is still open where an element around it closes, or at the end, is left out."""
     ends: dict[int, int] = {}
     stack: list[tuple[str, int]] = []
     held: dict[str, int] = {}
     at = 0
-    while (m := _MARKUP.search(page, at)) is not None:
-        at = m.end()
-        slash, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
-        name = (name or "").lower()
+    while (tag := scan.next(at)) is not None:
+        _, at, slash, name, attributes = tag
         if name in RAW:
-            at = at if slash else _raw_end(page, name, at)
+            at = at if slash else scan.raw_end(name, at)
         elif name not in SKIPPED and name not in BLOCK or name in VOID or name == "head":
             continue
         elif not slash:
@@ -196,16 +307,15 @@ def _ends(page: str) -> dict[int, int]:
     return ends
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The blocks of text of a page, in order, without scripts, styles and comments."""
-    parser, at, ends = _Parser(), 0, None
-    while (m := _MARKUP.search(page, at)) is not None:
-        parser.text(page[at:m.start()])
-        at = m.end()
-        slash, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+def parse(page: str) -> tuple[list[Block], list[Region]]:
+    """The blocks of text of a page, in order, without scripts, styles and comments, and its marked containers."""
+    parser, scan, at, ends = _Parser(), _Scanner(page), 0, None
+    while (tag := scan.next(at)) is not None:
+        start, end, slash, name, attributes = tag
+        parser.text(page[at:start])
+        at = end
         if not name:
             continue
-        name = name.lower()
         if slash:
             parser.close(name)
         elif name == "br":
@@ -214,9 +324,9 @@ def blocks_of(page: str) -> list[Block]:
             parser.flush()
         elif name in SKIPPED:
             if name in RAW or name == "head":
-                at = _raw_end(page, name, at)
+                at = scan.raw_end(name, at)
             elif not (name in FOREIGN and attributes.endswith("/")):
-                ends = _ends(page) if ends is None else ends
+                ends = _ends(scan) if ends is None else ends
                 at = ends.get(at, at)
         elif name not in VOID and not attributes.endswith("/"):
             parser.open(name, attributes)
@@ -224,27 +334,68 @@ def blocks_of(page: str) -> list[Block]:
             parser.flush()
     parser.text(page[at:])
     parser.flush()
-    return parser.blocks
+    return parser.blocks, parser.regions
+
+
+def blocks_of(page: str) -> list[Block]:
+    return parse(page)[0]
+
 
+def outside(blocks: list[Block], regions: list[Region]) -> list[bool]:
+    """For each region, whether it, or one around it, is out.
 
-def classify(blocks: list[Block]) -> None:
+    A region that holds most of the page's good text is not out for a word that may
+    mean something else (if that is two blocks or more, or all the text there is beside other regions), and
+    not for the name of a part if it holds the page's main element or first heading."""
+    chars, count = [0] * len(regions), [0] * len(regions)
+    total = plain = 0
+    for b in blocks:
+        if b.label == "good":
+            chars[b.region] += len(b.text)
+            count[b.region] += 1
+            total += len(b.text)
+        plain += not b.region
+    main = [r.main for r in regions]
+    for i in range(len(regions) - 1, 0, -1):  # containers come before what they hold
+        up = regions[i].parent
+        chars[up] += chars[i]
+        count[up] += count[i]
+        main[up] |= main[i]
+    out = [False] * len(regions)
+    for i, r in enumerate(regions[1:], 1):
+        most = 2 * chars[i] > total
+        excused = most and (r.sure == 0 and (count[i] > 1 or not plain) or r.sure < 2 and main[i])
+        out[i] = out[r.parent] or not excused
+    return out
+
+
+def classify(blocks: list[Block], regions: list[Region] | None = None) -> None:
     """Sets each block's label to ``good`` or ``bad``."""
     for b in blocks:
-        b.label = "bad" if b.outside else _by_words(b)
+        b.label = _by_words(b)
+    out = outside(blocks, regions or [Region(0, 0)])
+    kept = [b for b in blocks if not out[b.region]]
+    if not any(b.label == "good" for b in kept):
+        for b in kept:  # a language without known words: length and links decide alone
+            if not b.frame and not b.link_chars and len(b.text) >= SHORT_CHARS:
+                b.label = "good"
+    for b in blocks:
+        if out[b.region]:
+            b.label = "bad"
     good, undecided = Counter(), Counter()  # characters by frame
     for b in blocks:
         if b.label == "good":
             good[b.frame] += len(b.text)
         elif b.label != "bad":
             undecided[b.frame] += len(b.text)
-    stated = any(b.main and not b.outside for b in blocks)
+    stated = any(b.main for b in kept)
     if stated or good.total() > 2 * good[0]:  # then text beside the frames must speak for itself
         for b in blocks:
             if not b.frame and b.label == "good" and len(b.text) <= LONG_CHARS:
                 b.label = "near"
                 good[0] -= len(b.text)
     total = good.total()
-    framed = any(b.frame and not b.outside for b in blocks)
+    framed = any(b.frame for b in kept)
     for b in blocks:
         if b.label in ("near", "short"):
             if b.frame and (b.main or good[b.frame] or undecided[b.frame] >= total):
@@ -304,8 +455,8 @@ def _inherited(b: Block, i: int, before: int | None, after: int | None, labels:
 
 def main_text(page: str | None) -> str:
     """The page's article: its good blocks in order, one a line. Null: empty."""
-    blocks = blocks_of(page or "")
-    classify(blocks)
+    blocks, regions = parse(page or "")
+    classify(blocks, regions)
     return "\n".join(b.text for b in blocks if b.label == "good")
 
 

@@ -1,5 +1,8 @@
 import html
+import random
 import re
+import time
+from html.parser import HTMLParser
 
 import pytest
 
@@ -92,3 +95,111 @@ def test_edge_rows(spark):
     assert html_text.extract(frame).count() == 5 and got[(1, None)]["text"] == "" and got[(2, "u")]["n_chars"] == 0
     assert got[(None, "u")]["n_chars"] == 39_999
     assert html_text.extract(frame.where("false")).count() == 0
+
+
+RUSSIAN = "Это длинный абзац статьи на русском языке, и в нём достаточно слов, чтобы правило о длине блока сработало здесь."
+CHINESE = "这是一篇文章的段落" * 10
+FOUR = "".join(f"<p>{PROSE} {i}</p>" for i in range(4))
+FOUR_TEXT = "\n".join(f"{PROSE} {i}" for i in range(4))
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<nav>Menu</nav><article><div class='entry links'>{FOUR}</div></article>", FOUR_TEXT),
+    (f"<div class='ad-free reading'>{FOUR}</div><footer>{PROSE}</footer>", FOUR_TEXT),
+    (f"<form action=x><div class=menu>Menu</div><h1>T</h1>{FOUR}<div id=comments><p>{PROSE}</p></div></form>", f"T\n{FOUR_TEXT}"),
+    (f"<div class='layout with-sidebar'><h1>T</h1>{FOUR}<div class=sidebar><p>{PROSE}</p></div></div>", f"T\n{FOUR_TEXT}"),
+    (f"<div class=nav>меню</div><p>{RUSSIAN}</p><p>{RUSSIAN}</p>", f"{RUSSIAN}\n{RUSSIAN}"),
+    (f"<p>{CHINESE}</p><p><a href=x>{CHINESE}</a></p>", CHINESE),
+    # what stays out: comments beside a short article, adverts, forms and notices beside an article
+    (f"<article><h1>T</h1><p>{PROSE}</p></article><section class=comments><article>{FOUR}</article></section>", f"T\n{PROSE}"),
+    (f"<article><p>{PROSE}</p><form><p>{PROSE}</p></form><div class=promo><p>{PROSE}</p></div><p>{PROSE}</p></article>", f"{PROSE}\n{PROSE}"),
+    (f"<div hidden>{FOUR}</div><p>{PROSE}</p>", PROSE),
+])
+def test_names_are_evidence_only(page, text):
+    assert html_text.main_text(page) == text
+
+
+HOSTILE = {
+    "quotes": "<a href=\"", "inner ends": "<a x='>'>", "inner ends only": "<a x='>'", "bold": "<b>", "div": "<div>", "italic": "<i>",
+    "heads": "<head>", "scripts": "</script ", "svg": "<svg>", "comments": "<!-", "regions": "<div class=ad>", "article": "<article>",
+    "links": "<a>x", "headings": "<h1>x", "entities": "&amp", "less": "<", "names": "<a class=", "spaces": "<p class   ",
+    "bold text": "<b>x", "closes": "</b>", "end quotes": "<a 'b\">", "rows": "<tr><td>x", "marked": "<b class=ad>x"}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_markup_is_read_in_linear_time(name):
+    piece = HOSTILE[name]
+    page = piece * (500_000 // len(piece))
+    began = time.time()
+    html_text.main_text(page)
+    html_text.main_text(f"<script>{page}</script>{page}</b></i><p>end")
+    assert time.time() - began < 30          # quadratic ones take hours
+
+
+def test_inline_elements_closed_from_outside():
+    page = "<i>" * 30_000 + "<b>" * 30_000 + "x" + "</i>" * 30_000 + "y" + "</b>" * 30_000
+    began = time.time()
+    assert [b.text for b in html_text.blocks_of(page)] == ["xy"] and time.time() - began < 10
+
+
+class Cutter(HTMLParser):
+    """A second version of cutting well-formed pages into blocks, on the standard library's parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.blocks, self.parts, self.skipped = [], [], 0
+
+    def cut(self):
+        text = " ".join("".join(self.parts).split())
+        self.blocks += [text] if text else []
+        self.parts = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_text.SKIPPED:
+            self.skipped += 1
+        elif tag == "br":
+            self.parts.append(" ")
+        elif tag in html_text.BLOCK and not self.skipped:
+            self.cut()
+
+    def handle_startendtag(self, tag, attrs):
+        if tag == "br" and not self.skipped:
+            self.parts.append(" ")
+
+    def handle_endtag(self, tag):
+        if tag in html_text.SKIPPED:
+            self.skipped -= 1
+        elif tag in html_text.BLOCK and not self.skipped:
+            self.cut()
+
+    def handle_data(self, data):
+        if not self.skipped:
+            self.parts.append(data)
+
+
+def test_blocks_against_a_second_version():
+    draw = random.Random(9)
+
+    def markup(depth):
+        out = []
+        for _ in range(draw.randrange(1, 4)):
+            kind = draw.random()
+            if kind < 0.4 or depth > 4:
+                out.append(draw.choice(["word ", "two  words\n", "&lt;b&gt; ", "caf&eacute; ", "&#233;", "a &amp; b", "<br>", "<!-- <p>no</p> -->"]))
+            elif kind < 0.6:
+                x = draw.choice(["div", "section", "blockquote", "h2", "table", "pre"])
+                out.append(f"<{x} title='a > b' data-x=\"it's\">{markup(depth + 1)}</{x}>")
+            elif kind < 0.9:
+                x = draw.choice(["b", "i", "span", "em", "a"])
+                out.append(f"<{x} title=\"<p>\">{markup(depth + 3)}</{x}>")
+            else:
+                out.append("<script>if (a < b) '<p>';</script><style>p > a {}</style><svg><g>no</g></svg>")
+        return "".join(out)
+
+    for _ in range(400):
+        page = markup(0)
+        cutter = Cutter()
+        cutter.feed(page)
+        cutter.close()
+        cutter.cut()
+        assert [b.text for b in html_text.blocks_of(page)] == cutter.blocks, page
