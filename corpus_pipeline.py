@@ -46,8 +46,8 @@ def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' tokens in sequences of 2048: one row per piece."""
-    return packing.pack_documents(docs, tokenizer_json())
+    """The documents' tokens in sequences of 2048: one row per piece, with its ids."""
+    return packing.pack_documents(docs, tokenizer_json(), keep_ids=True)
 
 
 STAGES = [

@@ -165,13 +165,14 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY,
             arrays = [pa.array(c, t) for c, t in zip(out, types)]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
             if keep_ids:
-                arrays.append(pa.array([np.frombuffer(x, "<u4").astype("i8").tolist() for x in out[7]],
-                                       pa.list_(pa.int64())))
+                ends = np.cumsum([0, *out[3]]).astype(np.int32)
+                ids = np.frombuffer(b"".join(out[7]), "<u4").astype(np.int32)
+                arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(pieces, PIECES + (", ids array<long>" if keep_ids else "")))
+            .mapInArrow(pieces, PIECES + (", ids array<int>" if keep_ids else "")))
 
 
 # --- bin completion over a histogram ------------------------------------------------
@@ -340,11 +341,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             .select(*[c for c in pieces.columns if c not in ("part", "nth")], "sequence_id", "offset"))
 
 
-def pack_documents(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY) -> DataFrame:
-    """Tokenise and pack: one row per piece of each document.
+def pack_documents(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+    """Tokenise and pack: one row per piece of each document, with ``keep_ids`` its ``ids``.
 
     Null and empty texts are one piece that holds the end id alone; a null id
     stays null; repeated rows are packed each; an empty table gives no rows;
     further columns of ``docs`` are ignored.
     """
-    return pack(token_pieces(docs, tokenizer_json, capacity), capacity)
+    return pack(token_pieces(docs, tokenizer_json, capacity, keep_ids=keep_ids), capacity)

@@ -75,8 +75,10 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document, and whether it decodes to the text."""
-    return piece_sampling.encode(table(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"),
-                                 keep_ids=False)
+    model = vocabulary_file("piece_bpe_32k.model")
+    encoded = piece_sampling.encode(table(spark, sf_dir, "documents"), model, check=False)
+    decoded = piece_sampling.decode_pieces(encoded, model)
+    return decoded.select("doc_id", "n_pieces", "ids_crc32", (F.xxhash64("text") == F.col("text_hash")).alias("lossless"), "ids")
 
 
 @query

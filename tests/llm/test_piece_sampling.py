@@ -25,6 +25,7 @@ def segmentations(lat, s):
 def test_query_is_lossless_and_reproducible(spark):
     a = registry.QUERIES["op6_piece_sampling"](spark, SF_SMALL).collect()
     assert all(r["lossless"] for r in a) and len(a) == 200
+    assert all(len(r["ids"]) == r["n_pieces"] for r in a)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     again = piece_sampling.encode(docs.repartition(7), MODEL).collect()
     assert {(r["doc_id"], r["ids_crc32"]) for r in a} == {(r["doc_id"], r["ids_crc32"]) for r in again}

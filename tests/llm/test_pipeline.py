@@ -39,6 +39,8 @@ def test_run_against_brute_force(spark):
     expected = pieces_of([(i, t) for (i, t), c in zip(cleaned, least) if i == c])
     got = __spark_entry__.queries()["pipeline"](spark, SF_SMALL).collect()
     assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == expected
+    import numpy as np
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and len(r["ids"]) == r["length"] for r in got)
     assert 0 < len(ids) < docs.count() and len(set(least)) < len(ids)
 
 
@@ -56,7 +58,7 @@ def test_stages(spark, edge_docs, no_docs):  # noqa: F811
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and "op7_line_dedup" in __spark_entry__.oracle_sql()
     assert simhash.BLOCKS and sum(simhash.BLOCKS) == 64
