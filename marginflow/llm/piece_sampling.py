@@ -52,6 +52,7 @@ class Lattices:
         n = sp.get_piece_size()
         self.pieces: dict[str, tuple[int, float]] = {}
         self.bytes_of: list[bytes] = [b""] * n
+        self.piece_bytes: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None  # the same in flat arrays
         self.byte_id = np.zeros(256, dtype=np.int32)
         for i in range(n):
             piece = sp.id_to_piece(i)
@@ -278,6 +279,32 @@ def decode(lat: Lattices, ids) -> str:
     return b"".join([lat.bytes_of[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
 
 
+#: Ids that are decoded at once.
+DECODED = 1 << 18
+
+
+def decode_all(lat: Lattices, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+    """The texts of many segmentations: row i has the ids up to ``ends[i]`` from where the one before ends."""
+    if lat.piece_bytes is None:
+        size = np.array([len(x) for x in lat.bytes_of])
+        lat.piece_bytes = np.frombuffer(b"".join(lat.bytes_of), np.uint8), np.cumsum(size) - size, size
+    data, first, size = lat.piece_bytes
+    out, row, begin = [], 0, 0
+    while row < len(ends):
+        stop = max(int(np.searchsorted(ends, begin + DECODED, "right")), row + 1)
+        part = ids[begin:ends[stop - 1]]
+        n = size[part]
+        upto = np.cumsum(n)
+        text = data[np.repeat(first[part] - (upto - n), n) + np.arange(upto[-1] if len(upto) else 0)].tobytes()
+        cuts = np.append(0, upto)[ends[row:stop] - begin].tolist()
+        at = 0
+        for cut in cuts:
+            out.append(text[at + 1:cut].decode("utf-8", "surrogatepass"))
+            at = cut
+        row, begin = stop, int(ends[stop - 1])
+    return out
+
+
 def encode(docs: DataFrame, model: bytes, alpha: float = ALPHA, seed: int = 0, id_col: str = "doc_id",
            text_col: str = "text", keep_ids: bool = True, check: bool = True) -> DataFrame:
     """``doc_id``, ``n_pieces``, ``ids_crc32``, ``lossless`` (the pieces decode to the
@@ -298,12 +325,13 @@ def encode(docs: DataFrame, model: bytes, alpha: float = ALPHA, seed: int = 0, i
             found = sample_ids(lat, texts, batch.column(2).to_pylist())
             columns = [batch.column(0), pa.array([len(x) for x in found], pa.int64()),
                        pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64()),
-                       pa.array([decode(lat, x.tolist()) == (t or "") for x, t in zip(found, texts)]) if check
-                       else batch.column(3)]
+                       None if check else batch.column(3)]
+            ends = np.cumsum([len(x) for x in found]).astype(np.int32)
+            ids = np.concatenate([np.zeros(0, np.int32), *found]).astype(np.int32)
+            if check:
+                columns[3] = pa.array([x == (t or "") for x, t in zip(decode_all(lat, ids, ends), texts)], pa.bool_())
             if keep_ids:
-                ends = np.cumsum([0, *(len(x) for x in found)]).astype(np.int32)
-                ids = np.concatenate([np.zeros(0, np.int32), *found]).astype(np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)))
+                columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids)))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
@@ -319,7 +347,11 @@ def decode_pieces(rows: DataFrame, model: bytes, ids_col: str = "ids") -> DataFr
 
     @F.arrow_udf("string")
     def text_of(ids: pa.Array) -> pa.Array:
+        if not len(ids):
+            return pa.array([], pa.string())
         lat = lattices(shipped.value, ALPHA)
-        return pa.array([None if x is None else decode(lat, x) for x in ids.to_pylist()], pa.string())
+        missing = np.asarray(ids.is_null())
+        sizes = np.where(missing, 0, np.asarray(ids.value_lengths().fill_null(0)))
+        return pa.array(decode_all(lat, np.asarray(ids.flatten()), np.cumsum(sizes)), pa.string(), mask=missing)
 
     return rows.withColumn("text", text_of(F.col(ids_col)))

@@ -62,3 +62,13 @@ def test_edge_rows(edge_docs, no_docs):  # noqa: F811
     texts = Counter(r["text"] or "" for r in edge_docs.collect())
     assert Counter(r["text"] for r in piece_sampling.decode_pieces(encoded, MODEL).collect()) == texts
     assert piece_sampling.encode(no_docs, MODEL).count() == 0
+
+
+def test_decoding_together_is_decoding_one_by_one(lattices, monkeypatch):
+    texts = ["a  b▁c \n\tx日本\x00語😀 ", "", None, "abc " * 300, "Ünïcode"] * 3
+    found = piece_sampling.sample_ids(lattices, texts, list(range(len(texts))))
+    ends = np.cumsum([len(x) for x in found])
+    for size in (1, 50, 1 << 18):
+        monkeypatch.setattr(piece_sampling, "DECODED", size)
+        assert piece_sampling.decode_all(lattices, np.concatenate(found), ends) == [t or "" for t in texts]
+    assert piece_sampling.decode_all(lattices, np.zeros(0, np.int32), np.zeros(2, int)) == ["", ""]
