@@ -30,7 +30,8 @@ SAMPLE_DOCS = 4000
 MIN_SHARE = 0.02
 MIN_RELATIVE = 0.35
 UNDETERMINED = "und"
-MAX_LANGUAGES = 64
+#: Languages that a model can tell apart; a slot has a mask word for each 64 of them.
+MAX_LANGUAGES = 1024
 #: Code points that are turned into n-grams at once.
 BLOCK = 1_000_000
 
@@ -82,13 +83,14 @@ def slots_of(h: np.ndarray, probe: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """``masks[slot]`` has bit i set if the slot belongs to ``languages[i]``'s filter."""
+    """``masks[i // 64, slot]`` has bit i % 64 set if the slot belongs to ``languages[i]``'s filter."""
 
     languages: list[str]
     masks: np.ndarray
 
     def __post_init__(self):
-        bits = [(self.masks >> np.uint64(i)) & np.uint64(1) for i in range(len(self.languages))]
+        self.masks = np.atleast_2d(self.masks)
+        bits = [(self.masks[i // 64] >> np.uint64(i % 64)) & np.uint64(1) for i in range(len(self.languages))]
         #: the chance that an n-gram outside a filter is found in it
         self.by_chance = np.array([float(b.mean()) ** PROBES for b in bits])
 
@@ -111,13 +113,15 @@ class Model:
 
     def _shares(self, texts: list[str]) -> np.ndarray:
         h, owner = gram_hashes(texts)
-        found = self.masks[slots_of(h, 0)]
-        for probe in range(1, PROBES):
-            found &= self.masks[slots_of(h, probe)]
+        slots = [slots_of(h, probe) for probe in range(PROBES)]
         n = np.maximum(np.bincount(owner, minlength=len(texts)), 1)
         share = np.empty((len(texts), len(self.languages)))
         for i in range(len(self.languages)):
-            hits = np.bincount(owner[(found & np.uint64(1 << i)) != 0], minlength=len(texts))
+            if i % 64 == 0:
+                found = self.masks[i // 64][slots[0]]
+                for other in slots[1:]:
+                    found &= self.masks[i // 64][other]
+            hits = np.bincount(owner[(found & np.uint64(1 << i % 64)) != 0], minlength=len(texts))
             share[:, i] = (hits / n - self.by_chance[i]) / max(1 - self.by_chance[i], 1e-9)
         return np.clip(share, 0, 1)
 
@@ -127,7 +131,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, min_share: float = MIN_
         lang_col: str = "lang") -> Model:
     """A model from the rows with a text and a label: about ``sample_docs`` documents a
     language (all, if it has fewer), chosen by a hash of the id. Languages are
-    numbered by name; more than 64 labels are an error."""
+    numbered by name; more than ``MAX_LANGUAGES`` labels are an error. Rows of a null id
+    are drawn by their text."""
     labelled = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n"))
@@ -136,12 +141,11 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, min_share: float = MIN_
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = sorted(sizes)
     if not languages:
-        return Model([], np.zeros(1 << SLOTS_LOG2, dtype=np.uint64))
+        return Model([], np.zeros((0, 1 << SLOTS_LOG2), dtype=np.uint64))
     number = {x: i for i, x in enumerate(languages)}
-    share = F.lit(0.0)
-    for x in languages:
-        share = F.when(F.col("lang") == x, F.lit(sample_docs / sizes[x])).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), F.lit(17)), F.lit(1_000_000)) / 1_000_000
+    share = F.element_at(F.create_map(*[v for x in languages for v in (F.lit(x), F.lit(sample_docs / sizes[x]))]), F.col("lang"))
+    by_text = F.when(F.col("id").isNull(), F.col("text"))  # a null adds nothing to the hash
+    draw = F.pmod(F.xxhash64(F.coalesce("id", F.lit("")), by_text, F.lit(17)), F.lit(1_000_000)) / 1_000_000
     sample = labelled.where(draw < share).select("text", "lang")
 
     def count(batches):
@@ -163,20 +167,23 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, min_share: float = MIN_
 
     counted = (sample.mapInArrow(count, "gram long, language long, docs long")
                .groupBy("gram", "language").agg(F.sum("docs").alias("docs")))
-    held = F.lit(0.0)
-    for x, i in number.items():
-        held = F.when(F.col("language") == i, F.col("docs") / min(sizes[x], sample_docs)).otherwise(held)
+    held = F.col("docs") / F.element_at(
+        F.create_map(*[v for x, i in number.items() for v in (F.lit(i).cast("long"), F.lit(float(min(sizes[x], sample_docs))))]),
+        F.col("language"))
     by_gram = counted.withColumn("held", held).groupBy("gram").agg(
-        F.max("held").alias("most"), F.collect_list(F.struct("language", "held")).alias("by"))  # at most 64 each
+        F.max("held").alias("most"), F.collect_list(F.struct("language", "held")).alias("by"))  # a language each
     own = F.filter("by", lambda x: (x["held"] >= min_share) & (x["held"] >= min_relative * F.col("most")))
-    mask = F.aggregate(own, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), x["language"].cast("int"))))
+    word = F.explode(F.sequence(F.lit(0), F.lit((len(languages) - 1) // 64))).alias("word")
+    in_word = F.filter(own, lambda x: F.floor(x["language"] / 64) == F.col("word"))
+    mask = F.aggregate(in_word, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x["language"], F.lit(64)).cast("int"))))
     slots = F.array(*[F.shiftrightunsigned("gram", 64 - SLOTS_LOG2 * (p + 1)).bitwiseAND(
         F.lit((1 << SLOTS_LOG2) - 1).cast("long")) for p in range(PROBES)])
-    filled = (by_gram.select(mask.alias("mask"), F.explode(slots).alias("slot")).where("mask <> 0")
-              .groupBy("slot").agg(F.bit_or("mask").alias("mask")).toPandas())  # at most 2^SLOTS_LOG2 rows
-    masks = np.zeros(1 << SLOTS_LOG2, dtype=np.uint64)
-    masks[filled["slot"].to_numpy(dtype=np.int64)] = filled["mask"].to_numpy(dtype=np.int64).view(np.uint64)
+    filled = (by_gram.select("*", word).select("word", mask.alias("mask"), slots.alias("slots")).where("mask <> 0")
+              .select("word", "mask", F.explode("slots").alias("slot"))
+              .groupBy("word", "slot").agg(F.bit_or("mask").alias("mask")).toPandas())  # at most 2^SLOTS_LOG2 rows a word
+    masks = np.zeros(((len(languages) + 63) // 64, 1 << SLOTS_LOG2), dtype=np.uint64)
+    masks[filled["word"].to_numpy(dtype=np.int64), filled["slot"].to_numpy(dtype=np.int64)] = filled["mask"].to_numpy(dtype=np.int64).view(np.uint64)
     return Model(languages, masks)
 
 

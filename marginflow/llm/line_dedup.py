@@ -53,7 +53,8 @@ def clean_lines(docs: DataFrame, max_share: float = MAX_SHARE, min_pages: int =
     Blank lines stay. A page that has no other lines keeps its text: what is left
     of a page cannot be nothing. Null texts and texts of a null host are returned
     as they are; repeated rows each get a row and count as one page; an empty
-    table gives no rows; all further columns are kept."""
+    table gives no rows; all further columns are kept, but one named ``n_lines`` or
+    ``n_dropped`` is replaced."""
     # written first, so that its size is known when the join is planned: a small table is
     # broadcast and no text is shuffled; beyond that AQE splits the pages of a hot host
     drops = written(boilerplate(docs, max_share, min_pages, host_col, text_col), "boilerplate").select(

@@ -134,7 +134,7 @@ def _encoder(tokenizer_json: str) -> WordEncoder:
     return _encoders[key]
 
 
-PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
+PIECES = ("piece int, start long, length long, ids_crc32 long, "
           "part int, nth long")
 
 
@@ -161,7 +161,7 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY,
                     row = (doc, piece, at // 4, n, zlib.crc32(cut), part, nth, cut)
                     for column, value in zip(out, row):
                         column.append(value)
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            types = [batch.schema.field(0).type, pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
             arrays = [pa.array(c, t) for c, t in zip(out, types)]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"]
             if keep_ids:
@@ -171,8 +171,9 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY,
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(pieces, PIECES + (", ids array<int>" if keep_ids else "")))
+    kind = docs.schema[id_col].dataType.simpleString()
+    return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+            .mapInArrow(pieces, f"doc_id {kind}, " + PIECES + (", ids array<int>" if keep_ids else "")))
 
 
 # --- bin completion over a histogram ------------------------------------------------

@@ -95,9 +95,10 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)],
                                              ["doc_id", "text_hash", "fp"])
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+    kind = docs.schema[id_col].dataType.simpleString()
+    return (docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                         F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, text_hash long, fp long"))
+            .mapInArrow(run, f"doc_id {kind}, text_hash long, fp long"))
 
 
 # --- the trie self-join -------------------------------------------------------------
@@ -316,7 +317,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, id_col: st
     fingerprint 0 and link like any other; texts shorter than a shingle are one
     shingle; repeated rows each get a row; a null id is never the smallest unless
     its component has no other; an empty table gives no rows; further columns
-    are ignored.
+    are ignored. Ids are of any type that can be ordered.
     """
     fps = written(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     least = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "distinct-fingerprints")
@@ -340,6 +341,6 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, id_co
             .select(F.col("first.doc_id").alias("__kept_id"), F.col("first.text_hash").alias("__kept_hash")))
     text_hash = F.xxhash64(docs[text_col])
     return (docs.withColumn("__hash", text_hash)
-            .join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__kept_id"))
+            .join(kept, F.col(id_col).eqNullSafe(F.col("__kept_id"))
                   & (F.col("__hash") == F.col("__kept_hash")), "left_semi")
             .dropDuplicates([id_col, "__hash"]).drop("__hash").select(*docs.columns))

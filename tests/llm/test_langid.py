@@ -49,3 +49,20 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert langid.predict(no_docs, model).count() == 0
     untrained = langid.fit(no_docs)
     assert {r["lang_pred"] for r in langid.predict(edge_docs, untrained).collect()} == {"und"}
+
+
+def test_more_languages_than_bits_in_a_word(spark):
+    rng = np.random.default_rng(4)
+    words = {f"l{i:03}": ["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(6)] for i in range(150)}
+    rows = [(i * 10 + j, " ".join(rng.choice(w, 12)), x) for i, (x, w) in enumerate(words.items()) for j in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df)
+    assert len(model.languages) == 150 and len(model.masks) == 3
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(df, model).collect()}
+    assert np.mean([got[i] == x for i, _, x in rows]) > 0.95
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(spark):
+    rows = [(None, f"text number {chr(97 + i % 26)}{chr(97 + i // 26)} here", "en") for i in range(200)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_docs=50)
+    assert model.masks.any()

@@ -113,3 +113,12 @@ def test_bin_completion_is_near_the_least(seed):
     lengths = sorted((rng.randint(2, 12) for _ in range(9)), reverse=True)
     found = sum(t for _, t in packing.bin_completion(Counter(lengths), 16))
     assert found == brute_least(lengths, 16)
+
+
+def test_ids_of_other_types_and_kept_token_ids(spark):
+    df = spark.createDataFrame([("x", "some words here"), ("y", None), (None, "more words")], "doc_id string, text string")
+    rows = packing.pack_documents(df, JSON, keep_ids=True).collect()
+    assert {r["doc_id"] for r in rows} == {"x", "y", None}
+    for r in rows:
+        assert len(r["ids"]) == r["length"] and r["ids"][-1] == 0
+        assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"]

@@ -119,3 +119,11 @@ def test_repeated_rows_keep_one(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "quite another text than that"), (0, "quite another text than that")]
     kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, kept)) == [(0, "quite another text than that"), (1, "a b c d e f")]
+
+
+def test_ids_of_other_types(spark):
+    rows = [("b", "a b c d e f"), ("a", "a b c d e f"), ("c", "quite another text than that"), (None, "quite another text than that")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df).collect()}
+    assert got == {"b": "a", "a": "a", "c": "c", None: "c"}
+    assert sorted(r["doc_id"] for r in simhash.drop_near_duplicates(df).collect()) == ["a", "c"]
