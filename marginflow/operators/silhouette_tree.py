@@ -153,15 +153,20 @@ def silhouette_tree(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str
     out_cols = ["qpart", "qcl", "qseq", "pos", "ref", "low", "high", "npart", "level", "at"]
     out_schema = ("qpart int, qcl int, qseq long, pos long, ref int, low double, high double, "
                   "npart int, level int, at long")
+    query = ["qpart", "qcl", "qseq"]
     mine = leaves.select(F.col("part").alias("qpart"), F.col("cl").alias("qcl"), F.col("seq").alias("qseq"), "x")
     # every leaf begins with the top nodes: one for each partition and cluster
-    top = nodes.where(F.col("level") == levels)
-    query = ["qpart", "qcl", "qseq"]
-    pairs = mine.select(*query).join(F.broadcast(top), F.lit(True)).withColumn("x", F.lit(None).cast("binary"))
+    top = nodes.where(F.col("level") == levels).toPandas()
+    top["x"] = None
+
+    def begin(batches):
+        for batch in batches:
+            for i in range(len(batch)):
+                yield visit(None, batch.iloc[i:i + 1], top)
+
+    round_ = written(mine.mapInPandas(begin, out_schema), "silhouette-round")
     parts = []
     while True:
-        pairs = written(pairs.select(*query, *node_cols, "x"), "silhouette-pairs")
-        round_ = written(mine.groupBy(*query).cogroup(pairs.groupBy(*query)).applyInPandas(visit, out_schema), "silhouette-round")
         parts.append(round_.where(F.col("pos").isNotNull()))
         opened = round_.where(F.col("at").isNotNull()).select(
             *query, F.col("npart").alias("part"), F.col("ref").alias("cl"), "level", "at")
@@ -171,9 +176,9 @@ def silhouette_tree(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str
             *query, "part", "cl", (F.col("level") - 1).alias("level"),
             F.explode(F.sequence(F.col("at") * fan, F.col("at") * fan + (fan - 1))).alias("at"))
         inner = inner.join(nodes, ["part", "cl", "level", "at"]).withColumn("x", F.lit(None).cast("binary"))
-        rows_ = opened.where("level = 0").join(
-            leaves.withColumnRenamed("seq", "at"), ["part", "cl", "at"])
-        pairs = inner.select(*query, *node_cols, "x").unionByName(rows_.select(*query, *node_cols, "x"))
+        rows_ = opened.where("level = 0").join(leaves.withColumnRenamed("seq", "at"), ["part", "cl", "at"])
+        pairs = written(inner.select(*query, *node_cols, "x").unionByName(rows_.select(*query, *node_cols, "x")), "silhouette-pairs")
+        round_ = written(mine.groupBy(*query).cogroup(pairs.groupBy(*query)).applyInPandas(visit, out_schema), "silhouette-round")
 
     total = parts[0]
     for p in parts[1:]:

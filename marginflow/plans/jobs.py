@@ -16,6 +16,8 @@ job's output, not from the raw data.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from marginflow.operators import clean, refresh, report, rollup, segment, summary, text
@@ -81,17 +83,17 @@ def stats_ml_job(clean_df: DataFrame, out_dir: str, tier_reference: str | None =
     return out
 
 
-def text_job(transactions: DataFrame, out_dir: str, k: int = 8, n_init: int = 10,
-             seed: int = 42) -> dict[str, DataFrame]:
+def text_job(transactions: DataFrame, out_dir: str, k: int = 8, n_init: int = 10, seed: int = 42,
+             stop_words: Sequence[str] | None = None) -> dict[str, DataFrame]:
     spark = transactions.sparkSession
     prod_path = f"{out_dir}/product_rollup"
     sinks.write_parquet(text.product_rollup(transactions), prod_path)
     prod = spark.read.parquet(prod_path)
-    weights, vocab = text.tfidf(prod)
+    weights, vocab = text.tfidf(prod, stop_words=stop_words)
     weights_path = f"{out_dir}/product_tfidf"
     sinks.write_parquet(weights, weights_path)
     weights = spark.read.parquet(weights_path)
-    clusters = text.kmeans_text_clusters(prod, k, n_init, seed, vocab=vocab)
+    clusters = text.kmeans_text_clusters(prod, k, n_init, seed, stop_words=stop_words, vocab=vocab)
     out = {"products": prod}
     for name, df in (("clusters", clusters), ("summary", None), ("themes", None)):
         if name == "summary":

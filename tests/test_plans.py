@@ -13,7 +13,7 @@ from marginflow.plans.catalog import QUERIES as CATALOG
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_SMALL), reason="test data absent")
 QUERIES = {k: v for k, v in E.queries().items() if k in CATALOG}
-PYTHON_ALLOWED = {"silhouette_euclidean", "analysis_report"}     # NumPy block kernel (cogroup)
+PYTHON_ALLOWED = {"silhouette_euclidean", "silhouette_tree", "analysis_report", "report_fields"}  # NumPy block kernel (cogroup)
 
 
 def plan_of(df) -> str:
