@@ -51,6 +51,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     t.add_argument("--out", required=True)
     t.add_argument("--testdata")
     t.add_argument("--products-csv")
+    t.add_argument("--stop-words", help="text file of words to leave out, one a line (default: Spark's English list)")
     q = sub.add_parser("query", help="run one registered query and print rows")
     q.add_argument("name")
     q.add_argument("--testdata", required=True)
@@ -80,7 +81,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             tx = jobs.read_products_csv(spark, args.products_csv)
         else:
             raise SystemExit("pass --testdata or --products-csv")
-        out = jobs.text_job(tx, args.out)
+        stop_words = None
+        if args.stop_words:
+            stop_words = sorted({r[0].strip().lower() for r in spark.read.text(args.stop_words).collect()} - {""})
+        out = jobs.text_job(tx, args.out, stop_words=stop_words)
         for r in out["summary"].collect():
             print(json.dumps(r.asDict()))
     else:

@@ -70,6 +70,18 @@ def test_cli_text_from_latin1_csv(spark, tmpdir_path, capsys):
     assert sum(x["n_products"] for x in lines) == tx.select("Product Name").distinct().count()
 
 
+def test_text_job_with_stop_words_of_the_callers(spark, tmpdir_path, capsys):
+    from marginflow.__main__ import main
+    with open(tmpdir_path + "/stop.txt", "w") as f:
+        f.write("Anvil\n\nblue\n")
+    assert main(["text", "--out", tmpdir_path + "/out", "--testdata", SF_SMALL, "--stop-words", tmpdir_path + "/stop.txt"],
+                spark=spark) == 0
+    capsys.readouterr()
+    terms = {w for r in spark.read.parquet(tmpdir_path + "/out/product_tfidf").select("term").distinct().collect()
+             for w in r[0].split()}
+    assert terms and not terms & {"anvil", "blue"}
+
+
 def test_bucketed_summary_joins_without_shuffle(spark, tmpdir_path):
     import contextlib
     import io
