@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marginflow.llm.common import written
+from marginflow.llm.common import HANDED_ON, text_slices, written
 
 CAPACITY = 2048
 #: Entries of the word cache of one Python worker; a full cache keeps the half it met first.
@@ -149,7 +149,7 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY,
 
     def pieces(batches):
         encoder, part, seen = _encoder(shipped.value), TaskContext.get().partitionId(), {}
-        for batch in batches:
+        for batch in text_slices(batches, 1, 2 * HANDED_ON):
             out: list[list] = [[] for _ in range(8)]
             texts = batch.column(1).to_pylist()
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):

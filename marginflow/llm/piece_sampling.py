@@ -19,22 +19,24 @@ from __future__ import annotations
 import re
 import zlib
 from itertools import islice
-from math import exp, log
+from math import log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marginflow.llm.common import text_slices
+
 MARK = "▁"
 RANK_OFFSET = 2.7
 ALPHA = 1.0
 #: Distinct parts whose lattices a worker keeps; they shrink to the half met first when there are more.
-CACHE_PARTS = 250_000
+CACHE_PARTS = 120_000
 #: Bits of the filters that spare most lookups of a substring.
 FILTER_LOG2 = 21
 #: Occurrences that are sampled at once.
-OCCURRENCES = 400_000
+OCCURRENCES = 200_000
 
 _PART = re.compile(" *[^ ]+| +")
 
@@ -320,7 +322,7 @@ def encode(docs: DataFrame, model: bytes, alpha: float = ALPHA, seed: int = 0, i
 
     def run(batches):
         lat = lattices(shipped.value, alpha)
-        for batch in batches:
+        for batch in text_slices(batches, 1):
             texts = batch.column(1).to_pylist()
             found = sample_ids(lat, texts, batch.column(2).to_pylist())
             columns = [batch.column(0), pa.array([len(x) for x in found], pa.int64()),
