@@ -30,7 +30,8 @@ from marginflow.session import written
 
 #: Rows of a block.
 BLOCK = 512
-#: Distances that are equal to this many places count as ties, which go to the lower cluster id.
+#: Squared distances that are equal to this many places, in units of about the rows' variance, count as
+#: ties, which go to the lower cluster id.
 PLACES = 9
 #: Draws: a row's hash (1 to 2^28) times a power of the multiplier, modulo a prime.
 PRIME, MULTIPLIER, ROUNDS = 2_147_483_647, 48_271, 64
@@ -39,11 +40,13 @@ PRIME, MULTIPLIER, ROUNDS = 2_147_483_647, 48_271, 64
 @dataclass(frozen=True)
 class KMeansFit:
     """``centres``: an array of k rows; ``inertia``: the rows' summed squared distances
-    to their nearest centre; ``restart`` and ``passes``: the restart that won, and its Lloyd passes."""
+    to their nearest centre; ``restart`` and ``passes``: the restart that won, and its Lloyd passes;
+    ``unit``: the power of two next to the rows' variance."""
     centres: np.ndarray
     inertia: float
     restart: int
     passes: int
+    unit: float
 
 
 def draw_multiplier(seed: int, restart: int, round_: int) -> int:
@@ -102,17 +105,19 @@ def point_blocks(df: DataFrame, features: str | Column, key: str | Column | None
         pack, "keys array<string>, h binary, x binary, mean binary, radius double, scatter double")
 
 
-def _squares(x: np.ndarray, mean: np.ndarray, centres: np.ndarray) -> np.ndarray:
+def _squares(x: np.ndarray, mean: np.ndarray, centres: np.ndarray, unit: float) -> np.ndarray:
     """Squared distances (rows, centres), rounded; taken around the block's mean."""
     a, b = x - mean, centres - mean
-    return np.round(np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None, :], 0), PLACES)
+    exact = np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None, :], 0)
+    return np.round(exact / unit, PLACES) * unit
 
 
 def _numbers(blob: bytes, kind=np.float64) -> np.ndarray:
     return np.frombuffer(blob, kind)
 
 
-def _draw(blocks: DataFrame, chosen: np.ndarray, restarts: list[int], seed: int, round_: int) -> dict[int, np.ndarray]:
+def _draw(blocks: DataFrame, chosen: np.ndarray, restarts: list[int], seed: int, round_: int,
+          unit: float) -> dict[int, np.ndarray]:
     """The next seed of each restart; ``chosen``: (restarts, seeds so far, dimensions)."""
     factors = np.array([draw_multiplier(seed, r, round_) for r in restarts], np.int64)
 
@@ -125,7 +130,7 @@ def _draw(blocks: DataFrame, chosen: np.ndarray, restarts: list[int], seed: int,
                 u = (_numbers(h, np.int64)[:, None] * factors[None, :] % PRIME) / PRIME
                 weight = np.ones_like(u)
                 if round_:
-                    d = _squares(x, mean, chosen.reshape(-1, len(mean)))
+                    d = _squares(x, mean, chosen.reshape(-1, len(mean)), unit)
                     weight = d.reshape(len(x), len(restarts), round_).min(2)
                 with np.errstate(divide="ignore"):
                     time = np.where(weight > 0, -np.log(u) / weight, np.inf)
@@ -145,12 +150,12 @@ def _draw(blocks: DataFrame, chosen: np.ndarray, restarts: list[int], seed: int,
     return {r["restart"]: _numbers(r["x"]) for r in found}
 
 
-def seed_centres(blocks: DataFrame, k: int, restarts: list[int], seed: int) -> list[np.ndarray]:
+def seed_centres(blocks: DataFrame, k: int, restarts: list[int], seed: int, unit: float = 1.0) -> list[np.ndarray]:
     """k-means++ seeds of each restart; fewer than ``k`` where there are fewer distinct rows."""
     chosen: list[list[np.ndarray]] = [[] for _ in restarts]
     for round_ in range(k):
         so_far = np.array(chosen) if round_ else np.zeros((len(restarts), 0, 0))
-        drawn = _draw(blocks, so_far, restarts, seed, round_)
+        drawn = _draw(blocks, so_far, restarts, seed, round_, unit)
         if len(drawn) < len(restarts):      # all rows are seeds already, for every restart alike
             break
         for r, x in drawn.items():
@@ -158,10 +163,11 @@ def seed_centres(blocks: DataFrame, k: int, restarts: list[int], seed: int) -> l
     return [np.array(c) for c in chosen]
 
 
-def lloyd_pass(blocks: DataFrame, centres: np.ndarray) -> np.ndarray:
+def lloyd_pass(blocks: DataFrame, centres: np.ndarray, unit: float = 1.0) -> np.ndarray:
     """(restarts, clusters, dimensions + 2): sums, count and inertia of the rows nearest to each
     of ``centres`` (restarts, clusters, dimensions)."""
     restarts, k, d = centres.shape
+    slack = 10.0 ** -(PLACES // 2) * unit ** 0.5     # what rounding may hide
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((restarts, k, d + 2))
@@ -170,7 +176,7 @@ def lloyd_pass(blocks: DataFrame, centres: np.ndarray) -> np.ndarray:
                 mean = _numbers(mean)
                 n = len(x) // (8 * d)
                 away = np.sqrt(((centres - mean) ** 2).sum(2))
-                near = away <= away.min(1, keepdims=True) + 2 * radius + 10.0 ** -(PLACES // 2)
+                near = away <= away.min(1, keepdims=True) + 2 * radius + slack
                 only = near.sum(1) == 1
                 for r in np.flatnonzero(only):     # the whole block is one centre's
                     c = int(np.argmax(near[r]))
@@ -182,7 +188,7 @@ def lloyd_pass(blocks: DataFrame, centres: np.ndarray) -> np.ndarray:
                 x = _numbers(x).reshape(n, d)
                 for r in np.flatnonzero(~only):
                     cs = np.flatnonzero(near[r])
-                    far = _squares(x, mean, centres[r, cs])
+                    far = _squares(x, mean, centres[r, cs], unit)
                     best = far.argmin(1)
                     member = np.equal.outer(np.arange(len(cs)), best).astype(float)
                     total[r, cs, :d] += member @ x
@@ -202,27 +208,36 @@ def lloyd_pass(blocks: DataFrame, centres: np.ndarray) -> np.ndarray:
     return out
 
 
+def _unit(blocks: DataFrame, d: int) -> float:
+    """The power of two next to the rows' variance, all dimensions together; 1 where rows do not vary."""
+    total = lloyd_pass(blocks, np.zeros((1, 1, d)))[0, 0]
+    n, variance = total[d], total[d + 1] / total[d] - ((total[:d] / total[d]) ** 2).sum()
+    return 2.0 ** round(np.log2(variance)) if n and variance > 1e-12 * total[d + 1] / n else 1.0
+
+
 def fit(blocks: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300, tol: float = 1e-9,
         initial: np.ndarray | None = None) -> KMeansFit | None:
     """The restart of least inertia (ties: the first). A restart rests when no centre
-    moves by more than ``tol``; an empty cluster keeps its centre. ``initial`` gives the
+    moves by more than ``tol`` (in units of the rows' spread); an empty cluster keeps its centre. ``initial`` gives the
     starting centres, (restarts, k, dimensions), instead of drawing them. None without rows."""
-    restarts = list(range(n_init if initial is None else len(initial)))
-    seeds = seed_centres(blocks, k, restarts, seed) if initial is None else list(np.asarray(initial, float))
-    if not len(seeds[0]):
+    first = blocks.select("mean").first()
+    if first is None:
         return None
+    unit = _unit(blocks, len(_numbers(first[0])))
+    restarts = list(range(n_init if initial is None else len(initial)))
+    seeds = seed_centres(blocks, k, restarts, seed, unit) if initial is None else list(np.asarray(initial, float))
     centres, resting = np.array(seeds), {}
     for passes in range(1, max_iter + 1):
         active = [r for r in restarts if r not in resting]
         if not active:
             break
-        sums = lloyd_pass(blocks, centres[active])
+        sums = lloyd_pass(blocks, centres[active], unit)
         counts, inertia = sums[:, :, -2], sums[:, :, -1].sum(1)
         moved = np.where(counts[:, :, None] > 0, sums[:, :, :-2] / np.maximum(counts, 1)[:, :, None], centres[active])
         step = np.sqrt(((moved - centres[active]) ** 2).sum(2)).max(1)
         for i, r in enumerate(active):
-            if step[i] <= tol or passes == max_iter:
-                resting[r] = KMeansFit(centres[r].copy(), float(inertia[i]), r, passes)
+            if step[i] <= tol * unit ** 0.5 or passes == max_iter:
+                resting[r] = KMeansFit(centres[r].copy(), float(inertia[i]), r, passes, unit)
         centres[active] = moved
     least = min(f.inertia for f in resting.values())
     # inertias that only rounding tells apart are ties
@@ -235,7 +250,7 @@ def kmeans(df: DataFrame, features: str | Column, k: int, n_init: int, seed: int
     return fit(written(point_blocks(df, features, key), "kmeans-blocks"), k, n_init, seed, max_iter, tol)
 
 
-def nearest_centre(df: DataFrame, centres: np.ndarray, features: str, out: str) -> DataFrame:
+def nearest_centre(df: DataFrame, centres: np.ndarray, features: str, out: str, unit: float = 1.0) -> DataFrame:
     """``df`` with the id of the nearest centre (ties to the lower); NULL without usable features."""
     from pyspark.ml.functions import vector_to_array
     x = F.col(features)
@@ -246,7 +261,7 @@ def nearest_centre(df: DataFrame, centres: np.ndarray, features: str, out: str)
             if batch.num_rows:
                 ok = batch.column(batch.num_columns - 1)
                 points = ok.fill_null([0.0] * centres.shape[1]).flatten().to_numpy().reshape(batch.num_rows, -1)
-                best = _squares(points, centres.mean(0), centres).argmin(1)
+                best = _squares(points, centres.mean(0), centres, unit).argmin(1)
                 ids = pa.array(best.astype(np.int32), mask=np.asarray(ok.is_null()))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], schema=pa.schema(
                     [*list(batch.schema)[:-1], pa.field(out, pa.int32())]))

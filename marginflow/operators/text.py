@@ -152,7 +152,7 @@ def _clustered(vectors: DataFrame, key: str, features: str, out: str, k: int, n_
     found = kmeans(vectors, features, k, n_init, seed, key=F.col(f"`{key}`"))
     if found is None:
         return vectors.select(F.col(f"`{key}`"), F.lit(None).cast("int").alias(out))
-    return renumbered(nearest_centre(vectors, found.centres, features, out), out, key)
+    return renumbered(nearest_centre(vectors, found.centres, features, out, found.unit), out, key)
 
 
 def seeded_text_clusters(prod: DataFrame, weights: DataFrame, k: int = TEXT_K) -> DataFrame:

@@ -16,8 +16,8 @@ def frame(spark, x, parts=3):
     return spark.createDataFrame(rows, "id string, x array<double>").repartition(parts)
 
 
-def squares(x, c):
-    return np.round(((x[:, None, :] - c[None, :, :]) ** 2).sum(2), km.PLACES)
+def squares(x, c, unit=1.0):
+    return np.round(((x[:, None, :] - c[None, :, :]) ** 2).sum(2) / unit, km.PLACES) * unit
 
 
 def plain_seeds(keys, x, k, seed, restart):
@@ -98,3 +98,11 @@ def test_few_distinct_rows_missing_features_and_no_rows(spark):
 def test_keys_default_to_the_features(spark, points):
     df = frame(spark, points).select("x", F.lit(1).alias("more"))
     assert km.kmeans(df, "x", 2, 2, 0).inertia > 0
+
+
+@pytest.mark.parametrize("scale", [1e-7, 1e9])
+def test_the_scale_of_features_does_not_matter(spark, points, scale):
+    plain = km.kmeans(frame(spark, points), "x", 4, 3, 1, key="id")
+    scaled = km.kmeans(frame(spark, points * scale + 5 * scale), "x", 4, 3, 1, key="id")
+    assert scaled.restart == plain.restart
+    assert np.allclose(scaled.centres / scale - 5, plain.centres, rtol=1e-6, atol=1e-6)
