@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginflow.llm.common import text_slices
+from marginflow.llm.common import HANDED_ON, text_slices
 
 MARK = "▁"
 RANK_OFFSET = 2.7
@@ -308,38 +308,34 @@ def decode_all(lat: Lattices, ids: np.ndarray, ends: np.ndarray) -> list[str]:
 
 
 def encode(docs: DataFrame, model: bytes, alpha: float = ALPHA, seed: int = 0, id_col: str = "doc_id",
-           text_col: str = "text", keep_ids: bool = True, check: bool = True) -> DataFrame:
+           text_col: str = "text", keep_ids: bool = True) -> DataFrame:
     """``doc_id``, ``n_pieces``, ``ids_crc32``, ``lossless`` (the pieces decode to the
-    text; without ``check`` instead ``text_hash``, for a check after ``decode_pieces``) and, with
-    ``keep_ids``, the sampled ``ids`` of every row.
+    text) and, with ``keep_ids``, the sampled ``ids`` of every row.
 
     The same id, text and ``seed`` always give the same pieces; a null id has a
     seed of its own. Null and empty texts have no pieces; repeated rows each get
     a row; an empty table gives no rows; further columns are ignored."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # one vocabulary file
     kind = docs.schema[id_col].dataType.simpleString()
-    names = ["doc_id", "n_pieces", "ids_crc32", "lossless" if check else "text_hash", *(["ids"] if keep_ids else [])]
+    names = ["doc_id", "n_pieces", "ids_crc32", "lossless", *(["ids"] if keep_ids else [])]
 
     def run(batches):
         lat = lattices(shipped.value, alpha)
-        for batch in text_slices(batches, 1):
+        for batch in text_slices(batches, 1, 2 * HANDED_ON):
             texts = batch.column(1).to_pylist()
             found = sample_ids(lat, texts, batch.column(2).to_pylist())
-            columns = [batch.column(0), pa.array([len(x) for x in found], pa.int64()),
-                       pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64()),
-                       None if check else batch.column(3)]
             ends = np.cumsum([len(x) for x in found]).astype(np.int32)
             ids = np.concatenate([np.zeros(0, np.int32), *found]).astype(np.int32)
-            if check:
-                columns[3] = pa.array([x == (t or "") for x, t in zip(decode_all(lat, ids, ends), texts)], pa.bool_())
+            columns = [batch.column(0), pa.array([len(x) for x in found], pa.int64()),
+                       pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64()),
+                       pa.array([x == (t or "") for x, t in zip(decode_all(lat, ids, ends), texts)], pa.bool_())]
             if keep_ids:
                 columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids)))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                        F.xxhash64(F.lit(seed), F.col(id_col).cast("string")).alias("seed"),
-                        *([] if check else [F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_hash")]))
-            .mapInArrow(run, f"doc_id {kind}, n_pieces long, ids_crc32 long, " + ("lossless boolean" if check else "text_hash long")
+                        F.xxhash64(F.lit(seed), F.col(id_col).cast("string")).alias("seed"))
+            .mapInArrow(run, f"doc_id {kind}, n_pieces long, ids_crc32 long, lossless boolean"
                         + (", ids array<int>" if keep_ids else "")))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marginflow.llm import (chat_format, collocations, html_text, langid, line_dedup, lm_scoring, order_minhash,
                             packing, piece_sampling, quality, simhash, turn_repair, url_filters)
-from marginflow.llm.common import id_crc, written
+from marginflow.llm.common import id_crc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -75,11 +75,7 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sampled segmentation of every document, and whether it decodes to the text."""
-    model = vocabulary_file("piece_bpe_32k.model")
-    # written first: encoder and decoder are stages of their own, which share the workers' lattices
-    encoded = written(piece_sampling.encode(table(spark, sf_dir, "documents"), model, check=False), "segmentations")
-    decoded = piece_sampling.decode_pieces(encoded, model)
-    return decoded.select("doc_id", "n_pieces", "ids_crc32", (F.xxhash64("text") == F.col("text_hash")).alias("lossless"), "ids")
+    return piece_sampling.encode(table(spark, sf_dir, "documents"), vocabulary_file("piece_bpe_32k.model"))
 
 
 @query
