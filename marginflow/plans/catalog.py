@@ -500,5 +500,7 @@ def _analysis_report(ws):
 
 @query("report_fields", digits=None)
 def _report_fields(ws):
-    """Every number of the report as a row."""
-    return report.report_fields(report.analysis_report(ws.vendors(), ws.tiers(), ws.scaled()))
+    """Every number of the report as a row; means of money to whole units, as a cent may sit on a tie."""
+    fields = report.report_fields(report.analysis_report(ws.vendors(), ws.tiers(), ws.scaled()))
+    money = F.col("part").isin("TotalSalesDollars", "GrossProfit")
+    return fields.withColumn("value", F.when(money, F.round("value", 0)).otherwise(F.col("value")))
