@@ -22,7 +22,7 @@ groups need neither tables nor joins: see ``percentiles_of``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -125,46 +125,46 @@ def percentiles_of(df: DataFrame, wanted: Mapping[str, tuple[str | Column, Seque
     values = [(F.col(v) if isinstance(v, str) else v).cast("double") for v, _ in wanted.values()]
     d = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), v.alias("_x")) for i, v in enumerate(values)])).alias("_s"))
     d = d.select("_s.*").where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    digits = [f"_d{i}" for i in range(DIGITS)]
-    d = d.select("_m", "_x", *[c.alias(n) for c, n in zip(_digits(F.col("_x")), digits)])
-
-    # ranks still looked for: (column, digits known) -> {rank: what is left of it among the values with these digits}
+    # column and digits so far as one number, so that a predicate evaluates them once
+    first, *more = _digits(F.col("_x"))
+    key = F.col("_m").cast("long") * F.lit(1 << 17) + first + F.lit(1 << 16)
+    keys = [key]
+    for digit in more:
+        keys.append(keys[-1] * F.lit(1 << DIGIT_BITS) + digit)
+
+    # ranks still looked for: key so far -> {rank: what is left of it among the values with this key}
     total: dict[int, int] = {}
-    open_ranks: dict[tuple, dict[int, int]] = {}
+    open_ranks: dict[int, dict[int, int]] = {}
     for depth in range(DIGITS):
-        rows = d
-        if depth:
-            rows = d.where(_any_prefix(open_ranks, digits))
-        counted: dict[tuple, list] = {}
-        for r in rows.groupBy("_m", *digits[:depth + 1]).agg(F.count(F.lit(1)).alias("_c")).collect():
-            counted.setdefault(tuple(r[:-2]), []).append((r[-2], r[-1]))
+        rows = d if not depth else d.where(keys[depth - 1].isin(list(open_ranks)))
+        counted: dict[int, list] = {}
+        for k, c in rows.groupBy(keys[depth].alias("_k")).agg(F.count(F.lit(1)).alias("_c")).collect():
+            counted.setdefault(k >> (DIGIT_BITS if depth else 17), []).append((k, c))
         if not depth:
-            for (m,), cells in counted.items():
+            for m, cells in counted.items():
                 n = total[m] = sum(c for _, c in cells)
-                last = n - 1
-                open_ranks[m,] = {k: k for p in wanted[names[m]][1] for k in (math.floor(p * last), math.ceil(p * last))}
-        found: dict[tuple, dict[int, int]] = {}
+                open_ranks[m] = {k: k for p in wanted[names[m]][1] for k in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
+        found: dict[int, dict[int, int]] = {}
         for prefix, ranks in open_ranks.items():
             start = 0
             for digit, c in sorted(counted[prefix]):
                 for k, left in ranks.items():
                     if start <= left < start + c:
-                        found.setdefault((*prefix, digit), {})[k] = left - start
+                        found.setdefault(digit, {})[k] = left - start
                 start += c
         open_ranks = found
 
     at: dict[tuple[int, int], float] = {}
     if open_ranks:
-        counted = d.where(_any_prefix(open_ranks, digits)).groupBy("_m", *digits, "_x").agg(F.count(F.lit(1)).alias("_c"))
-        ranked = _ranked(counted, ["_m", *digits], "_x")
+        counted = (d.where(keys[-1].isin(list(open_ranks))).groupBy(keys[-1].alias("_k"), "_x").agg(F.count(F.lit(1)).alias("_c")))
         hit = F.lit(False)
         for prefix, ranks in open_ranks.items():
             for left in set(ranks.values()):
-                hit = hit | (_is_prefix(prefix, digits) & (F.lit(left) >= F.col("_start")) & (F.lit(left) < F.col("_end")))
-        for r in ranked.where(hit).collect():
-            for k, left in open_ranks[tuple(r[c] for c in ("_m", *digits))].items():
+                hit = hit | ((F.col("_k") == prefix) & (F.col("_start") <= left) & (F.col("_end") > left))
+        for r in _ranked(counted, ["_k"], "_x").where(hit).collect():
+            for k, left in open_ranks[r["_k"]].items():
                 if r["_start"] <= left < r["_end"]:
-                    at[r["_m"], k] = r["_x"]
+                    at[r["_k"] >> (17 + (DIGITS - 1) * DIGIT_BITS), k] = r["_x"]
 
     out: dict[str, list[float | None]] = {}
     for m, name in enumerate(names):
@@ -172,20 +172,6 @@ def percentiles_of(df: DataFrame, wanted: Mapping[str, tuple[str | Column, Seque
     return out
 
 
-def _is_prefix(prefix: tuple, digits: list[str]) -> Column:
-    same = F.col("_m") == F.lit(prefix[0])
-    for name, digit in zip(digits, prefix[1:]):
-        same = same & (F.col(name) == F.lit(digit))
-    return same
-
-
-def _any_prefix(prefixes: Iterable[tuple], digits: list[str]) -> Column:
-    hit = F.lit(False)
-    for prefix in prefixes:
-        hit = hit | _is_prefix(prefix, digits)
-    return hit
-
-
 def _between(at: dict[tuple[int, int], float], m: int, place: float) -> float:
     low, high = at[m, math.floor(place)], at[m, math.ceil(place)]
     part, gap = place - math.floor(place), high - low

@@ -203,8 +203,8 @@ def lloyd_pass(blocks: DataFrame, centres: np.ndarray, unit: float = 1.0) -> np.
     parts = blocks.select("x", "mean", "radius", "scatter").mapInArrow(
         assign, "restart int, cluster int, dim int, value double")
     out = np.zeros((restarts, k, d + 2))
-    for row in parts.groupBy("restart", "cluster", "dim").agg(F.sum("value")).collect():
-        out[row[0], row[1], row[2]] = row[3]
+    sums = parts.groupBy("restart", "cluster", "dim").agg(F.sum("value").alias("value")).toArrow()
+    out[tuple(sums[c].to_numpy() for c in ("restart", "cluster", "dim"))] = sums["value"].to_numpy()
     return out
 
 
@@ -247,7 +247,11 @@ def fit(blocks: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300,
 def kmeans(df: DataFrame, features: str | Column, k: int, n_init: int, seed: int, key: str | Column | None = None,
            max_iter: int = 300, tol: float = 1e-9) -> KMeansFit | None:
     """``fit`` over the rows of ``df``, packed and written as blocks first."""
-    return fit(written(point_blocks(df, features, key), "kmeans-blocks"), k, n_init, seed, max_iter, tol)
+    blocks = written(point_blocks(df, features, key), "kmeans-blocks").cache()      # read again by every pass
+    try:
+        return fit(blocks, k, n_init, seed, max_iter, tol)
+    finally:
+        blocks.unpersist()
 
 
 def nearest_centre(df: DataFrame, centres: np.ndarray, features: str, out: str, unit: float = 1.0) -> DataFrame:
