@@ -29,7 +29,7 @@ def main() -> None:
     out = tempfile.mkdtemp(prefix="mf-copies-")
     lines = spark.read.parquet(f"{sf}/lineitem.parquet")
     copy = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("_copy")
-    more = lines.select("*", copy).withColumn("l_orderkey", F.col("l_orderkey") + F.col("_copy") * F.lit(10**9)).drop("_copy")
+    more = lines.select("*", copy).withColumn("l_orderkey", F.col("l_orderkey") + F.col("_copy").cast("long") * F.lit(10**9)).drop("_copy")
     more.repartition(cpus).write.parquet(f"{out}/lineitem.parquet")
     for name in ("part", "supplier"):
         spark.read.parquet(f"{sf}/{name}.parquet").write.parquet(f"{out}/{name}.parquet")
