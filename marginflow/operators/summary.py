@@ -20,7 +20,7 @@ and AQE's runtime statistics) decides, and falls back to a shuffle join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marginflow.sources.schemas import SUMMARY_COLUMNS
@@ -78,12 +78,15 @@ def purchase_summary(purchases: DataFrame, purchase_prices: DataFrame) -> DataFr
 
 
 def priced(sums: DataFrame, prices: DataFrame) -> DataFrame:
-    """Purchase sums with each price row of their brand, times its multiplicity."""
+    """Purchase sums with each price row of their brand, times its multiplicity;
+    further columns of the sums stay."""
     m = F.col("_m")
+    own = ["VendorNumber", "VendorName", "Brand", "Description", "TotalPurchaseQuantity", "TotalPurchaseDollars"]
     return (sums.join(prices, "Brand")
              .select("VendorNumber", "VendorName", "Brand", "Description", "Volume",
                      F.col("Price").alias("ActualPrice"), "PurchasePrice",
-                     _times(m, "TotalPurchaseQuantity"), _times(m, "TotalPurchaseDollars")))
+                     _times(m, "TotalPurchaseQuantity"), _times(m, "TotalPurchaseDollars"),
+                     *[c for c in sums.columns if c not in own]))
 
 
 def purchase_summary_standalone(purchases: DataFrame, purchase_prices: DataFrame) -> DataFrame:
@@ -112,14 +115,26 @@ def vendor_sales_summary(purchases: DataFrame, purchase_prices: DataFrame,
                    freight_summary(vendor_invoice), sales_summary(sales))
 
 
+def with_sales(sums: DataFrame, sold: DataFrame) -> DataFrame:
+    """Purchase sums with the sales sums of their (vendor, brand), NULL where there are none.
+
+    A left join, written as a window over the rows of both sides: rows that are
+    clustered by Brand alone stay where they are, which a join on both keys would shuffle
+    again. ``sold`` has a row for each pair; its NULL keys match nothing."""
+    measures = [c for c in sold.columns if c not in ("VendorNo", "Brand")]
+    bought = sums.withColumn("_bought", F.lit(True))
+    seen = sold.where(F.col("VendorNo").isNotNull() & F.col("Brand").isNotNull()).withColumnRenamed("VendorNo", "VendorNumber")
+    pair = Window.partitionBy("VendorNumber", "Brand")
+    rows = bought.unionByName(seen, allowMissingColumns=True)
+    rows = rows.withColumns({c: F.max(c).over(pair) for c in measures})     # of the pair's one row
+    return rows.where("_bought").drop("_bought")
+
+
 def combine(sums: DataFrame, prices: DataFrame, freight: DataFrame, sold: DataFrame) -> DataFrame:
     """The summary from the four aggregates that it is made of."""
-    ps = priced(sums, prices)
-    ss = sold.withColumnRenamed("Brand", "_sb")
+    ps = priced(with_sales(sums, sold), prices)
     fs = freight.withColumnRenamed("VendorNumber", "_fv")
-    joined = (ps.join(ss, (ps.VendorNumber == ss.VendorNo) & (ps.Brand == ss._sb), "left")
-                .join(fs, F.col("VendorNumber") == F.col("_fv"), "left"))
-    return joined.select(*SUMMARY_COLUMNS)
+    return ps.join(fs, F.col("VendorNumber") == F.col("_fv"), "left").select(*SUMMARY_COLUMNS)
 
 
 def never_sold(purchases: DataFrame, sales: DataFrame) -> DataFrame:

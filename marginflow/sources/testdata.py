@@ -4,7 +4,10 @@ TPC-H-ish test data as lazy views.
 Padding, zero purchase prices and partial sell-through are deliberate: they
 exercise whitespace stripping, the valid-purchase filter and the left-join gap.
 Everything is a projection/join of the parquet scans, so Catalyst prunes
-columns and pushes filters into the readers.
+columns and pushes filters into the readers. Purchases and sales meet the part table by a
+merge join, last: line items are shuffled by part as narrow rows, and what is then
+grouped or joined by Brand stays where it is. A part table that is small enough to be broadcast
+would leave nearly all rows to map-side aggregates, whose groups are about as many as the rows.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = base(spark, sf_dir, "supplier")
     price = F.when(F.col("l_linenumber") == 7, F.lit(0.0)).otherwise(F.col("p_retailprice") * 0.6)
     qty = F.col("l_quantity").cast("bigint")
-    return (li.join(part, li.l_partkey == part.p_partkey)
-              .join(sup, li.l_suppkey == sup.s_suppkey)
+    return (li.join(sup, li.l_suppkey == sup.s_suppkey)
+              .join(part.hint("merge"), li.l_partkey == part.p_partkey)
               .select(F.col("l_suppkey").alias("VendorNumber"),
                       F.concat(F.col("s_name"), F.lit("   ")).alias("VendorName"),
                       F.col("l_partkey").alias("Brand"),
@@ -49,7 +52,7 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = base(spark, sf_dir, "part")
     qty = F.floor(F.col("l_quantity") * (F.lit(0.7) + F.lit(4) * F.col("l_discount"))).cast("bigint")
     price = F.col("p_retailprice") * (F.lit(1) - F.col("l_discount"))
-    return (li.join(part, li.l_partkey == part.p_partkey)
+    return (li.join(part.hint("merge"), li.l_partkey == part.p_partkey)
               .select(F.col("l_suppkey").alias("VendorNo"),
                       F.col("l_partkey").alias("Brand"),
                       (qty * price).alias("SalesDollars"),

@@ -129,3 +129,26 @@ def test_valid_purchase_filter_reaches_the_scan(spark, tmpdir_path, raw):
     p = spark.read.parquet(path)
     plan = explain(summary.purchase_summary(p, raw[1]))
     assert "PushedFilters: [IsNotNull(PurchasePrice), GreaterThan(PurchasePrice,0.0)" in plan
+
+
+def test_sums_clustered_by_brand_are_combined_where_they_are(spark, raw):
+    """Prices and sales meet purchase sums that are dealt by Brand without moving them again."""
+    from test_plans import plan_of
+    purchases, prices, invoice, sales = raw
+    bought, sold = summary.purchase_sums(purchases.repartition("Brand")), summary.sales_summary(sales.repartition("Brand"))
+    joined = summary.with_sales(bought, sold)
+    plan = plan_of(joined)
+    assert plan.count("Arguments: hashpartitioning") == 2 and "hashpartitioning(VendorNumber" not in plan
+    left = bought.join(sold.withColumnRenamed("VendorNo", "VendorNumber"), ["VendorNumber", "Brand"], "left").select(joined.columns)
+    assert sorted(map(repr, joined.collect())) == sorted(map(repr, left.collect()))
+
+
+def test_null_keys_meet_no_sales(spark):
+    sums = spark.createDataFrame([(None, "a", 1, "x", 2, 3.0), (1, "a", None, "x", 2, 3.0), (1, "b", 1, None, 2, 3.0), (1, "c", 1, None, 2, 3.0)],
+                                 "VendorNumber long, VendorName string, Brand long, Description string, TotalPurchaseQuantity long, TotalPurchaseDollars double")
+    sold = spark.createDataFrame([(None, 1, 9.0, 9.0, 9, 9.0), (1, None, 9.0, 9.0, 9, 9.0), (1, 1, 4.0, None, 5, float("nan"))],
+                                 "VendorNo long, Brand long, TotalSalesDollars double, TotalSalesPrice double, TotalSalesQuantity long, TotalExciseTax double")
+    got = sorted((str(r.VendorNumber), r.VendorName, r.TotalSalesDollars, r.TotalSalesPrice, r.TotalSalesQuantity, str(r.TotalExciseTax))
+                 for r in summary.with_sales(sums, sold).collect())
+    assert got == [("1", "a", None, None, None, "None"), ("1", "b", 4.0, None, 5, "nan"), ("1", "c", 4.0, None, 5, "nan"),
+                   ("None", "a", None, None, None, "None")]
