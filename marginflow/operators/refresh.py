@@ -39,7 +39,12 @@ KEYS = {"purchases": ["VendorNumber", "VendorName", "Brand", "Description"],
 
 
 def merged(name: str, sums: DataFrame) -> DataFrame:
-    """Partial sums of several batches, added up (a sum of nothing but NULLs stays NULL)."""
+    """Partial sums of several batches, added up (a sum of nothing but NULLs stays NULL).
+
+    Rows are dealt by Brand alone, so that ``summary.combine`` finds purchases, prices and sales
+    where it needs them. They are sums already: a pair has one row for each set of sums at most."""
+    if "Brand" in KEYS[name]:
+        sums = sums.repartition("Brand")
     return sums.groupBy(*KEYS[name]).agg(*[F.sum(c).alias(c) for c in sums.columns if c not in KEYS[name]])
 
 

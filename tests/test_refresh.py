@@ -77,3 +77,15 @@ def test_cli_refresh(spark, tmpdir_path, capsys):
         assert got == 2 * once.agg(F.sum("TotalSalesQuantity")).first()[0]
     finally:
         spark.sql("DROP TABLE IF EXISTS vendor_sales_summary")
+
+
+def test_stored_sums_are_dealt_by_brand_once(spark, raw, tmpdir_path):  # noqa: F811
+    """Purchase sums of several batches meet sales and prices where they were added up."""
+    from test_plans import plan_of
+    state = refresh.SummaryState(spark, tmpdir_path)
+    state.apply("1", names(raw))
+    state.apply("2", names(raw))
+    plan = plan_of(state.summary())
+    assert "hashpartitioning(Brand" in plan and "Arguments: hashpartitioning(VendorNumber#" in plan
+    pairs = [x for x in plan.split("Arguments: hashpartitioning(")[1:] if "VendorNumber" in x.split(")")[0] and "Brand" in x.split(")")[0]]
+    assert not pairs
