@@ -221,26 +221,44 @@ def silhouette(df: DataFrame, cols: Sequence[str] = FEATURES, cluster: str = "Cl
     right = base.select(F.col("pid").alias("pid"), F.col("cl").alias("cl"), F.col("x").alias("x"),
                         F.explode(F.sequence(F.lit(0), F.col("blk"))).alias("a"), F.col("blk").alias("b"))
 
-    def sums(ids, d, labels_other):
-        labs = np.unique(labels_other)
-        out = np.stack([d[:, labels_other == lab].sum(1) for lab in labs], axis=1)
-        cnt = np.array([(labels_other == lab).sum() for lab in labs])
+    def by_label(pdf: pd.DataFrame):
+        """Ids and points in the order of their clusters, the clusters, and where each one's points are."""
+        labels = pdf["cl"].to_numpy()
+        order = np.argsort(labels, kind="stable")
+        labels, labs = labels[order], np.unique(labels)
+        spans = [(np.searchsorted(labels, lab), np.searchsorted(labels, lab, "right")) if lab == lab else (0, 0) for lab in labs]
+        x = np.stack(pdf["x"].to_numpy()).astype(float)
+        return pdf["pid"].to_numpy()[order], x[order], labs, spans
+
+    def sums(ids, dsum, labs, spans):
         return pd.DataFrame({"pid": np.repeat(ids, len(labs)),
                              "ref": np.tile(labs, len(ids)).astype("int32"),
-                             "dsum": out.reshape(-1),
-                             "cnt": np.tile(cnt, len(ids)).astype("int64")})
+                             "dsum": dsum.reshape(-1),
+                             "cnt": np.tile([end - start for start, end in spans], len(ids)).astype("int64")})
 
     def block(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         if lpdf.empty or rpdf.empty:
             return pd.DataFrame({"pid": [], "ref": [], "dsum": [], "cnt": []})
-        xl = np.stack(lpdf["x"].to_numpy()).astype(float)
-        xr = np.stack(rpdf["x"].to_numpy()).astype(float)
-        d = np.empty((len(xl), len(xr)))
-        for s0 in range(0, len(xl), 256):
-            d[s0:s0 + 256] = np.sqrt(((xl[s0:s0 + 256, None, :] - xr[None, :, :]) ** 2).sum(-1))
-        parts = [sums(lpdf["pid"].to_numpy(), d, rpdf["cl"].to_numpy())]
+        lids, xl, llabs, lspans = by_label(lpdf)
+        rids, xr, rlabs, rspans = by_label(rpdf)
+        rows, columns = np.zeros((len(xl), len(rlabs))), np.zeros((len(xr), len(llabs)))
+        cuts = sorted({0, len(xl), *(int(at) for span in lspans for at in span)})
+        for start, end in zip(cuts, cuts[1:]):
+            own = [i for i, span in enumerate(lspans) if span == (start, end)]
+            for s0 in range(start, end, 256):   # a strip of one cluster's points is added up at once, dimension by dimension
+                strip = slice(s0, min(s0 + 256, end))
+                d = np.zeros((strip.stop - s0, len(xr)))
+                for dim in range(xl.shape[1]):
+                    off = np.subtract.outer(xl[strip, dim], xr[:, dim])
+                    d += np.multiply(off, off, out=off)
+                np.sqrt(d, out=d)
+                for i, (r0, r1) in enumerate(rspans):
+                    rows[strip, i] = d[:, r0:r1].sum(1)
+                for i in own:
+                    columns[:, i] += d.sum(0)
+        parts = [sums(lids, rows, rlabs, rspans)]
         if lpdf["a"].iloc[0] != lpdf["b"].iloc[0]:
-            parts.append(sums(rpdf["pid"].to_numpy(), d.T, lpdf["cl"].to_numpy()))
+            parts.append(sums(rids, columns, llabs, lspans))
         return pd.concat(parts, ignore_index=True)
 
     partial = (left.groupBy("a", "b").cogroup(right.groupBy("a", "b"))

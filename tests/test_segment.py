@@ -96,3 +96,34 @@ def test_silhouette_tree_is_within_its_error(spark, relative, leaf):
     assert abs(got.silhouette - brute_silhouette(x, labels)) <= got.error + 1e-9
     one = silhouette_tree(df.where("Cluster = 1"), COLS).first()
     assert one.silhouette is None and one.error is None
+
+
+def test_silhouette_holds_strips_of_distances_only(spark):
+    """A pair of blocks is added up strip by strip: not all its distances are there at once."""
+    import tracemalloc
+    from unittest import mock
+    seen = {}
+
+    def kernel(self, func, schema):
+        seen["block"] = func
+        return self_of(self, func, schema)
+
+    from pyspark.sql.pandas.group_ops import PandasCogroupedOps
+    self_of = PandasCogroupedOps.applyInPandas
+    df = spark.createDataFrame([("a", 0, 1.0, 2.0), ("b", 1, 2.0, 2.0), ("c", 1, 2.0, 5.0)], "VendorName string, Cluster int, f0 double, f1 double")
+    with mock.patch.object(PandasCogroupedOps, "applyInPandas", kernel):
+        segment.silhouette(df, COLS)
+    import pandas as pd
+    rng, n = np.random.default_rng(3), 4000
+    side = lambda a, b: pd.DataFrame({"pid": [f"{a}{i}" for i in range(n)], "cl": rng.integers(0, 3, n), "x": list(rng.normal(size=(n, 2))),
+                                      "a": 0, "b": 1})
+    left, right = side("l", 0), side("r", 1)
+    tracemalloc.start()
+    out = seen["block"](left, right)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 2 * 3 * n and peak < n * n * 8 / 2
+    x, y = np.stack(left["x"].to_numpy()), np.stack(right["x"].to_numpy())
+    d = np.sqrt(((x[:50, None] - y[None]) ** 2).sum(2))
+    got = out[out.pid.isin(left.pid[:50])].pivot(index="pid", columns="ref", values="dsum").loc[left.pid[:50]].to_numpy()
+    assert np.allclose(got, np.stack([d[:, right["cl"] == c].sum(1) for c in range(3)], axis=1))
